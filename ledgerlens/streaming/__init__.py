@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference is a one-shot batch worker: no watermarks, windows over event
+time, state or late data.  Nothing here on purpose; the batch pipeline in
+``ledgerlens.plans`` is what a scheduled job runs.
+"""
