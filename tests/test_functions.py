@@ -1,0 +1,73 @@
+import base64
+import struct
+
+from pyspark.sql import functions as F
+
+from ledgerlens.functions import canonical_source, is_bonding, normalize_key
+from ledgerlens.functions.binary import read_length_prefixed, u32_le
+from ledgerlens.functions.numeric import scale_down_exact
+
+
+def test_canonical_source_wildcards(spark):
+    rows = ["jupiter6_a", "jupiter6Xa", "jupiter6", "jupiter6_", "raydium-route-a", "jupiter4_orca",
+            "raydium_route_raydium_amm", "orca"]
+    df = spark.createDataFrame([(r,) for r in rows], "source string")
+    got = [r[0] for r in df.select(canonical_source("source")).collect()]
+    assert got == ["a", "a", "jupiter6", "", "a", "orca", "raydium_amm", "orca"]
+
+
+def test_bonding_class(spark):
+    df = spark.createDataFrame([("pumpfun_BondingCurve",), ("raydium_amm",)], "source string")
+    assert [r[0] for r in df.select(is_bonding("source")).collect()] == [True, False]
+
+
+def test_normalize_key_matches_python_strip(spark):
+    raw = ["T1\x00\x00", " T1 ", "\tT1\n", "\x00 T1\x1f", "T\x001", "  ", None, "　T1 "]
+    df = spark.createDataFrame([(r,) for r in raw], "k string")
+    got = [r[0] for r in df.select(normalize_key("k")).collect()]
+    want = [None if r is None else r.replace("\x00", "").strip() for r in raw]
+    assert got == want
+    # idempotent
+    again = [r[0] for r in df.select(normalize_key(normalize_key("k"))).collect()]
+    assert again == want
+
+
+def test_normalize_binary_key_drops_bad_utf8(spark):
+    raw = [b"T1\xff\x00", b"\xc3(T2 ", b"ok"]
+    df = spark.createDataFrame([(bytearray(r),) for r in raw], "k binary")
+    got = [r[0] for r in df.select(normalize_key("k", df.schema["k"].dataType)).collect()]
+    want = [r.decode("utf-8", errors="ignore").replace("\x00", "").strip() for r in raw]
+    assert got == want
+
+
+def test_exact_scaling_rounds_once(spark):
+    vals = [(18446744073709551615, 9), (123456789123456789, 6), (5, 0), (-3, 2)]
+    df = spark.createDataFrame([(str(v), d) for v, d in vals], "v string, d int")
+    got = [r[0] for r in df.select(scale_down_exact(F.col("v").cast("decimal(38,0)"), "d")).collect()]
+    assert got == [v / 10 ** d for v, d in vals]
+
+
+def _blob(name: bytes, symbol: bytes, uri: bytes, name_len=None) -> bytes:
+    out = bytes(65)
+    out += struct.pack("<I", len(name) if name_len is None else name_len) + name.ljust(32, b"\x00")
+    out += struct.pack("<I", len(symbol)) + symbol.ljust(10, b"\x00")
+    out += struct.pack("<I", len(uri)) + uri.ljust(200, b"\x00")
+    return out
+
+
+def test_length_prefixed_strings(spark):
+    b = _blob(b"Name \x00", b"SYM", b"https://x/1")
+    df = spark.createDataFrame([(bytearray(b),)], "b binary")
+    r = df.select(u32_le(F.col("b"), 65).alias("n"), read_length_prefixed(F.col("b"), 65).alias("name"),
+                  read_length_prefixed(F.col("b"), 101).alias("symbol"),
+                  read_length_prefixed(F.col("b"), 115).alias("uri")).first()
+    assert (r.n, r.name, r.symbol, r.uri) == (6, "Name", "SYM", "https://x/1")
+
+
+def test_length_past_end_is_null(spark):
+    b = _blob(b"abc", b"S", b"u", name_len=0xFFFFFFFF)
+    df = spark.createDataFrame([(bytearray(b),)], "b binary")
+    r = df.select(read_length_prefixed(F.col("b"), 65).alias("name"),
+                  read_length_prefixed(F.col("b"), 101).alias("symbol")).first()
+    assert r.name is None and r.symbol == "S"
+    assert base64.b64encode(b)  # blob well-formed otherwise
