@@ -18,8 +18,7 @@ def u32_le(blob: Column, offset0: int) -> Column:
 
 def lenient_utf8(raw: Column) -> Column:
     """decode('utf-8', errors='ignore'), drop trailing NULs, strip; '' -> null."""
-    s = F.regexp_replace(lenient_decode(raw), r"\x00+\z", "")
-    s = strip_ws(s)
+    s = strip_ws(F.rtrim(lenient_decode(raw), F.lit("\u0000")))
     return F.when(s != F.lit(""), s)
 
 

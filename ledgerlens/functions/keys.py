@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DataType
 
-# Whitespace as Python's str.strip() sees it: Unicode White_Space plus the
-# four information separators U+001C..U+001F.  \z (not $) so a trailing
-# line terminator is not treated specially.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP = r"(?U)^" + _WS + r"+|" + _WS + r"+\z"
+# Whitespace exactly as Python's str.strip() sees it, built from the rule.
+WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace())
 _NUL = "\u0000"
 _REPLACEMENT = "�"
 
@@ -21,7 +20,17 @@ def lenient_decode(col: Column) -> Column:
 
 
 def strip_ws(col: Column) -> Column:
-    return F.regexp_replace(col, _STRIP, "")
+    """str.strip(): remove the whitespace set from both ends (no regex)."""
+    return F.trim(col, F.lit(WHITESPACE))
+
+
+def _is_clean(c: Column) -> Column:
+    """Cheap test for the common case: no NUL and first and last characters
+    printable ASCII (never whitespace).  A few byte comparisons, no regex, so
+    clean keys pass through untouched; anything else takes the exact path."""
+    last = F.substring(c, -1, 1)
+    return ((~c.contains(_NUL)) & (c >= F.lit("!")) & (c < F.lit("\u0080"))
+            & (last >= F.lit("!")) & (last < F.lit("\u0080")))
 
 
 def normalize_key(col: Column | str, dtype: DataType | None = None) -> Column:
@@ -30,7 +39,7 @@ def normalize_key(col: Column | str, dtype: DataType | None = None) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, BinaryType):
         c = lenient_decode(c)
-    return strip_ws(F.replace(c, F.lit(_NUL), F.lit("")))
+    return F.when(_is_clean(c), c).otherwise(strip_ws(F.replace(c, F.lit(_NUL), F.lit(""))))
 
 
 def is_valid_key(col: Column | str) -> Column:

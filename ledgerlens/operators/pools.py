@@ -185,9 +185,10 @@ def _own_raw():
 def reserves_by_token(sides: DataFrame) -> DataFrame:
     """(mint, reserves): the token's own-side balances summed exactly in raw
     units over its candidate pools, scaled once by its decimals."""
-    agg = (sides.groupBy("mint", "token_decimals")
-           .agg(F.sum(_own_raw()).cast("decimal(38,0)").alias("_raw")))
-    return agg.select("mint", scale_down_exact("_raw", "token_decimals").alias("reserves"))
+    agg = (sides.groupBy("mint")
+           .agg(F.sum(_own_raw()).cast("decimal(38,0)").alias("_raw"),
+                F.max("token_decimals").alias("_d")))
+    return agg.select("mint", scale_down_exact("_raw", "_d").alias("reserves"))
 
 
 def pool_summary_by_token(sides: DataFrame) -> DataFrame:
@@ -199,8 +200,11 @@ def pool_summary_by_token(sides: DataFrame) -> DataFrame:
                     F.col("canonical_source").alias("k2"), F.col("base_coin").alias("k3"),
                     F.col("quote_coin").alias("k4"), (~F.col("token_is_base")).alias("k5"),
                     F.col("liquidity_usd").alias("liquidity_usd"), F.col("price_usd").alias("price_usd"))
-    agg = (sides.groupBy("mint", "token_decimals")
-           .agg(F.min(rank).alias("_best"), F.sum(_own_raw()).cast("decimal(38,0)").alias("_raw")))
+    # grouped by the token alone (its decimals are one value per token), so
+    # the result is hash partitioned like every other per-token input
+    agg = (sides.groupBy("mint")
+           .agg(F.min(rank).alias("_best"), F.sum(_own_raw()).cast("decimal(38,0)").alias("_raw"),
+                F.max("token_decimals").alias("token_decimals")))
     return agg.select("mint", F.col("_best.k2").alias("source"),
                       F.col("_best.liquidity_usd").alias("liquidity_usd"),
                       F.col("_best.price_usd").alias("price_usd"),

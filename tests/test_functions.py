@@ -22,7 +22,8 @@ def test_bonding_class(spark):
 
 
 def test_normalize_key_matches_python_strip(spark):
-    raw = ["T1\x00\x00", " T1 ", "\tT1\n", "\x00 T1\x1f", "T\x001", "  ", None, "　T1 "]
+    raw = ["T1\x00\x00", " T1 ", "\tT1\n", "\x00 T1\x1f", "T\x001", "  ", None, "\u3000T1 ",
+           "\u2003T1\u00a0", "\x85T1", "T1\u202f", "T 1", "", "\x00", "\u00c4T1", "T1\u00e9", "~T1\x7f"]
     df = spark.createDataFrame([(r,) for r in raw], "k string")
     got = [r[0] for r in df.select(normalize_key("k")).collect()]
     want = [None if r is None else r.replace("\x00", "").strip() for r in raw]
