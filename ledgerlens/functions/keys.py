@@ -24,22 +24,17 @@ def strip_ws(col: Column) -> Column:
     return F.trim(col, F.lit(WHITESPACE))
 
 
-def _is_clean(c: Column) -> Column:
-    """Cheap test for the common case: no NUL and first and last characters
-    printable ASCII (never whitespace).  A few byte comparisons, no regex, so
-    clean keys pass through untouched; anything else takes the exact path."""
-    last = F.substring(c, -1, 1)
-    return ((~c.contains(_NUL)) & (c >= F.lit("!")) & (c < F.lit("\u0080"))
-            & (last >= F.lit("!")) & (last < F.lit("\u0080")))
-
-
 def normalize_key(col: Column | str, dtype: DataType | None = None) -> Column:
     """Normalise a token key: lenient UTF-8 decode (binary input), remove every
-    NUL, strip surrounding whitespace.  Idempotent; null stays null."""
+    NUL, strip surrounding whitespace.  Idempotent; null stays null.
+
+    The key is referenced once: Catalyst copies a pushed-down filter's
+    expression into the scan, so a many-reference form would evaluate an
+    expensive key expression many times per row."""
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, BinaryType):
         c = lenient_decode(c)
-    return F.when(_is_clean(c), c).otherwise(strip_ws(F.replace(c, F.lit(_NUL), F.lit(""))))
+    return strip_ws(F.replace(c, F.lit(_NUL), F.lit("")))
 
 
 def is_valid_key(col: Column | str) -> Column:

@@ -1,8 +1,8 @@
 """Sources (event tables, captured lookups) and sinks (the metrics table)."""
 
-from .tables import TokenTables, read_tables, derive_from_tpch
+from .tables import TokenTables, read_tables, write_tables, derive_from_tpch
 from .enrichment import decimals_from_responses, account_metadata
 from .sinks import ensure_metrics_table, append_metrics
 
-__all__ = ["TokenTables", "read_tables", "derive_from_tpch", "decimals_from_responses",
+__all__ = ["TokenTables", "read_tables", "write_tables", "derive_from_tpch", "decimals_from_responses",
            "account_metadata", "ensure_metrics_table", "append_metrics"]

@@ -25,36 +25,38 @@ SWAP_COLUMNS = ("source", "base_coin", "quote_coin", "base_coin_amount", "quote_
                 "base_pool_balance_after", "quote_pool_balance_after", "block_time")
 
 
-def _key(df: DataFrame, name: str):
+def _key(df: DataFrame, name: str, normalize: bool = True):
+    if not normalize:
+        return F.col(name).cast("string").alias(name)
     return normalize_key(F.col(name), df.schema[name].dataType).alias(name)
 
 
-def conform_mints(df: DataFrame) -> DataFrame:
-    return df.select(_key(df, "mint"), F.col("amount").cast(AMOUNT).alias("amount"),
+def conform_mints(df: DataFrame, normalize: bool = True) -> DataFrame:
+    return df.select(_key(df, "mint", normalize), F.col("amount").cast(AMOUNT).alias("amount"),
                      F.col("block_time"))
 
 
-def conform_burns(df: DataFrame) -> DataFrame:
-    cols = [_key(df, "mint"), F.col("amount").cast(AMOUNT).alias("amount")]
+def conform_burns(df: DataFrame, normalize: bool = True) -> DataFrame:
+    cols = [_key(df, "mint", normalize), F.col("amount").cast(AMOUNT).alias("amount")]
     if "block_time" in df.columns:
         cols.append(F.col("block_time"))
     return df.select(*cols)
 
 
-def conform_swaps(df: DataFrame) -> DataFrame:
+def conform_swaps(df: DataFrame, normalize: bool = True) -> DataFrame:
     return df.select(
         F.col("source").cast("string").alias("source"),
-        _key(df, "base_coin"), _key(df, "quote_coin"),
+        _key(df, "base_coin", normalize), _key(df, "quote_coin", normalize),
         *[F.col(c).cast(AMOUNT).alias(c) for c in SWAP_COLUMNS[3:7]],
         F.col("block_time"))
 
 
-def conform_decimals(df: DataFrame) -> DataFrame:
-    return df.select(_key(df, "mint"), F.col("decimals").cast("int").alias("decimals"))
+def conform_decimals(df: DataFrame, normalize: bool = True) -> DataFrame:
+    return df.select(_key(df, "mint", normalize), F.col("decimals").cast("int").alias("decimals"))
 
 
-def conform_keyed(df: DataFrame, *value_columns: str) -> DataFrame:
-    return df.select(_key(df, "mint"), *value_columns)
+def conform_keyed(df: DataFrame, *value_columns: str, normalize: bool = True) -> DataFrame:
+    return df.select(_key(df, "mint", normalize), *value_columns)
 
 
 @dataclass(frozen=True)
@@ -72,9 +74,14 @@ class TokenTables:
         return replace(self, **kw)
 
 
-def read_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> TokenTables:
+def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
+                normalize_keys: bool = True) -> TokenTables:
     """Read ``<root>/{mints,burns,swaps}[.parquet]`` plus optional lookups
-    (``token_decimals``, ``decimals_responses``, ``metadata_accounts``)."""
+    (``token_decimals``, ``decimals_responses``, ``metadata_accounts``).
+
+    ``normalize_keys=False`` is for tables whose keys are already clean
+    (e.g. written by ``write_tables``): key filters then reach the Parquet
+    reader as pushed filters instead of running on a derived expression."""
 
     def load(name: str, required: bool = True) -> DataFrame | None:
         for candidate in (f"{root}/{name}.{fmt}", f"{root}/{name}"):
@@ -90,15 +97,28 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> TokenTa
     resp = load("decimals_responses", required=False)
     meta = load("metadata_accounts", required=False)
     return TokenTables(
-        mints=conform_mints(load("mints")),
-        burns=conform_burns(load("burns")),
-        swaps=conform_swaps(load("swaps")),
-        token_decimals=None if dec is None else conform_decimals(dec),
-        decimals_responses=None if resp is None else conform_keyed(resp, "response_json"),
-        metadata_accounts=None if meta is None else conform_keyed(meta, "account_data_b64"),
+        mints=conform_mints(load("mints"), normalize_keys),
+        burns=conform_burns(load("burns"), normalize_keys),
+        swaps=conform_swaps(load("swaps"), normalize_keys),
+        token_decimals=None if dec is None else conform_decimals(dec, normalize_keys),
+        decimals_responses=(None if resp is None
+                            else conform_keyed(resp, "response_json", normalize=normalize_keys)),
+        metadata_accounts=(None if meta is None
+                           else conform_keyed(meta, "account_data_b64", normalize=normalize_keys)),
     )
 
 
+def write_tables(tables: TokenTables, root: str, mode: str = "errorifexists") -> None:
+    """Write the (normalised) relations as Parquet under ``root``: a one-time
+    cleaning job whose output ``read_tables(..., normalize_keys=False)``
+    reads back.  It also cuts the lineage of a derived input."""
+    for name in ("mints", "burns", "swaps", "token_decimals", "decimals_responses",
+                 "metadata_accounts"):
+        df = getattr(tables, name)
+        if df is not None:
+            df.write.mode(mode).parquet(f"{root}/{name}.parquet")
+
+
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The driver's test tables are single-row-group files, which Spark reads
     in one task; a round-robin repartition right after the (pruned) read
