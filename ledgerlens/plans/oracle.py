@@ -282,8 +282,8 @@ from supply s left join last_sol_price p on p.mint = s.mint""",
     "prices_in_usd": _with("," + SOL_TRADES) + f"""
 select mint, coalesce(last_price_in_sol * {P}, 0.0e0) as price_usd from last_sol_price""",
     "recent_swaps": _with("," + RECENT) + """
-select mint, recency_rank, base_coin, quote_coin, base_pool_balance_after, quote_pool_balance_after,
-       base_coin_amount, quote_coin_amount, block_time from recent""",
+select mint, cast(recency_rank as integer) as recency_rank, base_coin, quote_coin, base_pool_balance_after,
+       quote_pool_balance_after, base_coin_amount, quote_coin_amount, block_time from recent""",
     "trade_liquidity": fixtures.duckdb_ctes(["swaps"]) + f"""
 select base_coin, quote_coin, block_time, base_pool_balance_after, quote_pool_balance_after,
        {TRADE_LIQ} as liquidity from swaps""",
