@@ -41,7 +41,9 @@ def resolved_decimals(tokens: DataFrame, decimals: DataFrame | None) -> DataFram
     else 6.  ``decimals`` must have one row per mint."""
     base = tokens
     if decimals is not None:
-        base = base.join(decimals.select("mint", F.col("decimals").alias("_d")), "mint", "left")
+        # one value per key even if the lookup repeats a (normalised) key
+        per_key = decimals.groupBy("mint").agg(F.max("decimals").alias("_d"))
+        base = base.join(per_key, "mint", "left")
         resolved = F.col("_d")
     else:
         resolved = F.lit(None)

@@ -29,7 +29,7 @@ from ..functions.numeric import scale_down_exact
 from ..operators.lifetimes import first_swaps
 from ..operators.pools import pool_sides, pool_summary_by_token
 from ..operators.supply import RAW, burned_by_token, resolved_decimals, supply_columns
-from ..sources.enrichment import account_metadata, decimals_from_responses
+from ..sources.enrichment import account_metadata, decimals_from_responses, metadata_per_token
 from ..sources.tables import TokenTables
 
 
@@ -63,7 +63,7 @@ def build(tables: TokenTables, *, decimals: DataFrame | None = None,
            .join(first_swaps(tables.swaps), "mint", "left")
            .join(pool_summary_by_token(sides).drop("token_decimals"), "mint", "left"))
     if metadata is not None:
-        rec = rec.join(metadata.select("mint", "symbol", "name", "uri"), "mint", "left")
+        rec = rec.join(metadata_per_token(metadata), "mint", "left")
     else:
         rec = rec.select("*", *[F.lit(None).cast("string").alias(c) for c in ("symbol", "name", "uri")])
 

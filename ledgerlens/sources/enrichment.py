@@ -30,11 +30,21 @@ def decimals_from_responses(responses: DataFrame) -> DataFrame:
     unparsed payload, malformed JSON or an error reply give 6."""
     parsed = F.get_json_object(F.col("response_json"), DECIMALS_JSON_PATH)
     value = F.expr("try_cast(_parsed as bigint)")
-    return (responses
-            .select("mint", parsed.alias("_parsed"))
-            .select("mint",
-                    F.coalesce(preset_decimals(F.col("mint")), value,
-                               F.lit(DEFAULT_RESOLVED_DECIMALS)).cast("bigint").alias("decimals")))
+    # several replies for one mint: a parsed value wins over a failed one
+    per_key = (responses.select("mint", parsed.alias("_parsed"))
+               .select("mint", value.alias("_v"))
+               .groupBy("mint").agg(F.max("_v").alias("_v")))
+    return per_key.select(
+        "mint", F.coalesce(preset_decimals(F.col("mint")), F.col("_v"),
+                           F.lit(DEFAULT_RESOLVED_DECIMALS)).cast("bigint").alias("decimals"))
+
+
+def metadata_per_token(metadata: DataFrame) -> DataFrame:
+    """One (symbol, name, uri) per mint; when a mint repeats, the row with a
+    symbol (then the greatest) wins, deterministically."""
+    best = F.max(F.struct(F.col("symbol").isNotNull().alias("has_symbol"), "symbol", "name", "uri"))
+    return (metadata.groupBy("mint").agg(best.alias("_m"))
+            .select("mint", "_m.symbol", "_m.name", "_m.uri"))
 
 
 def account_metadata(accounts: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql.types import IntegerType, LongType
 
 from ..functions.keys import normalize_key
 from . import fixtures
@@ -32,15 +33,22 @@ def _key(df: DataFrame, name: str, normalize: bool = True):
     return normalize_key(F.col(name), df.schema[name].dataType).alias(name)
 
 
+def _time(df: DataFrame, name: str = "block_time"):
+    """Timestamps pass through; integral epoch seconds become timestamps."""
+    if isinstance(df.schema[name].dataType, (IntegerType, LongType)):
+        return F.timestamp_seconds(F.col(name)).alias(name)
+    return F.col(name)
+
+
 def conform_mints(df: DataFrame, normalize: bool = True) -> DataFrame:
     return df.select(_key(df, "mint", normalize), F.col("amount").cast(AMOUNT).alias("amount"),
-                     F.col("block_time"))
+                     _time(df))
 
 
 def conform_burns(df: DataFrame, normalize: bool = True) -> DataFrame:
     cols = [_key(df, "mint", normalize), F.col("amount").cast(AMOUNT).alias("amount")]
     if "block_time" in df.columns:
-        cols.append(F.col("block_time"))
+        cols.append(_time(df))
     return df.select(*cols)
 
 
@@ -49,7 +57,7 @@ def conform_swaps(df: DataFrame, normalize: bool = True) -> DataFrame:
         F.col("source").cast("string").alias("source"),
         _key(df, "base_coin", normalize), _key(df, "quote_coin", normalize),
         *[F.col(c).cast(AMOUNT).alias(c) for c in SWAP_COLUMNS[3:7]],
-        F.col("block_time"))
+        _time(df))
 
 
 def conform_decimals(df: DataFrame, normalize: bool = True) -> DataFrame:

@@ -64,3 +64,19 @@ def test_decimals_from_responses(spark):
     df = spark.createDataFrame(rows, "mint string, response_json string")
     got = {r.mint: r.decimals for r in decimals_from_responses(df).collect()}
     assert got == {"A": 9, "B": 6, "C": 6, "D": 6, "E": 6, SOL: 9}
+
+
+def test_repeated_replies_parsed_value_wins(spark):
+    rows = [("A", "not json"), ("A", '{"result":{"value":{"data":{"parsed":{"info":{"decimals":2}}}}}}'),
+            ("B", '{"result":{"value":null}}'), ("B", '{"result":{"value":null}}')]
+    df = spark.createDataFrame(rows, "mint string, response_json string")
+    got = sorted((r.mint, r.decimals) for r in decimals_from_responses(df).collect())
+    assert got == [("A", 2), ("B", 6)]
+
+
+def test_metadata_one_row_per_token(spark):
+    from ledgerlens.sources.enrichment import metadata_per_token
+    rows = [("A", None, None, None), ("A", "SYM", "Name", "u"), ("B", None, "n", None)]
+    df = spark.createDataFrame(rows, "mint string, symbol string, name string, uri string")
+    got = sorted(tuple(r) for r in metadata_per_token(df).collect())
+    assert got == [("A", "SYM", "Name", "u"), ("B", None, "n", None)]

@@ -62,3 +62,16 @@ def test_first_dates_from_swap_mint_or_neither(spark):
     assert got == {"M": ts(5), "S": ts(4), "N": None, "B": ts(2)}
     p = lifetimes.first_tx_point(spark, t.mints, t.swaps, "B").first()
     assert p.first_tx_date == ts(2)
+
+
+def test_duplicate_decimal_rows_do_not_duplicate_tokens(spark):
+    t = tables(spark, mints=[("T1", 10**6, ts(1))], decimals=[("T1", 6), (" T1", 3)])
+    rows = supply.token_supply(discover_tokens(t.mints), t.mints, t.burns, t.token_decimals).collect()
+    assert len(rows) == 1 and rows[0].decimals == 6
+
+
+def test_epoch_second_block_times(spark):
+    from ledgerlens.sources.tables import conform_mints
+    df = spark.createDataFrame([("T1", 5, 1704067200)], "mint string, amount long, block_time long")
+    r = conform_mints(df).first()
+    assert str(r.block_time).startswith("2024-01-01")
