@@ -49,3 +49,32 @@ def test_anchor_filter_reaches_scan(spark):
     rt = read_tables(spark, d)
     p = latest_pool_state(rt.swaps)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in p and "ReadSchema" in p and "base_coin_amount" not in p.split("ReadSchema")[1][:300]
+
+
+def test_scale_plan_shape(spark):
+    """The flagship as it runs on big tables: no broadcasts, static plan."""
+    import re
+    import tempfile
+    from ledgerlens.plans.pipeline import token_metrics
+    from ledgerlens.sources.tables import derive_from_tpch, read_tables, write_tables
+
+    d = tempfile.mkdtemp(prefix="ll-plan-")
+    write_tables(derive_from_tpch(spark, SF), d)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t = read_tables(spark, d, normalize_keys=False)
+        p = token_metrics(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    scans = re.findall(r"FileScan parquet .*?Location: InMemoryFileIndex\(1 paths\)\[file:[^\]]*/(\w+)\.parquet\]", p)
+    assert sorted(scans) == sorted(["mints", "mints", "burns", "swaps", "swaps", "token_decimals"])
+    assert p.count("Exchange hashpartitioning") <= 11
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    # the anchor filter reaches the Parquet reader of the pool scan
+    assert re.search(r"PushedFilters: \[.*Or\(In\(base_coin", p)
+    # the final per-token joins are sort-merge joins on the token key
+    assert p.count("SortMergeJoin") >= 5
