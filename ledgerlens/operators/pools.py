@@ -8,10 +8,9 @@ aggregated over every swap that has an anchor (SOL, USDC, USDT) on one side
 joined to the much smaller per-pool result afterwards:
 
     swaps --anchor filter--> max(struct(time, base, quote)) per pool  [partial agg]
-          --HAVING both > 0--> one row per side --inner join decimals map (token set)-->
-          window per pool (<= 2 rows): candidacy, other side's decimals
-          --> per token: best pool (row_number = 1, partial WindowGroupLimit)
-                         reserves (partial + final sum)
+          --HAVING both > 0--> left join token map on base, on quote (membership,
+          decimals) --> candidacy --> one row per token side
+          --> per token: best pool and reserves (one partial + final aggregate)
 
 No OR-join, no nested-loop join; hot pools and hot tokens are reduced map-side.
 """
@@ -68,41 +67,52 @@ def _default_pool_decimals(coin):
     return F.when(is_sol(coin), F.lit(SOL_POOL_DECIMALS)).otherwise(F.lit(DEFAULT_POOL_DECIMALS))
 
 
-def pool_sides(swaps: DataFrame, decimals_map: DataFrame, sol_price: float | None = None) -> DataFrame:
-    """One row per (candidate pool, side coin in the token set).
+def candidate_pool_states(swaps: DataFrame, decimals_map: DataFrame) -> DataFrame:
+    """Live pools that are candidates for the token set, one row per pool,
+    with each side's membership and decimals.
 
     ``decimals_map`` is the run's token set with its decimals (mint,
-    decimals).  A pool is a candidate when some side is a token whose other
-    side is an anchor; it is then offered to each of its sides that is a
-    token (base = quote gives two rows).  Balances are scaled by the token
-    map's decimals, else 9 for SOL and 6 for anything else."""
+    decimals), one row per token.  It is joined to the pool row twice, on the
+    base coin and on the quote coin (equi-joins; AQE broadcasts the map when
+    it is small).  A pool is a candidate when some side is a token whose
+    other side is an anchor.  A side that is not a token takes 9 decimals for
+    SOL and 6 otherwise."""
+    dm = decimals_map.select("mint", "decimals")
+    base_map = dm.select(F.col("mint").alias("base_coin"), F.lit(True).alias("base_is_token"),
+                         F.col("decimals").alias("_bd"))
+    quote_map = dm.select(F.col("mint").alias("quote_coin"), F.lit(True).alias("quote_is_token"),
+                          F.col("decimals").alias("_qd"))
+    pools = (live_pools(swaps)
+             .join(base_map, "base_coin", "left")
+             .join(quote_map, "quote_coin", "left"))
+    base_in = F.coalesce("base_is_token", F.lit(False))
+    quote_in = F.coalesce("quote_is_token", F.lit(False))
+    candidate = ((base_in & is_anchor(F.col("quote_coin")))
+                 | (quote_in & is_anchor(F.col("base_coin"))))
+    return pools.where(candidate).select(
+        *POOL_KEYS, "last_block_time", "last_base_balance", "last_quote_balance",
+        base_in.alias("base_is_token"), quote_in.alias("quote_is_token"),
+        F.coalesce("_bd", _default_pool_decimals(F.col("base_coin"))).cast("int").alias("base_decimals"),
+        F.coalesce("_qd", _default_pool_decimals(F.col("quote_coin"))).cast("int").alias("quote_decimals"))
+
+
+def pool_sides(swaps: DataFrame, decimals_map: DataFrame, sol_price: float | None = None) -> DataFrame:
+    """One row per (candidate pool, side coin in the token set): the pool is
+    offered to each of its sides that is a token (base = quote gives two
+    rows), with normalised balances, liquidity, class and the side's price."""
     price = effective_sol_price(sol_price)
-    pools = live_pools(swaps)
-    sides = pools.select(
-        *pools.columns,
-        F.explode(F.array(
-            F.struct(F.col("base_coin").alias("token"), F.lit(True).alias("token_is_base"),
-                     F.col("quote_coin").alias("counter")),
-            F.struct(F.col("quote_coin").alias("token"), F.lit(False).alias("token_is_base"),
-                     F.col("base_coin").alias("counter")))).alias("side"))
-    sides = sides.select(*pools.columns, "side.*")
-    dm = decimals_map.select(F.col("mint").alias("token"), F.col("decimals").alias("token_decimals"))
-    joined = sides.join(dm, "token", "inner")
-
-    w = Window.partitionBy(*POOL_KEYS)
-    flagged = joined.select(
-        "*",
-        F.max(is_anchor(F.col("counter"))).over(w).alias("_candidate"),
-        F.max(F.when(F.col("token_is_base"), F.col("token_decimals"))).over(w).alias("_base_dec"),
-        F.max(F.when(~F.col("token_is_base"), F.col("token_decimals"))).over(w).alias("_quote_dec"))
-    cand = flagged.where(F.col("_candidate"))
-
-    base_dec = F.coalesce("_base_dec", _default_pool_decimals(F.col("base_coin")))
-    quote_dec = F.coalesce("_quote_dec", _default_pool_decimals(F.col("quote_coin")))
-    out = cand.select(
-        F.col("token").alias("mint"), *POOL_KEYS, "token_is_base", "last_block_time",
-        "last_base_balance", "last_quote_balance", "token_decimals",
-        base_dec.cast("int").alias("base_decimals"), quote_dec.cast("int").alias("quote_decimals"))
+    pools = candidate_pool_states(swaps, decimals_map)
+    side = F.explode(F.array(
+        F.when(F.col("base_is_token"),
+               F.struct(F.col("base_coin").alias("mint"), F.lit(True).alias("token_is_base"),
+                        F.col("base_decimals").alias("token_decimals"))),
+        F.when(F.col("quote_is_token"),
+               F.struct(F.col("quote_coin").alias("mint"), F.lit(False).alias("token_is_base"),
+                        F.col("quote_decimals").alias("token_decimals"))))).alias("side")
+    out = (pools.select("*", side).where(F.col("side").isNotNull())
+           .select("side.mint", *POOL_KEYS, "side.token_is_base", "last_block_time",
+                   "last_base_balance", "last_quote_balance", "side.token_decimals",
+                   "base_decimals", "quote_decimals"))
     out = out.select(
         "*",
         scale_down("last_base_balance", "base_decimals").alias("base_balance_norm"),
@@ -141,14 +151,8 @@ def pool_price(sol_price: float | None = None):
 def candidate_pools(swaps: DataFrame, decimals_map: DataFrame) -> DataFrame:
     """(canonical_source, base_coin, quote_coin, last_base_balance,
     last_quote_balance): the live pools offered to at least one token."""
-    sides = pool_sides(swaps, decimals_map)
-    # a pool has one or two side rows; keep the base row when both exist
-    w = Window.partitionBy(*POOL_KEYS)
-    n = F.count(F.lit(1)).over(w)
-    return (sides.select(*POOL_KEYS, "token_is_base", "last_base_balance", "last_quote_balance",
-                         n.alias("_n"))
-            .where(F.col("token_is_base") | (F.col("_n") == 1))
-            .select(*POOL_KEYS, "last_base_balance", "last_quote_balance"))
+    return candidate_pool_states(swaps, decimals_map).select(
+        *POOL_KEYS, "last_base_balance", "last_quote_balance")
 
 
 def best_pools(sides: DataFrame) -> DataFrame:
@@ -233,7 +237,7 @@ def canonical_source_counts(swaps: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_swaps")))
 
 
-__all__ = ["anchor_swaps", "latest_pool_state", "live_pools", "pool_sides", "pool_liquidity",
+__all__ = ["anchor_swaps", "latest_pool_state", "live_pools", "candidate_pool_states", "pool_sides", "pool_liquidity",
            "pool_price", "candidate_pools", "best_pools", "best_pool_metrics",
            "reserves_by_token", "pool_summary_by_token", "token_reserves", "pool_class_counts", "canonical_source_counts",
            "POOL_KEYS", "SOL"]
