@@ -31,12 +31,18 @@ def first_swaps(swaps: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
     return restrict(agg, tokens)
 
 
-def first_tx_dates(tokens: DataFrame, mints: DataFrame, swaps: DataFrame) -> DataFrame:
+def first_tx_dates(tokens: DataFrame | None, mints: DataFrame, swaps: DataFrame) -> DataFrame:
     """(mint, first_mint, first_swap, first_tx_date) for every token; the
-    date is the null-skipping minimum of the two (null when neither)."""
-    out = (tokens.select("mint")
-           .join(first_mints(mints), "mint", "left")
-           .join(first_swaps(swaps), "mint", "left"))
+    date is the null-skipping minimum of the two (null when neither).
+    ``tokens=None`` means every minted token, taken from the same aggregate
+    of ``mints`` that gives the first mint."""
+    per_mint = (mints.where(is_valid_key("mint")).groupBy("mint")
+                .agg(F.min("block_time").alias("first_mint")))
+    if tokens is None:
+        base = per_mint
+    else:
+        base = tokens.select("mint").join(per_mint, "mint", "left")
+    out = base.join(first_swaps(swaps), "mint", "left")
     return out.select("mint", "first_mint", "first_swap",
                       F.least("first_mint", "first_swap").alias("first_tx_date"))
 

@@ -58,20 +58,24 @@ def supply_columns(minted, burned, decimals):
     return F.greatest(F.lit(0.0), scale_down_exact(diff, decimals))
 
 
-def token_supply(tokens: DataFrame, mints: DataFrame, burns: DataFrame,
+def token_supply(tokens: DataFrame | None, mints: DataFrame, burns: DataFrame,
                  decimals: DataFrame | None = None) -> DataFrame:
     """(mint, decimals, minted_raw, burned_raw, supply).
 
+    ``tokens=None`` means every minted token: the token set is then the key
+    set of the minted aggregate itself (one aggregate of ``mints``, no join).
     With a decimals frame the run's map applies (default 6); without one the
     static table applies (SOL/USDC/USDT/USDH, else 9)."""
+    if tokens is None:
+        base = minted_by_token(mints)
+    else:
+        base = tokens.select("mint").join(minted_by_token(mints), "mint", "left")
     if decimals is not None:
-        dec = resolved_decimals(tokens.select("mint"), decimals)
+        dec = resolved_decimals(base, decimals)
     else:
-        dec = tokens.select("mint", _lookup(F.col("mint"), STATIC_DECIMALS, DEFAULT_STATIC_DECIMALS)
-                            .cast("int").alias("decimals"))
-    out = (dec
-           .join(minted_by_token(mints), "mint", "left")
-           .join(burned_by_token(burns), "mint", "left"))
+        dec = base.select("*", _lookup(F.col("mint"), STATIC_DECIMALS, DEFAULT_STATIC_DECIMALS)
+                          .cast("int").alias("decimals"))
+    out = dec.join(burned_by_token(burns), "mint", "left")
     return out.select(
         "mint", "decimals",
         F.coalesce("minted_raw", F.lit(0).cast(RAW)).alias("minted_raw"),

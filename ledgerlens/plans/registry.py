@@ -68,7 +68,7 @@ def q_burned_by_token(spark, sf_dir):
 
 def q_token_supply(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return supply.token_supply(_tokens(t), t.mints, t.burns, t.token_decimals)
+    return supply.token_supply(None, t.mints, t.burns, t.token_decimals)
 
 
 def q_token_supply_point(spark, sf_dir):
@@ -97,7 +97,7 @@ def q_first_swaps(spark, sf_dir):
 
 def q_first_tx_dates(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return lifetimes.first_tx_dates(_tokens(t), t.mints, t.swaps)
+    return lifetimes.first_tx_dates(None, t.mints, t.swaps)
 
 
 def q_first_tx_point(spark, sf_dir):
@@ -152,17 +152,15 @@ def q_token_reserves(spark, sf_dir):
 
 def q_circulating_supply(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    tokens = _tokens(t)
-    sup = supply.token_supply(tokens, t.mints, t.burns, t.token_decimals)
-    res = pools.token_reserves(tokens, t.swaps, _dec_map(t))
+    sup = supply.token_supply(None, t.mints, t.burns, t.token_decimals)
+    res = pools.token_reserves(_tokens(t), t.swaps, _dec_map(t))
     return supply.circulating_supply(sup, res)
 
 
 def q_market_caps(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    tokens = _tokens(t)
-    sup = supply.token_supply(tokens, t.mints, t.burns, t.token_decimals)
-    return market.market_caps(sup, pricing.prices_in_usd(t.swaps, tokens))
+    sup = supply.token_supply(None, t.mints, t.burns, t.token_decimals)
+    return market.market_caps(sup, pricing.prices_in_usd(t.swaps, _tokens(t)))
 
 
 def q_latest_price_in_sol(spark, sf_dir):
