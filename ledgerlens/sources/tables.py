@@ -135,7 +135,11 @@ def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     input partition first to stay deterministic on retry).  Only for these
     fixtures: real event tables (``read_tables``) come in many files and are
     read in parallel as they are."""
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
+    try:
+        n = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
 
 
 _DERIVED: "weakref.WeakKeyDictionary[SparkSession, dict[str, TokenTables]]" = weakref.WeakKeyDictionary()
