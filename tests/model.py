@@ -108,3 +108,50 @@ def records(mints, burns, swaps, decimals, sol=190.0):
                       largest_lp_pool_usd=liq, source=source, first_tx_date=first_tx,
                       market_cap_usd=price * max(0.0, supply - reserves))
     return out
+
+
+def latest_sol_prices(swaps, tokens):
+    """{token: price in SOL of its latest trade with a non-null price, or None}
+    for tokens with at least one trade against SOL."""
+    trades = defaultdict(list)
+    for s in swaps:
+        base, quote, ba, qa, t = s[1], s[2], s[3], s[4], s[7]
+        if quote == SOL:
+            trades[base].append((t, float(qa) / float(ba) if float(ba) != 0 else None))
+        if base == SOL:
+            trades[quote].append((t, float(ba) / float(qa) if float(qa) != 0 else None))
+    out = {}
+    for tok, rows in trades.items():
+        if tok not in tokens:
+            continue
+        priced = [r for r in rows if r[1] is not None]
+        out[tok] = max(priced)[1] if priced else None
+    return out
+
+
+def recent_trade_prices(swaps, tokens, sol=190.0, n=100):
+    """{token: (liquidity, price)} from the best of its n latest swaps."""
+    out = {}
+    for tok in tokens:
+        mine = [s for s in swaps if s[1] == tok or s[2] == tok]
+        order = lambda s: (s[7], s[1], s[2], s[5], s[6], s[3], s[4])
+        mine = sorted(mine, key=order, reverse=True)[:n]
+        best, best_liq = None, 0.0
+        for s in mine:   # first strictly greater wins: the most recent among equals
+            base, quote, bb, qb = s[1], s[2], float(s[5]), float(s[6])
+            liq = (bb * sol if base == SOL else qb * sol if quote == SOL else 0.0) + \
+                  (bb if base in STABLE else qb if quote in STABLE else 0.0)
+            if liq > best_liq:
+                best, best_liq = s, liq
+        if best is None:
+            out[tok] = (0.0, 0.0)
+            continue
+        base, quote, ba, qa = best[1], best[2], float(best[3]), float(best[4])
+        price = 0.0
+        if ba != 0 and qa != 0:
+            if base == tok:
+                price = (qa / ba) * sol if quote == SOL else (qa / ba) if quote in STABLE else 0.0
+            elif quote == tok:
+                price = (ba / qa) * sol if base == SOL else (ba / qa) if base in STABLE else 0.0
+        out[tok] = (best_liq, price)
+    return out

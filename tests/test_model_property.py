@@ -38,3 +38,19 @@ def test_pipeline_matches_model(spark, mints, burns, swaps, decimals):
         g = got[tok]
         for k, v in w.items():
             assert getattr(g, k) == v, (tok, k, getattr(g, k), v)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(mint_rows, swap_rows)
+def test_trade_prices_match_model(spark, mints, swaps):
+    from ledgerlens.operators import pricing
+    from ledgerlens.operators.discovery import discover_tokens
+    from model import latest_sol_prices, recent_trade_prices
+    t = tables(spark, mints=mints, swaps=[swap(*s) for s in swaps])
+    tok = discover_tokens(t.mints)
+    tokens = {m for m, _, _ in mints if m}
+    got = {r.mint: r.last_price_in_sol for r in pricing.latest_price_in_sol(t.swaps, tok).collect()}
+    assert got == latest_sol_prices(swaps, tokens)
+    got2 = {r.mint: (r.liquidity, r.price_usd) for r in pricing.recent_trade_price(tok, t.swaps).collect()}
+    assert got2 == recent_trade_prices(swaps, tokens)
