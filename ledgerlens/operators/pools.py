@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import DEFAULT_POOL_DECIMALS, SOL, SOL_POOL_DECIMALS
+from ..constants import DEFAULT_POOL_DECIMALS, SOL_POOL_DECIMALS
 from ..functions.numeric import scale_down, scale_down_exact
 from ..functions.sources import canonical_source, is_bonding
 from .common import effective_sol_price, is_anchor, is_sol, is_stable, keys_of, usd_per_unit
@@ -240,4 +240,4 @@ def canonical_source_counts(swaps: DataFrame) -> DataFrame:
 __all__ = ["anchor_swaps", "latest_pool_state", "live_pools", "candidate_pool_states", "pool_sides", "pool_liquidity",
            "pool_price", "candidate_pools", "best_pools", "best_pool_metrics",
            "reserves_by_token", "pool_summary_by_token", "token_reserves", "pool_class_counts", "canonical_source_counts",
-           "POOL_KEYS", "SOL"]
+           "POOL_KEYS"]

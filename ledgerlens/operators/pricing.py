@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import RECENT_SWAPS_PER_TOKEN, SOL
+from ..constants import RECENT_SWAPS_PER_TOKEN
 from ..functions.keys import is_valid_key
 from ..functions.numeric import ratio
 from .common import effective_sol_price, is_sol, is_stable, keys_of, restrict
@@ -126,4 +126,4 @@ def recent_trade_price(tokens: DataFrame, swaps: DataFrame,
 
 
 __all__ = ["sol_trades", "latest_price_in_sol", "prices_in_usd", "recent_swaps",
-           "trade_liquidity", "trade_price", "recent_trade_price", "SOL"]
+           "trade_liquidity", "trade_price", "recent_trade_price"]

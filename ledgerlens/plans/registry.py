@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import SOL
-from ..functions.keys import is_valid_key
 from ..operators import discovery, lifetimes, market, pools, pricing, supply
 from ..sources.enrichment import account_metadata, decimals_from_responses
 from ..sources.tables import TokenTables, derive_from_tpch
