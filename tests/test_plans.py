@@ -79,3 +79,23 @@ def test_scale_plan_shape(spark):
     assert re.search(r"PushedFilters: \[.*Or\(In\(base_coin", p)
     # the final per-token joins are sort-merge joins on the token key
     assert p.count("SortMergeJoin") >= 5
+
+
+@pytest.mark.parametrize("name,partial", [
+    ("latest_pool_state", "partial_max(struct("),
+    ("first_swaps", "partial_min(block_time"),
+    ("latest_price_in_sol", "partial_max(CASE WHEN isnotnull(price"),
+    ("token_reserves", "partial_sum(CASE WHEN token_is_base"),
+    ("best_pool_metrics", "WindowGroupLimit"),
+    ("normalized_keys", "partial_sum("),
+    ("recent_swaps", "WindowGroupLimit"),
+])
+def test_hot_keys_reduced_before_shuffle(spark, name, partial):
+    """A key holding a third of the rows is pre-aggregated map-side: the
+    partial step sits below the first exchange of its branch."""
+    p = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    lines = p.splitlines()
+    idx = [i for i, ln in enumerate(lines) if partial in ln]
+    assert idx, f"{name}: no {partial}"
+    # some exchange appears above (earlier in the tree print) the partial step
+    assert any("Exchange hashpartitioning" in ln for ln in lines[:idx[-1]])
