@@ -1,9 +1,12 @@
 """Batch entry point: read the event tables, build the per-token records,
 append them to the sink, report counts.
 
-    python -m ledgerlens --tables ROOT (--out PATH | --table NAME)
+    python -m ledgerlens --tables ROOT [--out PATH | --table NAME] [--show N]
                          [--enriched] [--limit N] [--sol-price P] [--clean-keys]
 
+Without --out/--table nothing is written (a dry run): the records are
+computed, counted and the first --show rows printed in token order.
+
 Run with spark-submit on a cluster; cluster settings (shuffle partitions,
 checkpoint dir, AQE) come from the submit configuration.
 """
@@ -15,6 +18,7 @@ import json
 import logging
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +32,7 @@ log = logging.getLogger("ledgerlens")
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="ledgerlens")
     p.add_argument("--tables", required=True, help="directory with mints, burns, swaps, lookups")
-    out = p.add_mutually_exclusive_group(required=True)
+    out = p.add_mutually_exclusive_group()
     out.add_argument("--out", help="Parquet path to append to")
     out.add_argument("--table", help="catalog table to create if absent and append to")
     p.add_argument("--enriched", action="store_true",
@@ -36,6 +40,7 @@ def main(argv=None) -> int:
     p.add_argument("--limit", type=int, default=None, help="first N tokens by key (default: all)")
     p.add_argument("--sol-price", type=float, default=None)
     p.add_argument("--clean-keys", action="store_true", help="keys already normalised on write")
+    p.add_argument("--show", type=int, default=0, help="print the first N records by token")
     a = p.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
@@ -48,9 +53,17 @@ def main(argv=None) -> int:
     obs = Observation("run_summary")
     observed = records.observe(obs, F.count(F.lit(1)).alias("records"),
                                F.count("symbol").alias("records_with_symbol"))
-    if a.table:
-        ensure_metrics_table(spark, a.table)
-    n = append_metrics(observed, path=a.out, table=a.table)
+    if a.out or a.table:
+        if a.table:
+            ensure_metrics_table(spark, a.table)
+        n = append_metrics(observed, path=a.out, table=a.table)
+    else:
+        observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
+        n = observed.count()
+    if a.show:
+        observed.orderBy("token_address").show(a.show, truncate=False)
+    if not (a.out or a.table):
+        observed.unpersist()
     summary = dict(obs.get) if n else {"records": 0, "records_with_symbol": 0}
     summary["seconds"] = round(time.time() - t0, 2)
     log.info("processed: %s", json.dumps(summary))

@@ -20,3 +20,17 @@ def test_cli_end_to_end(spark):
     summary = json.loads(res.stdout.strip().splitlines()[-1])
     assert summary["records"] == spark.read.parquet(f"{d}/out").count() > 0
     assert 0 < summary["records_with_symbol"] <= summary["records"]
+
+
+def test_cli_dry_run_shows_records(spark):
+    from ledgerlens.sources.tables import derive_from_tpch, write_tables
+    d = tempfile.mkdtemp(prefix="ll-cli-")
+    write_tables(derive_from_tpch(spark, "/root/testdata/sf0.001"), f"{d}/in")
+    env = dict(os.environ, PYTHONPATH=ROOT,
+               PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false pyspark-shell")
+    cmd = [sys.executable, "-m", "ledgerlens", "--tables", f"{d}/in", "--show", "3", "--limit", "100"]
+    res = subprocess.run(cmd, env=env, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    summary = json.loads(res.stdout.strip().splitlines()[-1])
+    assert 0 < summary["records"] <= 100
+    assert "token_address" in res.stdout and not os.path.exists(f"{d}/out")
