@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .plans.pipeline import token_metrics, token_metrics_enriched
+from .plans.pipeline import build, enrichment_inputs, records_of
 from .sources.sinks import append_metrics, ensure_metrics_table
 from .sources.tables import read_tables
 
@@ -47,8 +47,12 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()
     t0 = time.time()
     tables = read_tables(spark, a.tables, normalize_keys=not a.clean_keys)
-    build = token_metrics_enriched if a.enriched else token_metrics
-    records = build(tables, sol_price=a.sol_price, limit=a.limit)
+    dec, meta = enrichment_inputs(tables) if a.enriched else (tables.token_decimals, None)
+    # this run owns its lifecycle: keep the one-row-per-token frame so the
+    # pool branch and the record share one aggregation of mints
+    parts = build(tables, decimals=dec, metadata=meta, sol_price=a.sol_price, limit=a.limit,
+                  persist_tokens=True)
+    records = records_of(parts)
 
     obs = Observation("run_summary")
     observed = records.observe(obs, F.count(F.lit(1)).alias("records"),
@@ -64,6 +68,7 @@ def main(argv=None) -> int:
         observed.orderBy("token_address").show(a.show, truncate=False)
     if not (a.out or a.table):
         observed.unpersist()
+    parts.tokens.unpersist()
     summary = dict(obs.get) if n else {"records": 0, "records_with_symbol": 0}
     summary["seconds"] = round(time.time() - t0, 2)
     log.info("processed: %s", json.dumps(summary))

@@ -10,16 +10,22 @@ One lazy plan:
     [metadata] -> left join
     -> supply, burned, circulating, market cap, 12 columns, undated tokens dropped
 
-The token set comes out of the same aggregate as minted and first-mint, so
-``mints`` is scanned once for stages 1, 4 and 6 of the reference.  Every
-per-token input is hash partitioned on the token key, so the final joins
-need no further exchange (or become broadcasts under AQE when small).
+The token set comes out of the same aggregate as minted and first-mint
+(stages 1, 4 and 6 of the reference in one pass).  The pool branch needs the
+token map too; Catalyst prunes that copy to a key-only aggregate, so in a
+lazy plan ``mints`` is aggregated twice (the second time reading only the key
+column).  A caller that owns the run can pass ``persist_tokens=True`` (one row
+per token, memory and disk) so both branches read one aggregation, and
+unpersist ``parts.tokens`` afterwards, as the batch entry point does.  Every
+per-token input is hash partitioned on the token key, so the final joins need
+no further exchange (or become broadcasts under AQE when small).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +60,10 @@ def token_base(mints: DataFrame, limit: int | None = None) -> DataFrame:
 
 def build(tables: TokenTables, *, decimals: DataFrame | None = None,
           metadata: DataFrame | None = None, sol_price: float | None = None,
-          limit: int | None = None) -> PipelineParts:
+          limit: int | None = None, persist_tokens: bool = False) -> PipelineParts:
     tokens = resolved_decimals(token_base(tables.mints, limit), decimals)
+    if persist_tokens:
+        tokens = tokens.persist(StorageLevel.MEMORY_AND_DISK)
     sides = pool_sides(tables.swaps, tokens.select("mint", "decimals"), sol_price)
 
     rec = (tokens
@@ -86,6 +94,12 @@ def build(tables: TokenTables, *, decimals: DataFrame | None = None,
     return PipelineParts(tokens=tokens, sides=sides, records=rec)
 
 
+def records_of(parts: PipelineParts) -> DataFrame:
+    """The 12 record columns; tokens without a first transaction dropped."""
+    return (parts.records.where(F.col("first_tx_date").isNotNull())
+            .select(*TOKEN_METRICS_COLUMNS))
+
+
 def token_metrics(tables: TokenTables, *, decimals: DataFrame | None = None,
                   metadata: DataFrame | None = None, sol_price: float | None = None,
                   limit: int | None = None) -> DataFrame:
@@ -93,25 +107,28 @@ def token_metrics(tables: TokenTables, *, decimals: DataFrame | None = None,
     ``tables.token_decimals``; ``limit`` keeps the first n tokens by key."""
     if decimals is None:
         decimals = tables.token_decimals
-    parts = build(tables, decimals=decimals, metadata=metadata, sol_price=sol_price, limit=limit)
-    return (parts.records.where(F.col("first_tx_date").isNotNull())
-            .select(*TOKEN_METRICS_COLUMNS))
+    return records_of(build(tables, decimals=decimals, metadata=metadata, sol_price=sol_price,
+                            limit=limit))
+
+
+def enrichment_inputs(tables: TokenTables) -> tuple[DataFrame, DataFrame]:
+    """(decimals, metadata) from the captured replies and account blobs."""
+    return (decimals_from_responses(tables.decimals_responses),
+            account_metadata(tables.metadata_accounts))
 
 
 def token_metrics_enriched(tables: TokenTables, *, sol_price: float | None = None,
                            limit: int | None = None) -> DataFrame:
     """The full run: decimals parsed from captured RPC replies, metadata
     decoded from captured account blobs."""
-    dec = decimals_from_responses(tables.decimals_responses)
-    meta = account_metadata(tables.metadata_accounts)
+    dec, meta = enrichment_inputs(tables)
     return token_metrics(tables, decimals=dec, metadata=meta, sol_price=sol_price, limit=limit)
 
 
 def run_summary(tables: TokenTables, *, sol_price: float | None = None,
                 limit: int | None = None) -> DataFrame:
     """One row: tokens found, tokens with a symbol, records produced."""
-    dec = decimals_from_responses(tables.decimals_responses)
-    meta = account_metadata(tables.metadata_accounts)
+    dec, meta = enrichment_inputs(tables)
     rec = build(tables, decimals=dec, metadata=meta, sol_price=sol_price, limit=limit).records
     return rec.agg(F.count(F.lit(1)).alias("tokens_found"),
                    F.count("symbol").alias("tokens_with_symbol"),
