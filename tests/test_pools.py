@@ -93,3 +93,21 @@ def test_token_decimals_used_for_pool_side(spark):
                swaps=[swap("a", "T1", USDC, 1, 1, 500, 10**6, ts(1))])
     s = pools.pool_sides(t.swaps, _dm(t)).first()
     assert s.base_decimals == 2 and s.base_balance_norm == 5.0 and s.price_usd == 1.0 / 5.0
+
+
+def test_best_pool_dominates_its_class_on_fixture(spark):
+    """Over the whole fixture: no side of a token beats its chosen pool."""
+    from pyspark.sql import functions as F
+    from ledgerlens.sources.tables import derive_from_tpch
+    t = derive_from_tpch(spark, "/root/testdata/sf0.001")
+    dm = _dm(t)
+    sides = pools.pool_sides(t.swaps, dm)
+    best = pools.best_pools(sides)
+    chosen = best.join(sides.select("mint", F.col("canonical_source").alias("source"),
+                                    "liquidity_usd", "is_bonding").dropDuplicates(),
+                       ["mint", "source", "liquidity_usd"])
+    better = (sides.alias("s").join(chosen.alias("c"), "mint")
+              .where((F.col("s.is_bonding") < F.col("c.is_bonding"))
+                     | ((F.col("s.is_bonding") == F.col("c.is_bonding"))
+                        & (F.col("s.liquidity_usd") > F.col("c.liquidity_usd")))))
+    assert best.count() > 0 and better.count() == 0
