@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import ANCHORS, SOL, STABLECOINS
+from ..constants import ANCHORS, SOL, SOL_PRICE_USD, STABLECOINS
 
 
 def keys_of(tokens: DataFrame, name: str = "mint") -> DataFrame:
@@ -44,5 +44,4 @@ def usd_per_unit(coin: Column, sol_price: float) -> Column:
 
 def effective_sol_price(sol_price: float | None) -> float:
     """``set_sol_price`` is skipped when the price is falsy."""
-    from ..constants import SOL_PRICE_USD
     return float(sol_price) if sol_price else SOL_PRICE_USD

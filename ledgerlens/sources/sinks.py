@@ -15,7 +15,9 @@ log = logging.getLogger(__name__)
 
 def ensure_metrics_table(spark: SparkSession, table: str, location: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS with the 12-column record shape."""
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = ""
+    if location:
+        loc = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({TOKEN_METRICS_DDL}) USING parquet{loc}")
 
 
