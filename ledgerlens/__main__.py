@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .plans.pipeline import build, enrichment_inputs, records_of
+from .plans.records import build, enrichment_inputs, records_of
 from .sources.sinks import append_metrics, ensure_metrics_table
 from .sources.tables import read_tables
 

@@ -15,7 +15,7 @@ from ..constants import SOL
 from ..operators import discovery, lifetimes, market, pools, pricing, supply
 from ..sources.enrichment import account_metadata, decimals_from_responses
 from ..sources.tables import TokenTables, derive_from_tpch
-from . import pipeline as tm
+from . import records as tm
 
 POINT_TOKEN = SOL          # the bound parameter of the single-token queries
 REPRICE_SOL_USD = 150.0    # the SOL price handed to the repriced pool metrics

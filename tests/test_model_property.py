@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from ledgerlens.constants import SOL, USDC, USDT
-from ledgerlens.plans.pipeline import token_metrics
+from ledgerlens.plans.records import token_metrics
 
 from builders import swap, tables
 from model import records

@@ -55,7 +55,7 @@ def test_scale_plan_shape(spark):
     """The flagship as it runs on big tables: no broadcasts, static plan."""
     import re
     import tempfile
-    from ledgerlens.plans.pipeline import token_metrics
+    from ledgerlens.plans.records import token_metrics
     from ledgerlens.sources.tables import derive_from_tpch, read_tables, write_tables
 
     d = tempfile.mkdtemp(prefix="ll-plan-")

@@ -1,5 +1,5 @@
 from ledgerlens.constants import SOL, TOKEN_METRICS_COLUMNS, USDC
-from ledgerlens.plans.pipeline import token_metrics
+from ledgerlens.plans.records import token_metrics
 from ledgerlens.sources.tables import derive_from_tpch
 
 from builders import swap, tables

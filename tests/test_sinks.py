@@ -1,6 +1,6 @@
 import tempfile
 
-from ledgerlens.plans.pipeline import token_metrics
+from ledgerlens.plans.records import token_metrics
 from ledgerlens.sources.sinks import append_metrics, ensure_metrics_table
 from ledgerlens.sources.tables import derive_from_tpch
 

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql.types import (BinaryType, DecimalType, StructField, StructType, TimestampNTZType)
 
-from ledgerlens.plans.pipeline import token_metrics
+from ledgerlens.plans.records import token_metrics
 from ledgerlens.sources.tables import derive_from_tpch, read_tables, write_tables
 
 SF = "/root/testdata/sf0.001"
