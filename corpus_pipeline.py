@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm.exact_dedup import drop_copies
 from ledgerlens.llm.mixing import mixed_documents
-from ledgerlens.llm.storage import new_path
+from ledgerlens.llm.storage import new_path, ship_package
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,6 +26,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over ``documents``; each result is written and read again."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = new_path(spark, f"stage-{name}")

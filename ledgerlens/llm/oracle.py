@@ -3,6 +3,15 @@
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 ORACLE = {
+    "op3_arc_to_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                          sha1(coalesce(html, '')) AS payload_digest FROM pages),
+             r AS (SELECT *, payload_bytes >= 1000 AND page_id < max(page_id) OVER (
+                              PARTITION BY payload_digest, payload_bytes) AS again,
+                          max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM p)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN last END AS refers_to
+        FROM r""",
     "op10_exact_dedup": f"""
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS k FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY k) AS keep_id, count(*) OVER (PARTITION BY k) AS group_size,

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .archives import archive_round_trip
 from .exact_dedup import exact_classes
 from .mixing import mix
 from .packing import pack_documents
+from .storage import ship_package
 from .token_files import token_file_round_trip
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -30,6 +33,11 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = archive_round_trip(_read(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_round_trip(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -39,4 +47,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_pareto_mix, op4_bit_packed_tokens, op10_exact_dedup)}
+    op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op10_exact_dedup)}

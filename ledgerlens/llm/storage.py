@@ -8,8 +8,11 @@ master is local (tests, notebooks) is a folder of this machine used.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +57,25 @@ def remove_table(df: DataFrame) -> None:
     files = df.inputFiles()
     if files:
         remove(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package where neither their path nor their folder has it.
+
+    On a cluster the package is installed or given by ``--py-files``; a notebook or a
+    script that only changed ``sys.path`` gets it sent from here.
+    """
+    package = Path(__file__).resolve().parents[1]
+    known = [Path.cwd(), *(Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or any(p.resolve() == package.parent for p in known):
+        return
+    file = Path(tempfile.mkdtemp(prefix="ledgerlens-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(file))
+    _SHIPPED.add(app)
