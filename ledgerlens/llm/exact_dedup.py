@@ -12,7 +12,8 @@ documents of one group are dealt by (group, digit, whether the text ends here):
 No digest decides equality.  Documents leave as soon as they are alone, so the
 levels after the first carry only texts that share a prefix.  Counts come from a
 map-side combined aggregate, and documents meet their part's count in an
-equi-join, which Spark can split when one part holds a large share of the rows;
+equi-join, which Spark can split when one part holds a large share of the rows (a
+merge join at every size, so that the plan does not change as the data grow);
 nothing gathers the documents of a part in one task.
 
 Defined cases: a null text is an empty text; a null id orders before any other;
@@ -50,7 +51,7 @@ def exact_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                      .agg(F.count("*").alias("n"), F.max("id").alias("last"))
                      .where("n > 1")
                      .withColumn("part", F.monotonically_increasing_id()), f"radix-parts{level}")
-        met = dealt.join(parts, ["gid", "head", "ends"], "left")
+        met = dealt.join(parts.hint("merge"), ["gid", "head", "ends"], "left")
         going = F.col("part").isNotNull() & ~F.col("ends")
         step = save(met.select(
             "id", "row", "sha", "part", F.col("n").alias("size"), "last", going.alias("going"),
