@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .archives import archive_round_trip
 from .exact_dedup import exact_classes
+from .jaccard_join import near_components
 from .mixing import mix
 from .packing import pack_documents
 from .storage import ship_package
@@ -42,9 +43,14 @@ def op4_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_round_trip(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op10_exact_dedup)}
+    op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op9_ngram_jaccard_join,
+    op10_exact_dedup)}
