@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .archives import archive_round_trip
 from .exact_dedup import exact_classes
@@ -10,6 +10,7 @@ from .jaccard_join import near_components
 from .mixing import mix
 from .packing import pack_documents
 from .storage import ship_package
+from .substring_dedup import remove_repeats
 from .token_files import token_file_round_trip
 
 
@@ -43,6 +44,11 @@ def op4_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_round_trip(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -52,5 +58,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op9_ngram_jaccard_join,
-    op10_exact_dedup)}
+    op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op8_super_kmer_dedup,
+    op9_ngram_jaccard_join, op10_exact_dedup)}

@@ -47,8 +47,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    sep = _SEP[data]
+def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False,
+                between: np.ndarray = _SEP) -> Words:
+    """Words of the texts that ``offsets`` cut out of ``data``; ``between``: which bytes part words."""
+    sep = between[data]
     opens = ~sep
     opens[1:] &= sep[:-1]
     begin = offsets[:-1][offsets[:-1] < len(data)]
@@ -65,6 +67,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> W
     powers = np.cumprod(np.concatenate([[_U(1)], np.full(int((end - start).max()), _BASE)]), dtype=_U)
     np.minimum(place, len(powers) - 1, out=place)
     value = (_BYTE_LOWER if lower else _BYTE)[data[start[0]:]] * powers[place]
+    value[sep[start[0]:]] = 0
     return Words(data, start, end, np.searchsorted(start, offsets), mix64(np.add.reduceat(value, start - start[0])))
 
 
