@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from .storage import remove_table, save
 from .text import whole
 from .tokens import encoder
+from .words import batches_of
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SWEPT = "kind int, key long, size long, seq long, matched boolean, part long, rank long"
@@ -48,15 +49,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_i
     """Encode each text, append ``end_id`` and cut what is longer than ``capacity``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in batches_of(batches, 1, 2 << 20):
+            all_ids, cut = enc.encode(b.column(1))
             out = []
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                for doc, raw in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
-                    raw = memoryview(raw + end)
-                    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        ids = raw[at:at + 4 * capacity]
-                        out.append((doc, k, at // 4, len(ids) // 4, zlib.crc32(ids)))
+            for doc, a, z in zip(b.column(0).to_pylist(), cut[:-1].tolist(), cut[1:].tolist()):
+                raw = memoryview(all_ids[a:z].tobytes() + end)
+                for k, at in enumerate(range(0, len(raw), 4 * capacity)):
+                    ids = raw[at:at + 4 * capacity]
+                    out.append((doc, k, at // 4, len(ids) // 4, zlib.crc32(ids)))
             cols = list(zip(*out)) or [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from .storage import new_path
 from .text import whole
 from .tokens import encoder
+from .words import batches_of
 
 BLOCK = 1 << 16
 _HEAD = struct.Struct("<4sB3xII")
@@ -138,11 +139,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, id_col: str
         end = np.array([end_id], "<u4").tobytes()
 
         def pairs():
-            for b in batches:
-                for i in range(0, b.num_rows, 256):
-                    part = b.slice(i, 256)
-                    for doc, raw in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
-                        yield doc, raw + end
+            for b in batches_of(batches, 1, 2 << 20):
+                ids, cut = enc.encode(b.column(1))
+                for doc, a, z in zip(b.column(0).to_pylist(), cut[:-1].tolist(), cut[1:].tolist()):
+                    yield doc, ids[a:z].tobytes() + end
 
         for row in _blocks(pairs(), width):
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["block"])

@@ -92,3 +92,15 @@ def grams(hashes: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
         out *= factor
         out += hashes[k:len(hashes) - n + 1 + k]
     return mix64(out + _U(n))
+
+
+_ANY_BYTE = np.random.default_rng(20240102).integers(1, 2 ** 63, 256, dtype=_U) | _U(1)
+
+
+def hash_runs(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Hash of each run of bytes; a run ends where the next begins."""
+    place = np.arange(start[0], len(data), dtype=np.int64)
+    size = np.diff(np.append(start, len(data)))
+    place -= np.repeat(start, size)
+    powers = np.cumprod(np.concatenate([[_U(1)], np.full(int(size.max()), _BASE)]), dtype=_U)
+    return mix64(np.add.reduceat(_ANY_BYTE[data[start[0]:]] * powers[place], start - start[0]) + size.astype(_U))
