@@ -12,6 +12,7 @@ from .packing import pack_documents
 from .storage import ship_package
 from .substring_dedup import remove_repeats
 from .token_files import token_file_round_trip
+from .toxicity import score_documents
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,6 +45,11 @@ def op4_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_round_trip(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -58,5 +64,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op8_super_kmer_dedup,
-    op9_ngram_jaccard_join, op10_exact_dedup)}
+    op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op5_bigru_toxicity,
+    op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup)}
