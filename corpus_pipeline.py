@@ -10,14 +10,13 @@ from ledgerlens.llm.mixing import mixed_documents
 from ledgerlens.llm.packing import pack_documents
 from ledgerlens.llm.queries import tokenizer_path
 from ledgerlens.llm.storage import new_path, ship_package
-from ledgerlens.llm.toxicity import score_documents
+from ledgerlens.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go (operator 5)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = score_documents(docs, labels, keep=docs.columns)
-    return scored.where("predicted = 0").select(*docs.columns)
+    return drop_toxic(docs, labels)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -293,7 +293,8 @@ def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     empty = rows.where("n = 0").select(F.col("doc_id").alias("stay_id"), F.col("h").alias("stay_h"),
                                        F.lit(1).cast("long").alias("rows")).distinct()
     both = stay.unionByName(empty)
-    kept = docs.join(both, docs[id_col].cast("long").eqNullSafe(both.stay_id)
-                     & (F.xxhash64(whole(docs[text_col])) == both.stay_h))
-    once = kept.where("rows = 1").select(*docs.columns)
-    return once.unionByName(kept.where("rows > 1").dropDuplicates(["stay_id", "stay_h"]).select(*docs.columns))
+    own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("own_id"),
+                      F.xxhash64(whole(F.col(text_col))).alias("own_h"))
+    kept = own.join(both, own.own_id.eqNullSafe(both.stay_id) & (own.own_h == both.stay_h))
+    once = kept.where("rows = 1").select("row.*")
+    return once.unionByName(kept.where("rows > 1").dropDuplicates(["own_id", "own_h"]).select("row.*"))

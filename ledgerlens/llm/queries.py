@@ -13,6 +13,7 @@ from .storage import ship_package
 from .substring_dedup import remove_repeats
 from .token_files import token_file_round_trip
 from .toxicity import score_documents
+from .vector_dedup import vector_components
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,6 +51,10 @@ def op5_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_components(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -65,4 +70,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op5_bigru_toxicity,
-    op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup)}
+    op7_pq_near_dedup, op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup)}

@@ -232,7 +232,7 @@ def train(texts: list[str], labels: np.ndarray, *, steps: int = 500, batch: int
     p = new_params(len(vocabulary), np.clip(odds[known], -2, 4).astype(np.float32), seed)
     rng, order = np.random.default_rng(seed), []
     mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    cost = np.where(labels > 0, min(2.0, max(1.0, n_good / max(1.0, n_bad))), 1.0)
+    cost = np.where(labels > 0, np.sqrt(min(16.0, max(1.0, n_good / max(1.0, n_bad)))), 1.0)
     hint = np.append(np.where(known, np.maximum(odds, 0), 0), 0.0)
     per_pass = -(-len(labels) // batch)
     for step in range(steps):
@@ -279,28 +279,26 @@ def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 60
     """At most ``sample_docs`` labelled texts outside the held-out fold, by hash order."""
     learn = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     learn = learn.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = docs.select(F.col(id_col).alias("id"), F.substring(whole(F.col(text_col)), 1, sample_chars).alias("text"))
     n_bad = sample_docs // 3
     chosen = [learn.where(rule).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
               for rule, n in ((F.col("toxic") == 1, n_bad), (F.col("toxic") != 1, sample_docs - n_bad))]
     few = chosen[0].unionByName(chosen[1]).select(F.col("doc_id").alias("of"), "toxic")
-    rows = (docs.join(F.broadcast(few), docs[id_col] == few.of)  # at most sample_docs rows
-            .select(F.substring(whole(docs[text_col]), 1, sample_chars).alias("text"), "toxic", "of")
+    rows = (texts.join(F.broadcast(few), texts.id == few.of)  # at most sample_docs rows
             .orderBy(F.xxhash64("of"), "of", "text").limit(sample_docs).collect())
     return [r.text for r in rows], np.array([r.toxic == 1 for r in rows], np.float64)
 
 
-def score_texts(docs: DataFrame, vocabulary: np.ndarray, params: dict[str, np.ndarray], keep: list[str],
-                text_col: str = "text") -> DataFrame:
-    """``keep`` columns and ``score`` of every whole text."""
-    model = docs.sparkSession.sparkContext.broadcast((vocabulary, params))
-    frame = docs.select(*keep, whole(F.col(text_col)).alias("__text"))
-    schema = frame.drop("__text").schema.add("score", "double")
-    at = len(keep)
+def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.ndarray]) -> DataFrame:
+    """``score`` of every whole text, from rows (what to keep, text) to (what to keep, score)."""
+    model = frame.sparkSession.sparkContext.broadcast((vocabulary, params))
+    kept = frame.columns[0]
+    schema = frame.select(kept).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, p = model.value
-        for b in batches_of(batches, at):
-            x = batch_of(b.column(at))
+        for b in batches_of(batches, 1):
+            x = batch_of(b.column(1))
             tables, score = project(p, _vectors(p, words, x)[0]), np.zeros(b.num_rows)
             logit = np.empty(len(x.index), np.float32)
             full = x.index[:, -1] < len(x.hashes)
@@ -309,20 +307,32 @@ def score_texts(docs: DataFrame, vocabulary: np.ndarray, params: dict[str, np.nd
                     own = part[i:i + 2048]
                     logit[own] = logits(p, tables, x.index[own], len(x.hashes))
             np.maximum.at(score, x.doc, _sigmoid(logit))
-            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(score)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], [kept, "score"])
 
     return frame.mapInArrow(run, schema)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, *, keep: list[str] | None = None, threshold: float = 0.7,
-                    id_col: str = "doc_id", text_col: str = "text", steps: int = 500, **sample) -> DataFrame:
-    """``keep`` columns (the id unless given), held_out, score and predicted of every document."""
-    keep = keep or [id_col]
+def trained(docs: DataFrame, labels: DataFrame, *, steps: int = 500, id_col: str = "doc_id", text_col: str = "text",
+            **sample) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """The network learnt from a bounded sample; without any labelled row all its numbers are 0."""
     texts, toxic = training_sample(docs, labels, id_col=id_col, text_col=text_col, **sample)
     if texts:
-        vocabulary, params = train(texts, toxic, steps=steps)
-    else:
-        vocabulary, params = np.empty(0, _U), {k: np.zeros_like(v) for k, v in new_params(0, np.empty(0)).items()}
-    scored = score_texts(docs, vocabulary, params, keep, text_col)
-    return (scored.withColumn("held_out", held_out(F.col(id_col)))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+        return train(texts, toxic, steps=steps)
+    return np.empty(0, _U), {k: np.zeros_like(v) for k, v in new_params(0, np.empty(0)).items()}
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id_col: str = "doc_id",
+                    text_col: str = "text", **kwargs) -> DataFrame:
+    """The id, ``held_out``, ``score`` and ``predicted`` of every document."""
+    model = trained(docs, labels, id_col=id_col, text_col=text_col, **kwargs)
+    scored = score_texts(docs.select(F.col(id_col), whole(F.col(text_col)).alias("text")), *model)
+    return scored.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id_col: str = "doc_id",
+               text_col: str = "text", **kwargs) -> DataFrame:
+    """The documents that are not predicted to be toxic, with their own columns."""
+    model = trained(docs, labels, id_col=id_col, text_col=text_col, **kwargs)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), whole(F.col(text_col)).alias("text"))
+    return score_texts(rows, *model).where(F.col("score") < threshold).select("row.*")
