@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .archives import archive_round_trip
 from .exact_dedup import exact_classes
 from .jaccard_join import near_components
+from .katz import katz_scores
 from .mixing import mix
 from .packing import pack_documents
 from .storage import ship_package
@@ -51,6 +52,10 @@ def op5_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(_read(spark, sf_dir, "documents"))
+
+
 def op7_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_components(_read(spark, sf_dir, "embeddings"))
 
@@ -70,4 +75,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op5_bigru_toxicity,
-    op7_pq_near_dedup, op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup)}
+    op6_katz_backoff, op7_pq_near_dedup, op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup)}

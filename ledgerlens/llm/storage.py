@@ -8,6 +8,7 @@ master is local (tests, notebooks) is a folder of this machine used.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -79,3 +80,12 @@ def ship_package(spark: SparkSession) -> None:
             z.write(p, p.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(file))
     _SHIPPED.add(app)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are no longer referenced.
+
+    It does so when the driver collects garbage, which an idle driver may not do for long.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
