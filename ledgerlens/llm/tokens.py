@@ -63,7 +63,7 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str, room: int = 3_000_000) -> None:
+    def __init__(self, path: str, room: int = 1_500_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
