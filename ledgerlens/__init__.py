@@ -5,4 +5,4 @@ from Spark's own expressions, joins, aggregates and windows.  Nothing is
 collected to the driver inside an operator.
 """
 
-__all__ = ["constants", "functions", "sources", "operators", "plans", "streaming"]
+__all__ = ["constants", "functions", "sources", "operators", "plans"]

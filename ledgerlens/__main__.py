@@ -8,7 +8,7 @@ Without --out/--table nothing is written (a dry run): the records are
 computed, counted and the first --show rows printed in token order.
 
 Run with spark-submit on a cluster; cluster settings (shuffle partitions,
-checkpoint dir, AQE) come from the submit configuration.
+AQE) come from the submit configuration.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import logging
 import time
 
 from pyspark import StorageLevel
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .plans.records import build, enrichment_inputs, records_of
@@ -42,6 +42,8 @@ def main(argv=None) -> int:
     p.add_argument("--clean-keys", action="store_true", help="keys already normalised on write")
     p.add_argument("--show", type=int, default=0, help="print the first N records by token")
     a = p.parse_args(argv)
+    if a.sol_price is not None and not a.sol_price > 0:
+        p.error("--sol-price must be above 0")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()
@@ -52,24 +54,18 @@ def main(argv=None) -> int:
     # pool branch and the record share one aggregation of mints
     parts = build(tables, decimals=dec, metadata=meta, sol_price=a.sol_price, limit=a.limit,
                   persist_tokens=True)
-    records = records_of(parts)
-
-    obs = Observation("run_summary")
-    observed = records.observe(obs, F.count(F.lit(1)).alias("records"),
-                               F.count("symbol").alias("records_with_symbol"))
+    records = records_of(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    # the counts fill the cache; the write and the printed rows read it
+    counts = records.agg(F.count(F.lit(1)).alias("records"), F.count("symbol").alias("records_with_symbol")).first()
+    summary = counts.asDict()
     if a.out or a.table:
         if a.table:
             ensure_metrics_table(spark, a.table)
-        n = append_metrics(observed, path=a.out, table=a.table)
-    else:
-        observed = observed.persist(StorageLevel.MEMORY_AND_DISK)
-        n = observed.count()
+        append_metrics(records, path=a.out, table=a.table, rows=counts.records)
     if a.show:
-        observed.orderBy("token_address").show(a.show, truncate=False)
-    if not (a.out or a.table):
-        observed.unpersist()
+        records.orderBy("token_address").show(a.show, truncate=False)
+    records.unpersist()
     parts.tokens.unpersist()
-    summary = dict(obs.get) if n else {"records": 0, "records_with_symbol": 0}
     summary["seconds"] = round(time.time() - t0, 2)
     log.info("processed: %s", json.dumps(summary))
     print(json.dumps(summary))

@@ -17,6 +17,7 @@ FIXED VALUES (addresses, preset decimals, default prices), in natural order:
     Recent swaps considered per token for the trade price: 100
     Account blob: name length prefix at byte 65, symbol at 101, uri at 115
         (0-based), blobs shorter than 65 bytes carry no metadata.
+    Account blob JSON path: $.result.value.data[0]
     Decimals JSON path: $.result.value.data.parsed.info.decimals
 """
 
@@ -51,6 +52,7 @@ NAME_OFFSET = 65
 SYMBOL_OFFSET = NAME_OFFSET + 4 + 32
 URI_OFFSET = SYMBOL_OFFSET + 4 + 10
 
+ACCOUNT_JSON_PATH = "$.result.value.data[0]"
 DECIMALS_JSON_PATH = "$.result.value.data.parsed.info.decimals"
 
 # Output column order of the per-token record.

@@ -29,8 +29,16 @@ def ratio(num, den) -> Column:
     return _c(num).cast("double") / F.when(d != 0, d)
 
 
-def safe_ratio(num, den) -> Column:
-    """num / den as doubles, 0.0 when either side is 0 (reference's guard)."""
-    n = _c(num).cast("double")
-    d = _c(den).cast("double")
-    return F.when((n == 0) | (d == 0), F.lit(0.0)).otherwise(n / F.when(d != 0, d))
+def lookup(key: Column, table: dict, default=None) -> Column:
+    """The value of a small constant table by key, else ``default`` (null)."""
+    expr = F.when(F.lit(False), F.lit(None))
+    for k, v in table.items():
+        expr = expr.when(key == k, F.lit(v))
+    return expr.otherwise(F.lit(default))
+
+
+def valid_decimals(value) -> Column:
+    """A token's decimals as an integer: an unsigned byte on chain, so anything
+    outside 0..255 (or not a number) counts as unresolved (null)."""
+    d = _c(value).try_cast("bigint")
+    return F.when(d.between(0, 255), d).cast("int")

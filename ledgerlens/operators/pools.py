@@ -8,8 +8,8 @@ aggregated over every swap that has an anchor (SOL, USDC, USDT) on one side
 joined to the much smaller per-pool result afterwards:
 
     swaps --anchor filter--> max(struct(time, base, quote)) per pool  [partial agg]
-          --HAVING both > 0--> left join token map on base, on quote (membership,
-          decimals) --> candidacy --> one row per token side
+          --HAVING both > 0--> left join token map on the coin that is no anchor
+          (membership, decimals) --> candidacy --> one row per token side
           --> per token: best pool and reserves (one partial + final aggregate)
 
 No OR-join, no nested-loop join; hot pools and hot tokens are reduced map-side.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_POOL_DECIMALS, SOL_POOL_DECIMALS
 from ..functions.numeric import scale_down, scale_down_exact
-from ..functions.sources import canonical_source, is_bonding
+from ..functions.sources import canonical_source, is_bonding, pool_class
 from .common import effective_sol_price, is_anchor, is_sol, is_stable, keys_of, usd_per_unit
 
 POOL_KEYS = ("canonical_source", "base_coin", "quote_coin")
@@ -72,21 +72,29 @@ def candidate_pool_states(swaps: DataFrame, decimals_map: DataFrame) -> DataFram
     with each side's membership and decimals.
 
     ``decimals_map`` is the run's token set with its decimals (mint,
-    decimals), one row per token.  It is joined to the pool row twice, on the
-    base coin and on the quote coin (equi-joins; AQE broadcasts the map when
-    it is small).  A pool is a candidate when some side is a token whose
-    other side is an anchor.  A side that is not a token takes 9 decimals for
-    SOL and 6 otherwise."""
+    decimals), one row per token.  Every live pool has an anchor on a side,
+    so a join on either coin would gather most pools in three keys.  The map is
+    therefore joined on the coin that is no anchor (null in a pool of two
+    anchors, of which there are a handful); the anchors' own rows, three at
+    most as keys are unique, are broadcast.  A pool is a candidate when some
+    side is a token whose other side is an anchor.  A side that is not a token
+    takes 9 decimals for SOL and 6 otherwise."""
     dm = decimals_map.select("mint", "decimals")
-    base_map = dm.select(F.col("mint").alias("base_coin"), F.lit(True).alias("base_is_token"),
-                         F.col("decimals").alias("_bd"))
-    quote_map = dm.select(F.col("mint").alias("quote_coin"), F.lit(True).alias("quote_is_token"),
-                          F.col("decimals").alias("_qd"))
+    anchors = F.broadcast(dm.where(is_anchor(F.col("mint"))))
+    base, quote = F.col("base_coin"), F.col("quote_coin")
+
+    def anchor_rows(side: str) -> DataFrame:
+        return anchors.select(F.col("mint").alias(f"{side}_coin"), F.col("decimals").alias(f"_{side}_d"))
+
+    others = dm.select(F.col("mint").alias("_other"), F.col("decimals").alias("_other_d"))
     pools = (live_pools(swaps)
-             .join(base_map, "base_coin", "left")
-             .join(quote_map, "quote_coin", "left"))
-    base_in = F.coalesce("base_is_token", F.lit(False))
-    quote_in = F.coalesce("quote_is_token", F.lit(False))
+             .withColumn("_other", F.when(~is_anchor(base), base).when(~is_anchor(quote), quote))
+             .join(others, "_other", "left")
+             .join(anchor_rows("base"), "base_coin", "left")
+             .join(anchor_rows("quote"), "quote_coin", "left")
+             .withColumn("_bd", F.when(is_anchor(base), F.col("_base_d")).otherwise(F.col("_other_d")))
+             .withColumn("_qd", F.when(is_anchor(quote), F.col("_quote_d")).otherwise(F.col("_other_d"))))
+    base_in, quote_in = F.col("_bd").isNotNull(), F.col("_qd").isNotNull()
     candidate = ((base_in & is_anchor(F.col("quote_coin")))
                  | (quote_in & is_anchor(F.col("base_coin"))))
     return pools.where(candidate).select(
@@ -113,13 +121,17 @@ def pool_sides(swaps: DataFrame, decimals_map: DataFrame, sol_price: float | Non
            .select("side.mint", *POOL_KEYS, "side.token_is_base", "last_block_time",
                    "last_base_balance", "last_quote_balance", "side.token_decimals",
                    "base_decimals", "quote_decimals"))
-    out = out.select(
+    return valued_pools(out, price).select("*", pool_price(price).alias("price_usd"))
+
+
+def valued_pools(pools: DataFrame, sol_price: float | None = None) -> DataFrame:
+    """Candidate pools (or their sides) with normalised balances, liquidity and class."""
+    out = pools.select(
         "*",
         scale_down("last_base_balance", "base_decimals").alias("base_balance_norm"),
         scale_down("last_quote_balance", "quote_decimals").alias("quote_balance_norm"))
-    return out.select("*", pool_liquidity(price).alias("liquidity_usd"),
-                      is_bonding("canonical_source").alias("is_bonding"),
-                      pool_price(price).alias("price_usd"))
+    return out.select("*", pool_liquidity(sol_price).alias("liquidity_usd"),
+                      is_bonding("canonical_source").alias("is_bonding"))
 
 
 def pool_liquidity(sol_price: float | None = None):
@@ -227,8 +239,7 @@ def token_reserves(tokens: DataFrame, swaps: DataFrame, decimals_map: DataFrame,
 def pool_class_counts(swaps: DataFrame) -> DataFrame:
     """(pool_class, n_pools): live anchor pools per class."""
     pools = live_pools(swaps)
-    cls = F.when(is_bonding("canonical_source"), F.lit("bonding")).otherwise(F.lit("priority"))
-    return pools.groupBy(cls.alias("pool_class")).agg(F.count(F.lit(1)).alias("n_pools"))
+    return pools.groupBy(pool_class("canonical_source").alias("pool_class")).agg(F.count(F.lit(1)).alias("n_pools"))
 
 
 def canonical_source_counts(swaps: DataFrame) -> DataFrame:
@@ -237,7 +248,7 @@ def canonical_source_counts(swaps: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_swaps")))
 
 
-__all__ = ["anchor_swaps", "latest_pool_state", "live_pools", "candidate_pool_states", "pool_sides", "pool_liquidity",
+__all__ = ["anchor_swaps", "latest_pool_state", "live_pools", "candidate_pool_states", "pool_sides", "valued_pools", "pool_liquidity",
            "pool_price", "candidate_pools", "best_pools", "best_pool_metrics",
            "reserves_by_token", "pool_summary_by_token", "token_reserves", "pool_class_counts", "canonical_source_counts",
            "POOL_KEYS"]

@@ -58,21 +58,28 @@ def prices_in_usd(swaps: DataFrame, tokens: DataFrame | None = None,
 
 
 def recent_swaps(swaps: DataFrame, tokens: DataFrame | None = None,
-                 n: int = RECENT_SWAPS_PER_TOKEN) -> DataFrame:
+                 n: int = RECENT_SWAPS_PER_TOKEN, stripes: int = 64) -> DataFrame:
     """(mint, recency_rank, base_coin, ..., block_time): each token's ``n``
     latest swaps on either side (a swap with base = quote counts once).
 
     Order: block_time desc, then every selected column desc (a total order up
-    to identical rows).  ``row_number() <= n`` is planned as a partial
-    WindowGroupLimit before the shuffle, so a hot token sends at most ``n``
-    rows per map task."""
+    to identical rows).  The ranking has two levels.  First within (token, stripe of
+    the input's tasks): Spark plans ``row_number() <= n`` as a partial
+    WindowGroupLimit before the shuffle, so a task sends at most ``n`` rows of a
+    token, and a hot token's rows meet in ``stripes`` tasks, not in one.  Then per
+    token, over ``n * stripes`` rows at most and of wanted tokens only.  Which
+    stripe a row is in does not change the result."""
     sides = swaps.select(F.explode(F.array_distinct(F.array("base_coin", "quote_coin"))).alias("mint"),
                          *SWAP_VALUE_COLUMNS, "block_time").where(is_valid_key("mint"))
     w = Window.partitionBy("mint").orderBy(
         F.col("block_time").desc(), *[F.col(c).desc() for c in SWAP_VALUE_COLUMNS])
-    top = (sides.select("*", F.row_number().over(w).alias("recency_rank"))
+    by_stripe = Window.partitionBy("mint", "_stripe").orderBy(
+        F.col("block_time").desc(), *[F.col(c).desc() for c in SWAP_VALUE_COLUMNS])
+    near = (sides.select("*", F.pmod(F.spark_partition_id(), F.lit(stripes)).alias("_stripe"))
+            .select("*", F.row_number().over(by_stripe).alias("_rank"))
+            .where(F.col("_rank") <= n).drop("_rank", "_stripe"))
+    top = (restrict(near, tokens).select("*", F.row_number().over(w).alias("recency_rank"))
            .where(F.col("recency_rank") <= n))
-    top = restrict(top, tokens)
     return top.select("mint", "recency_rank", *SWAP_VALUE_COLUMNS, "block_time")
 
 
@@ -109,12 +116,12 @@ def trade_price(sol_price: float | None = None):
             .otherwise(F.lit(0.0)))
 
 
-def recent_trade_price(tokens: DataFrame, swaps: DataFrame,
-                       sol_price: float | None = None) -> DataFrame:
-    """(mint, liquidity, price_usd) for every token: among its 100 latest
-    swaps, the one with the highest positive single-swap liquidity (the most
+def recent_trade_price(tokens: DataFrame, swaps: DataFrame, sol_price: float | None = None,
+                       n: int = RECENT_SWAPS_PER_TOKEN) -> DataFrame:
+    """(mint, liquidity, price_usd) for every token: among its ``n`` latest
+    swaps (100, the operator's definition), the one with the highest positive single-swap liquidity (the most
     recent on ties) prices the token; 0.0 when none qualifies."""
-    recent = recent_swaps(swaps, tokens).select("*", trade_liquidity(sol_price).alias("liquidity"))
+    recent = recent_swaps(swaps, tokens, n).select("*", trade_liquidity(sol_price).alias("liquidity"))
     w = Window.partitionBy("mint").orderBy(F.col("liquidity").desc(), F.col("recency_rank").asc())
     best = (recent.where(F.col("liquidity") > 0)
             .select("*", F.row_number().over(w).alias("_rn"))

@@ -8,19 +8,12 @@ from pyspark.sql import functions as F
 from ..constants import (DEFAULT_RESOLVED_DECIMALS, DEFAULT_STATIC_DECIMALS, PRESET_DECIMALS,
                          STATIC_DECIMALS)
 from ..functions.keys import is_valid_key
-from ..functions.numeric import scale_down, scale_down_exact
+from ..functions.numeric import lookup, scale_down, scale_down_exact, valid_decimals
 from .common import restrict
 
 RAW = "decimal(38,0)"
 
 
-def _lookup(col, table: dict, default=None):
-    expr = None
-    for k, v in table.items():
-        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
-    return expr if default is None else expr.otherwise(F.lit(default))
-
-
 def minted_by_token(mints: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
     """(mint, minted_raw): SUM(amount) GROUP BY mint, exact."""
     agg = (mints.where(is_valid_key("mint")).groupBy("mint")
@@ -38,17 +31,17 @@ def burned_by_token(burns: DataFrame, tokens: DataFrame | None = None) -> DataFr
 def resolved_decimals(tokens: DataFrame, decimals: DataFrame | None) -> DataFrame:
     """The decimals map of a run: the token frame (all its columns kept) plus
     ``decimals`` = preset (SOL 9, USDC 6, USDT 6), else the resolved value,
-    else 6.  ``decimals`` must have one row per mint."""
+    else 6.  A value outside 0..255 is unresolved; of several the largest counts."""
     base = tokens
     if decimals is not None:
         # one value per key even if the lookup repeats a (normalised) key
-        per_key = decimals.groupBy("mint").agg(F.max("decimals").alias("_d"))
+        per_key = decimals.groupBy("mint").agg(F.max(valid_decimals("decimals")).alias("_d"))
         base = base.join(per_key, "mint", "left")
         resolved = F.col("_d")
     else:
         resolved = F.lit(None)
     return base.select(*tokens.columns,
-                       F.coalesce(_lookup(F.col("mint"), PRESET_DECIMALS), resolved,
+                       F.coalesce(lookup(F.col("mint"), PRESET_DECIMALS), resolved,
                                   F.lit(DEFAULT_RESOLVED_DECIMALS)).cast("int").alias("decimals"))
 
 
@@ -73,7 +66,7 @@ def token_supply(tokens: DataFrame | None, mints: DataFrame, burns: DataFrame,
     if decimals is not None:
         dec = resolved_decimals(base, decimals)
     else:
-        dec = base.select("*", _lookup(F.col("mint"), STATIC_DECIMALS, DEFAULT_STATIC_DECIMALS)
+        dec = base.select("*", lookup(F.col("mint"), STATIC_DECIMALS, DEFAULT_STATIC_DECIMALS)
                           .cast("int").alias("decimals"))
     out = dec.join(burned_by_token(burns), "mint", "left")
     return out.select(
@@ -95,7 +88,7 @@ def initial_minted_normalized(mints: DataFrame, tokens: DataFrame | None = None)
     """(mint, minted_raw, initial_minted_normalized): minted divided by the
     static decimals table (9 unless SOL/USDC/USDT/USDH), float first."""
     m = minted_by_token(mints, tokens)
-    d = _lookup(F.col("mint"), STATIC_DECIMALS, DEFAULT_STATIC_DECIMALS)
+    d = lookup(F.col("mint"), STATIC_DECIMALS, DEFAULT_STATIC_DECIMALS)
     return m.select("mint", "minted_raw",
                     scale_down("minted_raw", d).alias("initial_minted_normalized"))
 

@@ -10,7 +10,7 @@ DECIMAL, in both engines.
 
 from __future__ import annotations
 
-from ..constants import SOL, USDC, USDT
+from ..constants import SOL, USDC, USDH, USDT
 from ..sources import fixtures
 
 A = f"('{SOL}', '{USDC}', '{USDT}')"
@@ -223,7 +223,14 @@ select case when contains(lower(canonical_source), 'bondingcurve') then 'bonding
        count(*) as n_pools
 from latest where last_base_balance > 0 and last_quote_balance > 0 group by 1""",
     "minted_by_token": _with() + "select mint, minted_raw from minted",
-    "burned_by_token": _with() + "select mint, burned_raw from burned",
+    "burned_by_token": _with() + "select mint, burned_raw from burned where mint in (select mint from tokens)",
+    "token_discovery_limited": _with() + "select mint from tokens order by mint limit 100",
+    "token_supply_static": _with() + f"""
+select s.mint, x.d as decimals, s.minted_raw, s.burned_raw,
+       greatest(0.0e0, {_exact('s.minted_raw - s.burned_raw', 'x.d')}) as supply
+from supply s join (select mint, cast(case when mint = '{SOL}' then 9 when mint in ('{USDC}', '{USDT}', '{USDH}') then 6
+                                      else 9 end as integer) as d from tokens) x on x.mint = s.mint""",
+    "token_metrics_from_files": _with() + _pipeline("token_decimals", None),
     "token_supply": _with() + "select mint, decimals, minted_raw, burned_raw, supply from supply",
     "token_supply_point": fixtures.duckdb_ctes(["mints", "burns"]) + f"""
 select '{SOL}' as mint,
@@ -233,7 +240,7 @@ select '{SOL}' as mint,
     "initial_minted_normalized": _with() + f"""
 select mint, minted_raw,
        cast(minted_raw as double) / pow(10, case when mint in ('{SOL}') then 9
-            when mint in ('{USDC}', '{USDT}', 'USDH1SM1ojwWUga67PGrgFWUHibbjqMvuMaDkRJTgkX') then 6 else 9 end)
+            when mint in ('{USDC}', '{USDT}', '{USDH}') then 6 else 9 end)
          as initial_minted_normalized
 from minted""",
     "burned_normalized": _with() + f"""

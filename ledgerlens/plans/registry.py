@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from ..constants import SOL
 from ..operators import discovery, lifetimes, market, pools, pricing, supply
 from ..sources.enrichment import account_metadata, decimals_from_responses
-from ..sources.tables import TokenTables, derive_from_tpch
+from ..session import new_folder
+from ..sources.tables import TokenTables, derive_from_tpch, read_tables, write_raw
 from . import records as tm
 
 POINT_TOKEN = SOL          # the bound parameter of the single-token queries
+FIRST_TOKENS = 100         # the limit of the limited discovery
 REPRICE_SOL_USD = 150.0    # the SOL price handed to the repriced pool metrics
 
 
@@ -37,6 +39,22 @@ def q_token_discovery(spark, sf_dir):
     return _tokens(_tables(spark, sf_dir))
 
 
+def q_token_discovery_limited(spark, sf_dir):
+    return discovery.discover_tokens(_tables(spark, sf_dir).mints, limit=FIRST_TOKENS)
+
+
+def q_token_supply_static(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return supply.token_supply(None, t.mints, t.burns)
+
+
+def q_token_metrics_from_files(spark, sf_dir):
+    """The path a user runs: uncleaned multi-file tables through ``read_tables``."""
+    root = new_folder(spark, "tables")
+    write_raw(spark, sf_dir, root)
+    return tm.token_metrics(read_tables(spark, root))
+
+
 def q_normalized_keys(spark, sf_dir):
     t = _tables(spark, sf_dir)
     one, zero = F.lit(1), F.lit(0)
@@ -62,7 +80,8 @@ def q_minted_by_token(spark, sf_dir):
 
 
 def q_burned_by_token(spark, sf_dir):
-    return supply.burned_by_token(_tables(spark, sf_dir).burns)
+    t = _tables(spark, sf_dir)
+    return supply.burned_by_token(t.burns, _tokens(t))
 
 
 def q_token_supply(spark, sf_dir):
@@ -117,6 +136,10 @@ def _sides(t: TokenTables, sol_price=None) -> DataFrame:
     return pools.pool_sides(t.swaps, _dec_map(t), sol_price)
 
 
+def _valued(t: TokenTables) -> DataFrame:
+    return pools.valued_pools(pools.candidate_pool_states(t.swaps, _dec_map(t)))
+
+
 def q_pool_sides(spark, sf_dir):
     s = _sides(_tables(spark, sf_dir))
     return s.select("mint", *pools.POOL_KEYS, "token_is_base", "token_decimals",
@@ -124,42 +147,46 @@ def q_pool_sides(spark, sf_dir):
 
 
 def q_pool_balances(spark, sf_dir):
-    s = _sides(_tables(spark, sf_dir))
-    return s.select(*pools.POOL_KEYS, "base_decimals", "quote_decimals", "base_balance_norm",
-                    "quote_balance_norm").distinct()
+    s = _valued(_tables(spark, sf_dir))
+    return s.select(*pools.POOL_KEYS, "base_decimals", "quote_decimals", "base_balance_norm", "quote_balance_norm")
 
 
 def q_pool_liquidity(spark, sf_dir):
-    s = _sides(_tables(spark, sf_dir))
-    return s.select(*pools.POOL_KEYS, "is_bonding", "liquidity_usd").distinct()
+    s = _valued(_tables(spark, sf_dir))
+    return s.select(*pools.POOL_KEYS, "is_bonding", "liquidity_usd")
 
 
 def q_best_pool_metrics(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return pools.best_pool_metrics(_tokens(t), t.swaps, _dec_map(t))
+    tokens = _dec_map(t)  # the token set with its decimals feeds every branch
+    return pools.best_pool_metrics(tokens, t.swaps, tokens)
 
 
 def q_best_pool_metrics_repriced(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return pools.best_pool_metrics(_tokens(t), t.swaps, _dec_map(t), sol_price=REPRICE_SOL_USD)
+    tokens = _dec_map(t)
+    return pools.best_pool_metrics(tokens, t.swaps, tokens, sol_price=REPRICE_SOL_USD)
 
 
 def q_token_reserves(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return pools.token_reserves(_tokens(t), t.swaps, _dec_map(t))
+    tokens = _dec_map(t)
+    return pools.token_reserves(tokens, t.swaps, tokens)
 
 
 def q_circulating_supply(spark, sf_dir):
     t = _tables(spark, sf_dir)
     sup = supply.token_supply(None, t.mints, t.burns, t.token_decimals)
-    res = pools.token_reserves(_tokens(t), t.swaps, _dec_map(t))
+    # the supply frame is left-joined to the reserves, so they need no token set of their own
+    res = pools.reserves_by_token(pools.pool_sides(t.swaps, _dec_map(t)))
     return supply.circulating_supply(sup, res)
 
 
 def q_market_caps(spark, sf_dir):
     t = _tables(spark, sf_dir)
     sup = supply.token_supply(None, t.mints, t.burns, t.token_decimals)
-    return market.market_caps(sup, pricing.prices_in_usd(t.swaps, _tokens(t)))
+    # left join on the supplies: prices of other coins fall away there
+    return market.market_caps(sup, pricing.prices_in_usd(t.swaps))
 
 
 def q_latest_price_in_sol(spark, sf_dir):

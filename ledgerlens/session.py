@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,18 +24,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` when set; only a local test
-    session (no setting) gets a scratch directory of its own."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder for tables of one run: below ``spark.checkpoint.dir``, which all
+    executors share; only a local session without that setting gets one of this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        base = "file://" + tempfile.mkdtemp(prefix="ledgerlens-")
+    return f"{base.rstrip('/')}/ledgerlens-{name}-{uuid.uuid4().hex}"

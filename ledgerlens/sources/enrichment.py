@@ -10,16 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (DECIMALS_JSON_PATH, DEFAULT_RESOLVED_DECIMALS, NAME_OFFSET,
+from ..constants import (ACCOUNT_JSON_PATH, DECIMALS_JSON_PATH, DEFAULT_RESOLVED_DECIMALS, NAME_OFFSET,
                          PRESET_DECIMALS, SYMBOL_OFFSET, URI_OFFSET, BLOB_MIN_LENGTH)
 from ..functions.binary import read_length_prefixed
+from ..functions.numeric import lookup, valid_decimals
 
-
-def preset_decimals(key: Column) -> Column:
-    expr = None
-    for mint, d in PRESET_DECIMALS.items():
-        expr = F.when(key == mint, F.lit(d)) if expr is None else expr.when(key == mint, F.lit(d))
-    return expr
+_B64 = "[A-Za-z0-9+/]"
 
 
 def decimals_from_responses(responses: DataFrame) -> DataFrame:
@@ -27,15 +23,16 @@ def decimals_from_responses(responses: DataFrame) -> DataFrame:
 
     Presets (SOL 9, USDC 6, USDT 6) win; then the parsed
     ``result.value.data.parsed.info.decimals``; a missing account, an
-    unparsed payload, malformed JSON or an error reply give 6."""
+    unparsed payload, malformed JSON, an error reply or a value outside
+    0..255 give 6."""
     parsed = F.get_json_object(F.col("response_json"), DECIMALS_JSON_PATH)
-    value = F.expr("try_cast(_parsed as bigint)")
+    value = valid_decimals("_parsed")
     # several replies for one mint: a parsed value wins over a failed one
     per_key = (responses.select("mint", parsed.alias("_parsed"))
                .select("mint", value.alias("_v"))
                .groupBy("mint").agg(F.max("_v").alias("_v")))
     return per_key.select(
-        "mint", F.coalesce(preset_decimals(F.col("mint")), F.col("_v"),
+        "mint", F.coalesce(lookup(F.col("mint"), PRESET_DECIMALS), F.col("_v"),
                            F.lit(DEFAULT_RESOLVED_DECIMALS)).cast("bigint").alias("decimals"))
 
 
@@ -48,13 +45,22 @@ def metadata_per_token(metadata: DataFrame) -> DataFrame:
 
 
 def account_metadata(accounts: DataFrame) -> DataFrame:
-    """(mint, account_data_b64) -> (mint, symbol, name, uri), all native.
+    """(mint, account_data_b64 and/or response_json) -> (mint, symbol, name, uri), all native.
 
-    Bad base64 or a blob shorter than 65 bytes gives three nulls; each string
+    The blob is given as base64, or as the whole reply, whose
+    ``result.value.data[0]`` is then taken.  Characters outside the alphabet are
+    skipped and what follows a complete padding is ignored; a missing or
+    misplaced padding is bad base64.  Bad base64 or a blob shorter than 65 bytes gives three nulls; each string
     is a u32-LE length plus UTF-8 bytes at a fixed offset (name 65, symbol
     101, uri 115), decoded leniently, trailing NULs and whitespace removed,
     '' -> null."""
-    blob = F.expr("try_to_binary(account_data_b64, 'base64')")
+    given = [F.col("account_data_b64")] if "account_data_b64" in accounts.columns else []
+    if "response_json" in accounts.columns:
+        given.append(F.get_json_object("response_json", ACCOUNT_JSON_PATH))
+    clean = F.regexp_replace(F.coalesce(*given), "[^A-Za-z0-9+/=]", "")
+    quads = F.regexp_extract(clean, f"^((?:{_B64}{{4}})*(?:{_B64}{{2}}==|{_B64}{{3}}=)?)", 1)
+    whole = (F.length(quads) == F.length(clean)) | quads.endswith("=")
+    blob = F.try_to_binary(F.when(whole, quads), F.lit("base64"))
     b = F.col("_blob")
     ok = b.isNotNull() & (F.length(b) >= BLOB_MIN_LENGTH)
 

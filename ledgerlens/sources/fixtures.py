@@ -9,18 +9,20 @@ texts as CTEs over its pre-registered views.  Templates use ``{lineitem}`` /
 ``{part}`` placeholders and ``{{ }}`` for literal braces.
 
 The modulo rules below are part of the derivation (they create tokens without
-swaps, null times and missing decimals); every row of the base tables is read.
+swaps, null times and missing decimals).  Every ``lineitem`` row feeds at least
+one relation: the mints take the return flag 'N', the burns 'R' and 'A', the
+swaps the line status 'O' except for the swapless tokens; ``part`` feeds the lookups.
 """
 
 from __future__ import annotations
 
-from ..constants import SOL, USDC, USDT
+from ..constants import SOL, USDC, USDH, USDT
 
 
 def token_expr(k: str) -> str:
-    """TOKEN(k): keys 1..3 are the anchors, others 'T' + 8-digit id."""
+    """TOKEN(k): keys 1..3 are the anchors, 4 is USDH, others 'T' + 8-digit id."""
     return (f"case {k} when 1 then '{SOL}' when 2 then '{USDC}' when 3 then '{USDT}' "
-            f"else concat('T', lpad(cast({k} as string), 8, '0')) end")
+            f"when 4 then '{USDH}' else concat('T', lpad(cast({k} as string), 8, '0')) end")
 
 
 MINTS_SQL = f"""
@@ -36,7 +38,7 @@ BURNS_SQL = f"""
 select {token_expr('l_partkey')} as mint,
        cast(l_quantity * 100000000 as decimal(20,0)) as amount,
        l_shipdate as block_time
-from {{lineitem}} where l_returnflag = 'R' and l_linestatus = 'F'
+from {{lineitem}} where l_returnflag in ('R', 'A')
 """
 
 SWAPS_SQL = f"""
@@ -76,47 +78,54 @@ select {token_expr('p_partkey')} as mint,
 from {{part}} where p_partkey % 7 <> 0 or p_partkey <= 3
 """
 
-DECIMALS_RESPONSES_SQL = """
-select concat('T', lpad(cast(p_partkey as string), 8, '0')) as mint,
+# k: 0 no account, 1 unparsed payload, 2 not JSON, 3 and 4 parsed; a value of 1000 is out of range.
+DECIMALS_RESPONSES_SQL = f"select {token_expr('p_partkey')} as mint," + """
        case p_partkey % 5
          when 0 then '{{"jsonrpc":"2.0","id":1,"result":{{"value":null}}}}'
          when 1 then '{{"jsonrpc":"2.0","id":1,"result":{{"value":{{"data":["AA==","base64"]}}}}}}'
          when 2 then 'not json'
          else concat('{{"jsonrpc":"2.0","id":1,"result":{{"value":{{"data":{{"parsed":{{"info":{{"decimals":',
-                     cast(p_size % 10 as string), '}}}}}}}}}}}}') end as response_json
+                     cast(case when p_partkey % 13 = 0 then 99999999999 else p_size % 10 end as string),
+                     '}}}}}}}}}}}}') end as response_json
 from {part}
 """
 
 # Expected decimals for DECIMALS_RESPONSES_SQL, independent of any JSON parser.
-EXPECTED_DECIMALS_SQL = """
-select concat('T', lpad(cast(p_partkey as string), 8, '0')) as mint,
-       cast(case when p_partkey % 5 <= 2 then 6 else p_size % 10 end as bigint) as decimals
-from {part}
+EXPECTED_DECIMALS_SQL = f"""
+select {token_expr('p_partkey')} as mint,
+       cast(case when p_partkey = 1 then 9 when p_partkey <= 3 or p_partkey % 5 <= 2 or p_partkey % 13 = 0 then 6
+                 else p_size % 10 end as bigint) as decimals
+from {{part}}
 """
 
 # Spark only (DuckDB lacks the binary builders used here).
 # k: 0 missing, 1 bad base64, 2 too short, 3 empty symbol,
-#    4 name length past the end, 5 bad UTF-8 byte.
+#    4 name length past the end, 5 bad UTF-8 byte, 6 a real U+FFFD in the name,
+#    7 stray characters in the base64, 8 the blob inside a whole reply.
 METADATA_ACCOUNTS_SQL = """
-select concat('T', lpad(cast(p_partkey as string), 8, '0')) as mint,
+select mint, case when k = 8 then null when k = 7 then concat('-', substring(blob, 1, 9), ' ', substring(blob, 10)) else blob end
+    as account_data_b64,
+  case when k = 8 then concat('{{"jsonrpc":"2.0","id":1,"result":{{"value":{{"data":["', blob, '","base64"]}}}}}}') end
+    as response_json
+from (select """ + token_expr('p_partkey') + """ as mint, k,
   case when k = 0 then null when k = 1 then '!!!' when k = 2 then base64(unhex(repeat('00', 40)))
   else base64(unhex(concat(repeat('00', 65),
     case when k = 4 then 'FFFFFFFF' else concat(lpad(hex(32), 2, '0'), '000000') end,
-    rpad(concat(case when k = 5 then 'FF' else '' end, hex(encode(p_name, 'UTF-8'))), 64, '0'),
+    rpad(concat(case when k = 5 then 'FF' when k = 6 then 'EFBFBD' else '' end, hex(encode(p_name, 'UTF-8'))), 64, '0'),
     case when k = 3 then '00000000' else '0A000000' end,
     rpad(hex(encode(substring(p_brand, 1, 10), 'UTF-8')), 20, '0'),
     'C8000000',
-    rpad(hex(encode(concat('https://m.example/', cast(p_partkey as string)), 'UTF-8')), 400, '0')))) end as account_data_b64
-from (select *, p_partkey % 11 as k from {part}) s
+    rpad(hex(encode(concat('https://m.example/', cast(p_partkey as string)), 'UTF-8')), 400, '0')))) end as blob
+from (select *, p_partkey % 11 as k from {part}) s) b
 """
 
 # Expected decode of METADATA_ACCOUNTS_SQL (the DuckDB oracle's metadata).
-EXPECTED_METADATA_SQL = """
-select concat('T', lpad(cast(p_partkey as string), 8, '0')) as mint,
+EXPECTED_METADATA_SQL = f"""
+select {token_expr('p_partkey')} as mint,
   case when k <= 3 then null else substring(p_brand, 1, 10) end as symbol,
-  case when k in (0, 1, 2, 4) then null else p_name end as name,
+  case when k in (0, 1, 2, 4) then null when k = 6 then concat('\uFFFD', p_name) else p_name end as name,
   case when k <= 2 then null else concat('https://m.example/', cast(p_partkey as string)) end as uri
-from (select *, p_partkey % 11 as k from {part}) s
+from (select *, p_partkey % 11 as k from {{part}}) s
 """
 
 RELATIONS = {

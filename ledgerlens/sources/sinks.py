@@ -21,18 +21,21 @@ def ensure_metrics_table(spark: SparkSession, table: str, location: str | None =
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({TOKEN_METRICS_DDL}) USING parquet{loc}")
 
 
-def append_metrics(df: DataFrame, *, path: str | None = None, table: str | None = None) -> int:
+def append_metrics(df: DataFrame, *, path: str | None = None, table: str | None = None,
+                   rows: int | None = None) -> int:
     """Append the 12 record columns, ordered by token_address inside each file.
 
-    Empty input writes nothing and logs a warning.  The frame is persisted
-    (memory and disk, recomputable from lineage if an executor is lost) so
-    the row count and the write share one computation.  Returns the
-    number of rows written."""
+    Empty input writes nothing and logs a warning.  Unless the caller knows the
+    number of ``rows``, the frame is persisted (memory and disk, recomputable from
+    lineage if an executor is lost) so the row count and the write share one
+    computation.  Returns the number of rows written."""
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path= or table=")
-    out = df.select(*TOKEN_METRICS_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.select(*TOKEN_METRICS_COLUMNS)
+    if rows is None:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = out.count()
+        n = out.count() if rows is None else rows
         if n == 0:
             log.warning("No data to insert into %s", path or table)
             return 0
@@ -43,4 +46,5 @@ def append_metrics(df: DataFrame, *, path: str | None = None, table: str | None
             writer.insertInto(table)
         return n
     finally:
-        out.unpersist()
+        if rows is None:
+            out.unpersist()

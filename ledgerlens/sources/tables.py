@@ -8,24 +8,32 @@ to them and pushes row filters written downstream into the reader.
 
 from __future__ import annotations
 
+import logging
 import weakref
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
-from pyspark.sql.types import IntegerType, LongType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, TimestampType
 
-from ..functions.keys import normalize_key
+from ..functions.keys import lenient_decode, normalize_key
+from ..functions.numeric import valid_decimals
 from . import fixtures
 
+log = logging.getLogger(__name__)
+
 AMOUNT = "decimal(20,0)"
 
 MINT_COLUMNS = ("mint", "amount", "block_time")
 BURN_COLUMNS = ("mint", "amount", "block_time")
+COLUMNS = {"mints": MINT_COLUMNS, "burns": ("mint", "amount"), "token_decimals": ("mint", "decimals"),
+           "decimals_responses": ("mint", "response_json"), "metadata_accounts": ("mint",)}
 SWAP_COLUMNS = ("source", "base_coin", "quote_coin", "base_coin_amount", "quote_coin_amount",
                 "base_pool_balance_after", "quote_pool_balance_after", "block_time")
 
+COLUMNS["swaps"] = SWAP_COLUMNS
+
 
 def _key(df: DataFrame, name: str, normalize: bool = True):
     if not normalize:
@@ -33,13 +41,28 @@ def _key(df: DataFrame, name: str, normalize: bool = True):
     return normalize_key(F.col(name), df.schema[name].dataType).alias(name)
 
 
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
 def _time(df: DataFrame, name: str = "block_time"):
-    """Timestamps pass through; integral epoch seconds become timestamps."""
-    if isinstance(df.schema[name].dataType, (IntegerType, LongType)):
-        return F.timestamp_seconds(F.col(name)).alias(name)
+    """UTC wall-clock time without a zone, whatever the session's time zone:
+    zoned timestamps and integral epoch seconds are counted from the epoch,
+    zoneless values pass through."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (IntegerType, LongType)):
+        return F.expr(f"timestampadd(SECOND, {name}, {_EPOCH})").alias(name)
+    if isinstance(kind, TimestampType):
+        return F.expr(f"timestampadd(MICROSECOND, unix_micros({name}), {_EPOCH})").alias(name)
     return F.col(name)
 
 
+def _source(df: DataFrame, name: str = "source"):
+    """Swap sources: bytes decoded leniently, NUL padding removed from both ends."""
+    c = F.col(name)
+    c = lenient_decode(c) if isinstance(df.schema[name].dataType, BinaryType) else c.cast("string")
+    return F.trim(c, F.lit("\u0000")).alias(name)
+
+
 def conform_mints(df: DataFrame, normalize: bool = True) -> DataFrame:
     return df.select(_key(df, "mint", normalize), F.col("amount").cast(AMOUNT).alias("amount"),
                      _time(df))
@@ -54,20 +77,28 @@ def conform_burns(df: DataFrame, normalize: bool = True) -> DataFrame:
 
 def conform_swaps(df: DataFrame, normalize: bool = True) -> DataFrame:
     return df.select(
-        F.col("source").cast("string").alias("source"),
+        _source(df) if normalize else F.col("source").cast("string").alias("source"),
         _key(df, "base_coin", normalize), _key(df, "quote_coin", normalize),
         *[F.col(c).cast(AMOUNT).alias(c) for c in SWAP_COLUMNS[3:7]],
         _time(df))
 
 
 def conform_decimals(df: DataFrame, normalize: bool = True) -> DataFrame:
-    return df.select(_key(df, "mint", normalize), F.col("decimals").cast("int").alias("decimals"))
+    return df.select(_key(df, "mint", normalize), valid_decimals("decimals").alias("decimals"))
 
 
 def conform_keyed(df: DataFrame, *value_columns: str, normalize: bool = True) -> DataFrame:
     return df.select(_key(df, "mint", normalize), *value_columns)
 
 
+def conform_accounts(df: DataFrame, normalize: bool = True) -> DataFrame:
+    """Captured accounts: the base64 blob, or the whole reply that holds it."""
+    blob = [c for c in ("account_data_b64", "response_json") if c in df.columns]
+    if not blob:
+        raise ValueError("metadata_accounts needs account_data_b64 or response_json")
+    return conform_keyed(df, *blob, normalize=normalize)
+
+
 @dataclass(frozen=True)
 class TokenTables:
     """The inputs of the pipeline, keys already normalised."""
@@ -95,11 +126,17 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     def load(name: str, required: bool = True) -> DataFrame | None:
         for candidate in (f"{root}/{name}.{fmt}", f"{root}/{name}"):
             try:
-                return spark.read.format(fmt).load(candidate)
-            except AnalysisException:  # path does not exist: try the next spelling
+                df = spark.read.format(fmt).load(candidate)
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":  # there, but unreadable: not the same as absent
+                    raise
                 continue
+            if missing := [c for c in COLUMNS[name] if c not in df.columns]:
+                raise ValueError(f"{candidate} lacks the columns {', '.join(missing)}")
+            return df
         if required:
             raise FileNotFoundError(f"{name} not found under {root}")
+        log.warning("no %s under %s: its defaults apply to every token", name, root)
         return None
 
     dec = load("token_decimals", required=False)
@@ -113,7 +150,7 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
         decimals_responses=(None if resp is None
                             else conform_keyed(resp, "response_json", normalize=normalize_keys)),
         metadata_accounts=(None if meta is None
-                           else conform_keyed(meta, "account_data_b64", normalize=normalize_keys)),
+                           else conform_accounts(meta, normalize_keys)),
     )
 
 
@@ -152,22 +189,46 @@ def derive_from_tpch(spark: SparkSession, sf_dir: str) -> TokenTables:
     every execution still reads the base tables."""
     per_session = _DERIVED.setdefault(spark, {})
     if sf_dir not in per_session:
-        per_session[sf_dir] = _derive(spark, sf_dir)
+        per_session[sf_dir] = _derive(spark, sf_dir)[0]
     return per_session[sf_dir]
 
 
-def _derive(spark: SparkSession, sf_dir: str) -> TokenTables:
-    lineitem = _spread(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_partkey")
+def write_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The derived relations, uncleaned, as the multi-file Parquet tables that ``read_tables`` reads."""
+    for name, df in _derive(spark, sf_dir)[1].items():
+        df.write.parquet(f"{root}/{name}.parquet")
+
+
+def _derive(spark: SparkSession, sf_dir: str) -> tuple[TokenTables, dict[str, DataFrame]]:
+    lineitem = _spread(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
     part = _spread(spark, spark.read.parquet(f"{sf_dir}/part.parquet"), "p_partkey")
 
     def q(sql: str) -> DataFrame:
         return spark.sql(sql, lineitem=lineitem, part=part)
 
+    raw = {name: q(sql) for name, sql in {**fixtures.RELATIONS, "metadata_accounts": fixtures.METADATA_ACCOUNTS_SQL}.items()}
+    raw = {name: soiled(df) for name, df in raw.items()}
     return TokenTables(
-        mints=conform_mints(q(fixtures.MINTS_SQL)),
-        burns=conform_burns(q(fixtures.BURNS_SQL)),
-        swaps=conform_swaps(q(fixtures.SWAPS_SQL)),
-        token_decimals=conform_decimals(q(fixtures.TOKEN_DECIMALS_SQL)),
-        decimals_responses=conform_keyed(q(fixtures.DECIMALS_RESPONSES_SQL), "response_json"),
-        metadata_accounts=conform_keyed(q(fixtures.METADATA_ACCOUNTS_SQL), "account_data_b64"),
-    )
+        mints=conform_mints(raw["mints"]), burns=conform_burns(raw["burns"]), swaps=conform_swaps(raw["swaps"]),
+        token_decimals=conform_decimals(raw["token_decimals"]),
+        decimals_responses=conform_keyed(raw["decimals_responses"], "response_json"),
+        metadata_accounts=conform_accounts(raw["metadata_accounts"]),
+    ), raw
+
+
+def soiled(df: DataFrame) -> DataFrame:
+    """Keys and sources as feeds deliver them: bytes, NUL-padded, with stray spaces
+    and broken bytes around the clean value, which is what the oracle expects."""
+    def dirty(name: str):
+        c, pick = F.col(name), F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(4))
+        raw = c.cast("binary")
+        return (F.when(pick == 0, F.concat(raw, F.unhex(F.lit("000000"))))
+                .when(pick == 1, F.concat(F.unhex(F.lit("20")), raw, F.unhex(F.lit("0A"))))
+                .when(pick == 2, F.concat(raw, F.unhex(F.lit("FF")))).otherwise(raw).alias(name))
+
+    def padded(name: str):
+        pick = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(3))
+        return F.when(pick == 0, F.concat(F.col(name), F.lit("\u0000\u0000"))).otherwise(F.col(name)).alias(name)
+
+    return df.select(*[dirty(c) if c in ("mint", "base_coin", "quote_coin") else padded(c) if c == "source" else F.col(c)
+                       for c in df.columns])
