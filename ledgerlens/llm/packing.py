@@ -26,6 +26,7 @@ repeated rows are packed like any others; no rows give no rows.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -112,7 +113,7 @@ def _round(pieces: DataFrame, gaps: DataFrame, low: int, high: int, rows: int, n
     n = F.floor(F.col("gap") / high)
     slots = gaps.select("seq", F.explode(F.concat(
         F.array_repeat(F.lit(high).cast("long"), n.cast("int")),
-        F.array_repeat(F.col("gap") % high, F.when(F.col("gap") % high > low, 1).otherwise(0)))).alias("size"))
+        F.array_repeat(F.col("gap") % high, F.when(F.col("gap") % high >= low, 1).otherwise(0)))).alias("size"))
     both = (slots.select(F.col("size"), F.lit(0).alias("kind"), F.xxhash64("seq").alias("key"), "seq")
             .unionByName(pieces.select("size", F.lit(1).alias("kind"), "key", F.lit(-1).cast("long").alias("seq"))))
     order = [F.col("size").desc(), "kind", "key"]
@@ -153,28 +154,38 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
     while high >= 1:
         low = high // 2 if high > smallest_class else 0
         todo = pieces.where((F.col("size") > low) & (F.col("size") <= high)).select("key", "size")
-        n_left, fresh = todo.count(), False
+        n_class = n_left = todo.count()
+        few = max(100, n_class // 100)  # so many get sequences with room for sure
+        full, new, before = False, 0, n_left
         while n_left:
-            if fresh or not n_gaps or not (room := gaps.where(F.col("gap") > low)).count():
-                tokens = todo.agg(F.sum("size")).first()[0]
-                new = -(-tokens // capacity)
-                empty = spark.range(new).select((F.col("id") + (1 << 62) + opened).alias("seq"),
-                                                F.lit(capacity).cast("long").alias("gap"))
+            tokens, longest, least = todo.agg(F.sum("size"), F.max("size"), F.min("size")).first()
+            room = gaps.where(F.col("gap") >= least)
+            widest = 0 if full else room.agg(F.max("gap")).first()[0] or 0
+            if full or not widest:
+                if n_left <= few or capacity // longest == 1:
+                    new = -(-n_left // (capacity // longest))
+                elif new and before > n_left:  # as many pieces to a sequence as the last ones took
+                    new = math.ceil(n_left * new / (before - n_left))
+                else:
+                    new = math.ceil(tokens / capacity)
+                before, widest = n_left, capacity
+                room = spark.range(new).select((F.col("id") + (1 << 62) + opened).alias("seq"),
+                                               F.lit(capacity).cast("long").alias("gap"))
                 opened += new
-                room, gaps = empty, gaps.unionByName(empty)
                 n_gaps += new
-            swept, matched, left, now_left = _round(todo, room, low, high, n_left + 2 * n_gaps, f"swept{n}")
+                gaps = gaps.unionByName(room)
+            swept, matched, left, now_left = _round(todo, room, least, longest, n_left + 2 * n_gaps, f"swept{n}")
             got = save(matched, f"placed{n}")
             placed.append(got.select("key", "seq"))
             used = got.groupBy("seq").agg(F.sum("size").alias("used"))
-            now = save(gaps.join(used, "seq", "left")
-                       .select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).where("gap > 0"),
-                       f"gaps{n}")
-            remaining = save(left, f"left{n}") if now_left else None
+            gaps = save(gaps.join(used, "seq", "left")
+                        .select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).where("gap > 0"),
+                        f"gaps{n}")
+            todo = save(left, f"left{n}") if now_left else None
             remove_table(swept)
-            gaps, n_gaps, n = now, now.count(), n + 1
-            fresh, n_left = now_left == n_left, now_left
-            todo = remaining
+            # no gap takes two pieces, or hardly any takes one more: what is left of them is for smaller classes
+            full = widest < 2 * least or (n_left - now_left) * 50 < n_left
+            n_left, n = now_left, n + 1
         if low == 0:
             break
         high = low
