@@ -13,10 +13,12 @@ least ``percent`` / 100.
 3. *Prefixes.*  A pair that links must share a shingle among the first
    n - ceil(t n) + 1 of both sets, under any global order.  The index holds the
    prefixes under the rarest-first order.
-4. *Pivots.*  In each posting list the least class is the pivot; a class proposes
-   the pivot that most of its lists name.  Verified proposals join classes into
-   components, for a few rounds.  A group of thousands of near copies so needs one
-   comparison per copy, not one per pair.
+4. *Pivots.*  In each posting list the class whose shingles are the most frequent
+   ones is the pivot, which in a group of near copies is the text they were made
+   from or one close to it; a class proposes the pivot that most of its lists name.
+   Verified proposals join classes into components.  The next rounds take the
+   second and third in each list.  A group of thousands of near copies so needs
+   about one comparison per copy, not one per pair.
 5. *The rest exactly.*  All pairs that share an index entry but lie in different
    components become candidates (pairs inside one component could not change it),
    filtered by size.
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .components import components
 from .storage import remove_table, save
@@ -95,7 +97,7 @@ def _shingle(n_words: int, buckets: int, flush: int = 3_000_000):
             for doc, h, s in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), shingle_sets(b.column(1), n_words)):
                 k, k2 = (int(np.add.reduce(mix64(s ^ _U(seed))).view(np.int64)) for seed in (0x51, 0xA7))
                 # class rows are spread like the shingles; the bucket stage passes them on
-                rows.append((0, (k >> 8) % buckets, doc, len(s), k, k2, h, None, None))
+                rows.append((0, int(home(np.int64(k), buckets)), doc, len(s), k, k2, h, None, None))
                 if len(s) and k not in held:
                     held[k] = s
                     size += len(s)
@@ -114,8 +116,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, _DOCS)], [n for n, _ in _DOCS])
 
 
-def _frequencies(table: pa.Table) -> pa.Table:
+def _frequencies(buckets: int):
     """One bucket: class rows as they are, and for each class its shingles that another class has too."""
+    return lambda table: _shared(table, buckets)
+
+
+def _shared(table: pa.Table, buckets: int) -> pa.Table:
     kinds = table.column("kind").to_numpy()
     docs = table.filter(pa.array(kinds == 0))
     rest = table.filter(pa.array(kinds == 1))
@@ -142,32 +148,51 @@ def _frequencies(table: pa.Table) -> pa.Table:
         tokens, key, who, df = (x[df > 1] for x in (tokens, key, who, df))
     if not len(tokens):
         return docs
-    order = np.argsort(key, kind="stable")
+    # back to the classes, in one run for each bucket of classes
+    order = np.lexsort((key, home(key, buckets)))
     tokens, key, who, df = tokens[order], key[order], who[order], df[order].astype("<i4")
-    cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-    rows = [(2, 0, None, int(owners["n"][who[a]]), int(key[a]), None, None, tokens[a:b].tobytes(), df[a:b].tobytes())
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    classes = np.empty(len(start), _CLASS)
+    classes["k"], classes["n"], classes["here"] = key[start], owners["n"][who[start]], np.diff(np.append(start, len(key)))
+    at = home(classes["k"], buckets)
+    cuts = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(at))
+    first = np.append(start, len(key))
+    rows = [(2, int(at[a]), None, None, None, None, None,
+             tokens[first[a]:first[z]].tobytes() + df[first[a]:first[z]].tobytes(), classes[a:z].tobytes())
+            for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
     return pa.concat_tables([docs, pa.Table.from_batches([_batch(rows)]).cast(docs.schema)])
 
 
+def home(k: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a class."""
+    return (k >> 8) % buckets
+
+
 def _prefixes(percent: int):
-    """Classes with their shared shingles: those that can link, their sets and index entries."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for k, n, parts in zip(*(b.column(i) for i in range(3))):
-                n, parts = n.as_py(), parts.as_py()
-                tokens = np.frombuffer(b"".join(p["tokens"] for p in parts), _U)
-                room = prefix_length(n, percent) - (n - len(tokens))
-                if room <= 0:
-                    continue
-                df = np.frombuffer(b"".join(p["owners"] for p in parts), "<i4")
-                first = np.lexsort((tokens, df))[:room]
-                rows.append((k.as_py(), n, np.sort(tokens).tobytes(), tokens[first].view(np.int64).tolist()))
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())))],
-                ["k", "n", "tokens", "prefix"])
+    """One bucket of classes with their shared shingles: those that can link, their sets and index entries."""
+    def run(table: pa.Table) -> pa.Table:
+        classes = np.concatenate([np.frombuffer(x.as_buffer(), _CLASS) for x in table.column("owners")])
+        runs = [x.as_buffer() for x in table.column("tokens")]  # 8 bytes of each token, then 4 of each frequency
+        tokens = np.concatenate([np.frombuffer(x, _U, x.size // 12) for x in runs])
+        df = np.concatenate([np.frombuffer(x, "<i4", x.size // 12, x.size // 12 * 8) for x in runs])
+        here = classes["here"].astype(np.int64)
+        first = np.cumsum(here) - here
+        order = np.argsort(classes["k"], kind="stable")
+        cuts = np.append(np.flatnonzero(np.append(True, np.diff(classes["k"][order]) != 0)), len(order))
+        rows = []
+        for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            own = order[a:z]
+            n, m = int(classes["n"][own[0]]), int(here[own].sum())
+            room = prefix_length(n, percent) - (n - m)
+            if room <= 0:
+                continue
+            at = np.concatenate([np.arange(first[i], first[i] + here[i]) for i in own])
+            t, f = tokens[at], df[at]
+            prefix = t[np.lexsort((t, f))[:room]]
+            rows.append((int(classes["k"][own[0]]), n, np.sort(t).tobytes(), prefix.view(np.int64).tolist(), f.sum() / n))
+        cols = list(zip(*rows)) or [[]] * 5
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.float64())
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["k", "n", "tokens", "prefix", "weight"])
 
     return run
 
@@ -216,11 +241,10 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + total // bucket_bytes
     table = save(texts.mapInArrow(_shingle(n_words, buckets), _DOCS_SQL)
-                 .groupBy("bucket").applyInArrow(_frequencies, _DOCS_SQL), "shingles")
-    classes = (table.where("kind = 2").groupBy("k")
-               .agg(F.first("n").alias("n"), F.collect_list(F.struct("tokens", "owners")).alias("parts")))
-    sets = save(classes.mapInArrow(_prefixes(percent), "k long, n int, tokens binary, prefix array<long>"), "sets")
-    index = save(sets.select("k", "n", F.explode("prefix").alias("t")), "index")
+                 .groupBy("bucket").applyInArrow(_frequencies(buckets), _DOCS_SQL), "shingles")
+    sets = save(table.where("kind = 2").select("bucket", "tokens", "owners").groupBy("bucket")
+                .applyInArrow(_prefixes(percent), "k long, n int, tokens binary, prefix array<long>, weight double"), "sets")
+    index = save(sets.select("k", "n", "weight", F.explode("prefix").alias("t")), "index")
     links, roots = None, None
 
     def at_roots(rows: DataFrame) -> DataFrame:
@@ -230,12 +254,13 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
         return rows.join(r, "k", "left").withColumn("root", F.coalesce("root", "k"))
 
     tried = None
-    for _ in range(pivot_rounds):
+    central = W.partitionBy("t").orderBy(F.col("weight").desc(), "k")
+    for turn in range(1, pivot_rounds + 1):
         rows = at_roots(index)
-        # a list's pivot: the least class; and the least one of another component than that
-        pivot = rows.groupBy("t").agg(F.min(F.struct("root", "k", "n")).alias("p"), F.max("root").alias("top"))
-        pivot = pivot.where("p.root <> top").select("t", F.col("p.root").alias("other_root"),
-                                                    F.col("p.k").alias("other"), F.col("p.n").alias("other_n"))
+        pivot = (index.select("t", "k", "n", "weight", F.row_number().over(central).alias("place"))
+                 .where(F.col("place") <= turn).where(F.col("place") == turn))
+        pivot = at_roots(pivot).select("t", F.col("root").alias("other_root"), F.col("k").alias("other"),
+                                       F.col("n").alias("other_n"))
         named = (rows.join(pivot, "t").where((F.col("root") != F.col("other_root")) & _size_ok(percent))
                  .groupBy("k", "other").count())
         if tried is not None:

@@ -41,6 +41,7 @@ from .text import whole
 from .tokens import encoder
 from .words import batches_of
 
+PART_ROWS = 200_000  # of a sweep's partition
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SWEPT = "kind int, key long, size long, seq long, matched boolean, part long, rank long"
 
@@ -117,7 +118,7 @@ def _round(pieces: DataFrame, gaps: DataFrame, low: int, high: int, rows: int, n
     both = (slots.select(F.col("size"), F.lit(0).alias("kind"), F.xxhash64("seq").alias("key"), "seq")
             .unionByName(pieces.select("size", F.lit(1).alias("kind"), "key", F.lit(-1).cast("long").alias("seq"))))
     order = [F.col("size").desc(), "kind", "key"]
-    parts = 1 + rows // 200_000
+    parts = 1 + rows // PART_ROWS
     swept = save(both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                  .mapInPandas(_sweep, _SWEPT), name)
     counts = (swept.where("not matched").groupBy("part")

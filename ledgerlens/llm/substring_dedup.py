@@ -83,7 +83,7 @@ def _spaced(words) -> tuple[np.ndarray, np.ndarray]:
     return out, start
 
 
-def _packs(width: int, seed_words: int, buckets: int, flush: int = 4 << 20):
+def _packs(width: int, seed_words: int, buckets: int, flush: int = 1 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=1)
         for b in batches_of(batches, 2, flush):
@@ -117,13 +117,29 @@ def _packs(width: int, seed_words: int, buckets: int, flush: int = 4 << 20):
     return run
 
 
+def _window_hashes(data: np.ndarray, width: int, limit: int = 1 << 20) -> Iterator[tuple]:
+    """(windows of each string, two hashes of every window), some strings of a pack at a time."""
+    lines = np.concatenate([[0], np.flatnonzero(data == 10) + 1, [len(data)]])
+    at = 0
+    while at < len(lines) - 1:
+        stop = max(at + 1, int(np.searchsorted(lines, lines[at] + limit, "right")) - 1)
+        words = split_words(data[lines[at]:lines[stop]], lines[at:stop + 1] - lines[at])
+        counts = np.diff(words.first) - width + 1
+        base = np.concatenate([[0], np.cumsum(counts)])
+        index = np.arange(base[-1]) + np.repeat(words.first[:-1] - base[:-1], counts)
+        yield counts, grams(words.hash, width)[index], grams(words.hash, width, seed=7)[index]
+        at = stop
+
+
 def _repeats(width: int):
     """One bucket: the word ranges whose windows a smaller document has as well."""
     def run(table: pa.Table) -> pa.Table:
         unzip = zstandard.ZstdDecompressor()
-        texts, places, n = [], [], 0
+        places, counts, one, two, n = [], [], [], [], 0
         for k, s, p in zip(table.column("n").to_pylist(), table.column("strings"), table.column("places")):
-            texts.append(unzip.decompress(s.as_buffer()))
+            for part in _window_hashes(np.frombuffer(unzip.decompress(s.as_buffer()), np.uint8), width):
+                for held, x in zip((counts, one, two), part):
+                    held.append(x)
             raw = unzip.decompress(p.as_buffer())
             rows = len(raw) // _PLACE.itemsize
             part, at = np.empty(rows, _PLACE), 0
@@ -134,16 +150,8 @@ def _repeats(width: int):
             part["string"] += n
             n += k
             places.append(part)
-        places = np.concatenate(places)
-        data = np.frombuffer(b"\n".join(texts), np.uint8)
-        del texts
-        lines = np.concatenate([[0], np.flatnonzero(data == 10) + 1, [len(data) + 1]])
-        words = split_words(data, np.minimum(lines, len(data)))
-        # the windows of each string
-        counts = np.diff(words.first) - width + 1
+        places, counts, one, two = (np.concatenate(x) for x in (places, counts, one, two))
         base = np.concatenate([[0], np.cumsum(counts)])
-        index = np.arange(base[-1]) + np.repeat(words.first[:-1] - base[:-1], counts)
-        one, two = grams(words.hash, width)[index], grams(words.hash, width, seed=7)[index]
         # the least document of each string, then of each distinct window
         low = np.full(n, _LAST, np.int64)
         np.minimum.at(low, places["string"], places["doc"])
@@ -182,7 +190,7 @@ def _repeats(width: int):
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts and their marked ranges to the words that stay."""
-    for b in batches_of(batches, 1, 4 << 20):
+    for b in batches_of(batches, 1):
         words = split_words(*text_bytes(b.column(1)))
         text, start = _spaced(words)
         raw, out = text.tobytes(), []
