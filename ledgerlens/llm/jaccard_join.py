@@ -20,8 +20,9 @@ least ``percent`` / 100.
    second and third in each list.  A group of thousands of near copies so needs
    about one comparison per copy, not one per pair.
 5. *The rest exactly.*  All pairs that share an index entry but lie in different
-   components become candidates (pairs inside one component could not change it),
-   filtered by size.
+   components become candidates (pairs inside one component could not change it).
+   Both of an index entry's places must allow the pair's own overlap, which the two
+   sizes give: near copies with more changes than that meet nobody.
 6. *Verification.*  Both sets meet; their prefixes must intersect under two further
    orders (by two hashes of the shingles), then the overlap is counted exactly.
 
@@ -189,10 +190,11 @@ def _prefixes(percent: int):
             at = np.concatenate([np.arange(first[i], first[i] + here[i]) for i in own])
             t, f = tokens[at], df[at]
             prefix = t[np.lexsort((t, f))[:room]]
-            rows.append((int(classes["k"][own[0]]), n, np.sort(t).tobytes(), prefix.view(np.int64).tolist(), f.sum() / n))
-        cols = list(zip(*rows)) or [[]] * 5
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.float64())
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["k", "n", "tokens", "prefix", "weight"])
+            rows.append((int(classes["k"][own[0]]), n, np.sort(t).tobytes(), prefix.view(np.int64).tolist(), f.sum() / n, n - m))
+        cols = list(zip(*rows)) or [[]] * 6
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.float64(), pa.int32())
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+                                    ["k", "n", "tokens", "prefix", "weight", "first"])
 
     return run
 
@@ -228,9 +230,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(_linked(percent), _PAIR)
 
 
-def _size_ok(percent: int):
-    low, high = F.least("n", "other_n"), F.greatest("n", "other_n")
-    return low * 100 >= high * percent
+def _may_link(percent: int):
+    """Of two index entries of one shingle: whether it can be the first that a linked pair shares.
+
+    Sets of n and m shingles link only with an overlap o >= percent (n + m) / (100 + percent);
+    the first common shingle then stands among the first n - o + 1 and m - o + 1."""
+    o = F.ceil(F.lit(percent) * (F.col("n") + F.col("other_n")) / F.lit(100 + percent) - F.lit(1e-9))
+    return (F.col("at") <= F.col("n") - o) & (F.col("other_at") <= F.col("other_n") - o)
 
 
 def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -243,8 +249,9 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
     table = save(texts.mapInArrow(_shingle(n_words, buckets), _DOCS_SQL)
                  .groupBy("bucket").applyInArrow(_frequencies(buckets), _DOCS_SQL), "shingles")
     sets = save(table.where("kind = 2").select("bucket", "tokens", "owners").groupBy("bucket")
-                .applyInArrow(_prefixes(percent), "k long, n int, tokens binary, prefix array<long>, weight double"), "sets")
-    index = save(sets.select("k", "n", "weight", F.explode("prefix").alias("t")), "index")
+                .applyInArrow(_prefixes(percent), "k long, n int, tokens binary, prefix array<long>, weight double, first int"), "sets")
+    index = save(sets.select("k", "n", "weight", "first", F.posexplode("prefix").alias("i", "t"))
+                 .select("k", "n", "weight", "t", (F.col("first") + F.col("i")).alias("at")), "index")
     links, roots = None, None
 
     def at_roots(rows: DataFrame) -> DataFrame:
@@ -257,11 +264,11 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
     central = W.partitionBy("t").orderBy(F.col("weight").desc(), "k")
     for turn in range(1, pivot_rounds + 1):
         rows = at_roots(index)
-        pivot = (index.select("t", "k", "n", "weight", F.row_number().over(central).alias("place"))
+        pivot = (index.select("t", "k", "n", "at", "weight", F.row_number().over(central).alias("place"))
                  .where(F.col("place") <= turn).where(F.col("place") == turn))
         pivot = at_roots(pivot).select("t", F.col("root").alias("other_root"), F.col("k").alias("other"),
-                                       F.col("n").alias("other_n"))
-        named = (rows.join(pivot, "t").where((F.col("root") != F.col("other_root")) & _size_ok(percent))
+                                       F.col("n").alias("other_n"), F.col("at").alias("other_at"))
+        named = (rows.join(pivot, "t").where((F.col("root") != F.col("other_root")) & _may_link(percent))
                  .groupBy("k", "other").count())
         if tried is not None:
             named = named.join(tried, ["k", "other"], "left_anti")
@@ -278,8 +285,9 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
     rows = save(at_roots(index), "rooted")
     mixed = rows.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("t")
     left = rows.join(mixed, "t", "left_semi")
-    right = left.select("t", F.col("k").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root"))
-    pairs = (left.join(right, "t").where((F.col("root") < F.col("other_root")) & _size_ok(percent))
+    right = left.select("t", F.col("k").alias("other"), F.col("n").alias("other_n"), F.col("at").alias("other_at"),
+                        F.col("root").alias("other_root"))
+    pairs = (left.join(right, "t").where((F.col("root") < F.col("other_root")) & _may_link(percent))
              .select(F.col("k").alias("a"), F.col("other").alias("b")).distinct())
     if tried is not None:
         both = tried.select(F.least("k", "other").alias("x"), F.greatest("k", "other").alias("y"))
