@@ -32,6 +32,19 @@ def scale_once(n: int, d: int) -> float:
     return float(f"{n}e-{d}")
 
 
+# SURVEY 2, P7: which side values a pool, and at what, is the first rule that holds.
+VALUE_RULES = [(side, coins) for coins in ({SOL}, STABLE) for side in (0, 1)]
+
+
+def pool_value(sides, sol):
+    """Twice the value of the side that a rule names; 0 without one."""
+    for side, coins in VALUE_RULES:
+        coin, amount = sides[side]
+        if coin in coins:
+            return amount * sol * 2.0 if coin == SOL else amount * 2.0
+    return 0.0
+
+
 def records(mints, burns, swaps, decimals, sol=190.0):
     """mints/burns: (mint, amount, time); swaps: (source, base, quote, base_amt,
     quote_amt, base_bal, quote_bal, time); decimals: {mint: d}."""
@@ -69,16 +82,7 @@ def records(mints, burns, swaps, decimals, sol=190.0):
         bd = dec.get(base, 9 if base == SOL else 6)
         qd = dec.get(quote, 9 if quote == SOL else 6)
         bn, qn = float(bb) / 10 ** bd, float(qb) / 10 ** qd
-        if base == SOL:
-            liq = bn * sol * 2.0
-        elif quote == SOL:
-            liq = qn * sol * 2.0
-        elif base in STABLE:
-            liq = bn * 2.0
-        elif quote in STABLE:
-            liq = qn * 2.0
-        else:
-            liq = 0.0
+        liq = pool_value([(base, bn), (quote, qn)], sol)
         bonding = "bondingcurve" in src.lower()
         for is_base, tok in ((True, base), (False, quote)):
             if tok in tset:
@@ -97,11 +101,10 @@ def records(mints, burns, swaps, decimals, sol=190.0):
             best = min(pools, key=lambda p: (p["bonding"], -p["liq"], p["src"], p["base"], p["quote"],
                                              not p["is_base"]))
             source, liq = best["src"], best["liq"]
-            if best["bn"] > 0 and best["qn"] > 0:
-                if t == best["base"]:
-                    price = best["qn"] * (sol if best["quote"] == SOL else 1.0) / best["bn"]
-                else:
-                    price = best["bn"] * (sol if best["base"] == SOL else 1.0) / best["qn"]
+            sides = [(best["base"], best["bn"]), (best["quote"], best["qn"])]
+            (_, own), (other, amount) = sides if sides[0][0] == t else sides[::-1]
+            if own > 0 and amount > 0:
+                price = amount * (sol if other == SOL else 1.0) / own
         if first_tx is None:
             continue
         out[t] = dict(price_usd=price, supply=supply, burned=scale_once(burned[t], dec[t]),
@@ -130,28 +133,30 @@ def latest_sol_prices(swaps, tokens):
 
 
 def recent_trade_prices(swaps, tokens, sol=190.0, n=100):
-    """{token: (liquidity, price)} from the best of its n latest swaps."""
+    """{token: (liquidity, price)} from the best of its n latest swaps.
+
+    P9: a swap's liquidity adds the first SOL side (at the SOL price) and the first
+    stable side.  A12: the highest positive one wins, the most recent on ties.
+    P10: its price is counter amount over own amount at the counter's unit value."""
+    def first(sides, coins):
+        return next((balance for coin, balance in sides if coin in coins), 0.0)
+
+    unit = {SOL: sol, USDC: 1.0, USDT: 1.0}
     out = {}
     for tok in tokens:
-        mine = [s for s in swaps if s[1] == tok or s[2] == tok]
-        order = lambda s: (s[7], s[1], s[2], s[5], s[6], s[3], s[4])
-        mine = sorted(mine, key=order, reverse=True)[:n]
-        best, best_liq = None, 0.0
-        for s in mine:   # first strictly greater wins: the most recent among equals
-            base, quote, bb, qb = s[1], s[2], float(s[5]), float(s[6])
-            liq = (bb * sol if base == SOL else qb * sol if quote == SOL else 0.0) + \
-                  (bb if base in STABLE else qb if quote in STABLE else 0.0)
-            if liq > best_liq:
-                best, best_liq = s, liq
-        if best is None:
+        own = sorted((s for s in swaps if tok in (s[1], s[2])),
+                     key=lambda s: (s[7], s[1], s[2], s[5], s[6], s[3], s[4]), reverse=True)[:n]
+        scored = []
+        for place, s in enumerate(own):
+            sides = [(s[1], float(s[5])), (s[2], float(s[6]))]
+            scored.append((first(sides, {SOL}) * sol + first(sides, STABLE), -place, s))
+        good = [x for x in scored if x[0] > 0]
+        if not good:
             out[tok] = (0.0, 0.0)
             continue
-        base, quote, ba, qa = best[1], best[2], float(best[3]), float(best[4])
-        price = 0.0
-        if ba != 0 and qa != 0:
-            if base == tok:
-                price = (qa / ba) * sol if quote == SOL else (qa / ba) if quote in STABLE else 0.0
-            elif quote == tok:
-                price = (ba / qa) * sol if base == SOL else (ba / qa) if base in STABLE else 0.0
-        out[tok] = (best_liq, price)
+        liquidity, _, s = max(good, key=lambda x: x[:2])
+        amounts = [(s[1], float(s[3])), (s[2], float(s[4]))]
+        (_, mine), (other, theirs) = amounts if s[1] == tok else amounts[::-1]
+        price = theirs / mine * unit.get(other, 0.0) if mine and theirs else 0.0
+        out[tok] = (liquidity, price)
     return out

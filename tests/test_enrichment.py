@@ -13,43 +13,41 @@ def _blob(name: bytes, symbol: bytes, uri: bytes, symbol_len=None) -> bytes:
     return out
 
 
-def python_decode(b64):
-    """The reference's decoding rules, written plainly for the test."""
-    if b64 is None:
-        return (None, None, None)
-    try:
-        data = base64.b64decode(b64, validate=True)
-    except Exception:
-        return (None, None, None)
-    if len(data) < 65:
-        return (None, None, None)
-
-    def read(off):
-        if off + 4 > len(data):
-            return None
-        n = struct.unpack("<I", data[off:off + 4])[0]
-        if n == 0 or off + 4 + n > len(data):
-            return None
-        s = data[off + 4:off + 4 + n].decode("utf-8", errors="ignore").rstrip("\x00").strip()
-        return s or None
-    return (read(101), read(65), read(115))
+NONE = (None, None, None)
+
+
+def b64(raw: bytes) -> str:
+    return base64.b64encode(raw).decode()
+
+
+def reply(blob: str) -> str:
+    return '{"jsonrpc":"2.0","id":1,"result":{"value":{"data":["' + blob + '","base64"]}}}'
 
 
 def test_account_metadata_cases(spark):
-    blobs = {
-        "ok": base64.b64encode(_blob(b"Token One", b"ONE", b"https://m/1")).decode(),
-        "bad_b64": "!!!",
-        "short": base64.b64encode(bytes(40)).decode(),
-        "empty_symbol": base64.b64encode(_blob(b"Two", b"", b"https://m/2", symbol_len=0)).decode(),
-        "bad_utf8": base64.b64encode(_blob(b"\xffThree", b"THR", b"https://m/3")).decode(),
-        "missing": None,
+    """Each blob is made from known values; those are what must come out."""
+    full = b64(_blob(b"Token One", b"ONE", b"https://m/1"))
+    cases = {
+        "ok": (full, ("ONE", "Token One", "https://m/1")),
+        "bad_b64": ("!!!", NONE),
+        "short": (b64(bytes(40)), NONE),
+        "empty_symbol": (b64(_blob(b"Two", b"", b"https://m/2", symbol_len=0)), (None, "Two", "https://m/2")),
+        "bad_utf8": (b64(_blob(b"\xffThree", b"THR", b"https://m/3")), ("THR", "Three", "https://m/3")),
+        "replacement": (b64(_blob("a\ufffd\ufdd0b".encode() + b"\xfe", b"R", b"u")), ("R", "a\ufffd\ufdd0b", "u")),
+        "stray": (full[:7] + " -\n" + full[7:], ("ONE", "Token One", "https://m/1")),
+        "unpadded": (b64(bytes(67)).rstrip("="), NONE),
+        "after_padding": (b64(_blob(b"N", b"S", b"U") + bytes(2)) + "AAAA", ("S", "N", "U")),
+        "missing": (None, NONE),
     }
-    df = spark.createDataFrame(list(blobs.items()), "mint string, account_data_b64 string")
+    df = spark.createDataFrame([(k, v[0]) for k, v in cases.items()], "mint string, account_data_b64 string")
     got = {r.mint: (r.symbol, r.name, r.uri) for r in account_metadata(df).collect()}
-    for mint, b64 in blobs.items():
-        assert got[mint] == python_decode(b64), mint
-    assert got["ok"] == ("ONE", "Token One", "https://m/1")
-    assert got["bad_utf8"][1] == "Three"
+    assert got == {k: v[1] for k, v in cases.items()}
+    # the same blobs inside whole replies
+    df = spark.createDataFrame([(k, None if v[0] is None or "\n" in v[0] else reply(v[0])) for k, v in cases.items()]
+                               + [("null", '{"result":{"value":null}}'), ("text", "no json")],
+                               "mint string, response_json string")
+    got = {r.mint: (r.symbol, r.name, r.uri) for r in account_metadata(df).collect()}
+    assert got == {**{k: v[1] for k, v in cases.items()}, "stray": NONE, "null": NONE, "text": NONE}
 
 
 def test_decimals_from_responses(spark):
@@ -59,11 +57,13 @@ def test_decimals_from_responses(spark):
         ("C", '{"result":{"value":{"data":["AA==","base64"]}}}'),
         ("D", "not json"),
         ("E", '{"error":{"code":-32600}}'),
+        ("F", '{"result":{"value":{"data":{"parsed":{"info":{"decimals":99999999999}}}}}}'),
+        ("G", '{"result":{"value":{"data":{"parsed":{"info":{"decimals":-1}}}}}}'),
         (SOL, '{"result":{"value":{"data":{"parsed":{"info":{"decimals":3}}}}}}'),
     ]
     df = spark.createDataFrame(rows, "mint string, response_json string")
     got = {r.mint: r.decimals for r in decimals_from_responses(df).collect()}
-    assert got == {"A": 9, "B": 6, "C": 6, "D": 6, "E": 6, SOL: 9}
+    assert got == {"A": 9, "B": 6, "C": 6, "D": 6, "E": 6, "F": 6, "G": 6, SOL: 9}
 
 
 def test_repeated_replies_parsed_value_wins(spark):
@@ -80,3 +80,11 @@ def test_metadata_one_row_per_token(spark):
     df = spark.createDataFrame(rows, "mint string, symbol string, name string, uri string")
     got = sorted(tuple(r) for r in metadata_per_token(df).collect())
     assert got == [("A", "SYM", "Name", "u"), ("B", None, "n", None)]
+
+
+def test_out_of_range_decimals_are_unresolved(spark):
+    from ledgerlens.operators.supply import resolved_decimals
+    tokens = spark.createDataFrame([("A",), ("B",), ("C",)], "mint string")
+    dec = spark.createDataFrame([("A", 99999999999), ("B", 255), ("C", -3)], "mint string, decimals long")
+    got = {r.mint: r.decimals for r in resolved_decimals(tokens, dec).collect()}
+    assert got == {"A": 6, "B": 255, "C": 6}

@@ -1,101 +1,118 @@
 """Physical-plan properties."""
 
+import re
+import tempfile
+
 import pytest
 
+from ledgerlens.operators import pools
+from ledgerlens.plans import registry
 from ledgerlens.plans.registry import QUERIES
+from ledgerlens.sources.tables import derive_from_tpch, read_tables, write_tables
 
 SF = "/root/testdata/sf0.001"
 
 
-def plan_of(df) -> str:
-    df.write.format("noop").mode("overwrite").save()   # final AQE plan
+def final_plan(df) -> str:
+    """The adaptive plan that ran: the frame's own execution, after its action."""
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "AdaptiveSparkPlan" not in p or "isFinalPlan=true" in p
+    return p
+
+
+def static_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_nested_loop_cartesian_or_python(spark, name):
-    p = plan_of(QUERIES[name](spark, SF))
-    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
-        assert bad not in p, f"{name}: {bad}"
+def depth(line: str) -> int:
+    return len(line) - len(line.lstrip(" :+-"))
 
 
-@pytest.mark.parametrize("name", ["recent_swaps", "recent_trade_price"])
-def test_topk_is_partial_window_group_limit(spark, name):
-    df = QUERIES[name](spark, SF)
-    p = df._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in p and "Partial" in p
-
-
-def test_flagship_scans_swaps_twice_at_most(spark):
-    df = QUERIES["token_metrics"](spark, SF)
-    p = plan_of(df)
-    assert "BroadcastNestedLoopJoin" not in p
-    # pool state exchange is shared by best pool and reserves
-    assert p.count("max(struct(t,") <= 2
-
-
-def test_anchor_filter_reaches_scan(spark):
-    from ledgerlens.sources.tables import read_tables
-    import tempfile
-    from ledgerlens.operators.pools import latest_pool_state
-    from builders import swap, tables
-    from conftest import ts
-    from ledgerlens.constants import SOL
-    t = tables(spark, swaps=[swap("a", "T1", SOL, 1, 1, 1, 1, ts(1))])
-    d = tempfile.mkdtemp(prefix="ll-scan-")
-    t.swaps.write.parquet(f"{d}/swaps.parquet")
-    t.mints.write.parquet(f"{d}/mints.parquet")
-    t.burns.write.parquet(f"{d}/burns.parquet")
-    rt = read_tables(spark, d)
-    p = latest_pool_state(rt.swaps)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in p and "ReadSchema" in p and "base_coin_amount" not in p.split("ReadSchema")[1][:300]
-
-
-def test_scale_plan_shape(spark):
-    """The flagship as it runs on big tables: no broadcasts, static plan."""
-    import re
-    import tempfile
-    from ledgerlens.plans.records import token_metrics
-    from ledgerlens.sources.tables import derive_from_tpch, read_tables, write_tables
+def above(lines: list[str], i: int) -> str:
+    """The nearest ancestor of node i that is no sort or projection."""
+    d = depth(lines[i])
+    for ln in reversed(lines[:i]):
+        if depth(ln) < d:
+            d = depth(ln)
+            if not re.search(r"\b(Sort|Project|InputAdapter) ", ln):
+                return ln
+    return ""
+
 
+@pytest.fixture(scope="module")
+def clean(spark):
     d = tempfile.mkdtemp(prefix="ll-plan-")
     write_tables(derive_from_tpch(spark, SF), d)
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                          "spark.sql.adaptive.enabled")}
+    return read_tables(spark, d, normalize_keys=False)
+
+
+@pytest.fixture
+def at_scale(spark, clean, monkeypatch):
+    """Queries over cleaned files, planned as for big tables: no broadcasts by size, static plan."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        t = read_tables(spark, d, normalize_keys=False)
-        p = token_metrics(t)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+    monkeypatch.setattr(registry, "_tables", lambda spark, sf_dir: clean)
+    yield lambda name: static_plan(QUERIES[name](spark, SF))
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_nested_loop_cartesian_or_python(spark, name):
+    p = final_plan(QUERIES[name](spark, SF))
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in p, f"{name}: {bad}"
+
+
+@pytest.mark.parametrize("name", ["recent_swaps", "recent_trade_price"])
+def test_topk_has_two_levels(at_scale, name):
+    """At most n rows of a token leave a task; a token's rows meet in its stripes before they meet."""
+    lines = at_scale(name).splitlines()
+    partial = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Partial" in ln and "_stripe" in ln]
+    assert partial
+    for i in partial:
+        assert re.search(r"Exchange hashpartitioning\(mint#\d+, _stripe#\d+", above(lines, i))
+    finals = [ln for ln in lines if "WindowGroupLimit" in ln and "Final" in ln]
+    assert any("_stripe" in ln for ln in finals) and any("_stripe" not in ln for ln in finals)
+
+
+def test_flagship_reads_each_table_as_often_as_needed(at_scale):
+    p = at_scale("token_metrics")
     scans = re.findall(r"FileScan parquet .*?Location: InMemoryFileIndex\(1 paths\)\[file:[^\]]*/(\w+)\.parquet\]", p)
-    assert sorted(scans) == sorted(["mints", "mints", "burns", "swaps", "swaps", "token_decimals"])
-    shuffles = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln and "ReusedExchange" not in ln]
-    assert len(shuffles) <= 9
-    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
-    # the anchor filter reaches the Parquet reader of the pool scan
-    assert re.search(r"PushedFilters: \[.*Or\(In\(base_coin", p)
-    # the final per-token joins are sort-merge joins on the token key
+    counts = {t: scans.count(t) for t in set(scans)}
+    # swaps: first-seen and pools; mints: records, pool map and (filtered to the anchors) anchor rows
+    assert counts["swaps"] == 2 and counts["burns"] == 1 and counts["mints"] <= 3
+    assert re.search(r"PushedFilters: \[.*Or\(In\(base_coin", p)  # the anchor filter reaches the Parquet reader
     assert p.count("SortMergeJoin") >= 5
 
 
+def test_anchor_filter_reaches_the_reader_of_clean_tables(spark, clean):
+    p = static_plan(pools.latest_pool_state(clean.swaps))
+    assert re.search(r"PushedFilters: \[.*Or\(In\(base_coin", p)
+    schema = p.split("ReadSchema:")[1]
+    assert "base_coin_amount" not in schema and "base_pool_balance_after" in schema
+
+
+@pytest.mark.parametrize("name", ["token_metrics", "best_pool_metrics", "token_reserves", "candidate_pools"])
+def test_no_shuffle_on_a_hot_anchor(at_scale, name):
+    p = at_scale(name)
+    assert not re.search(r"Exchange hashpartitioning\((base|quote)_coin#\d+, \d+\)", p)
+    assert re.search(r"Exchange hashpartitioning\(_other#\d+", p)
+
+
 @pytest.mark.parametrize("name,partial", [
     ("latest_pool_state", "partial_max(struct("),
     ("first_swaps", "partial_min(block_time"),
     ("latest_price_in_sol", "partial_max(CASE WHEN isnotnull(price"),
     ("token_reserves", "partial_sum(CASE WHEN token_is_base"),
-    ("best_pool_metrics", "WindowGroupLimit"),
     ("normalized_keys", "partial_sum("),
-    ("recent_swaps", "WindowGroupLimit"),
 ])
-def test_hot_keys_reduced_before_shuffle(spark, name, partial):
-    """A key holding a third of the rows is pre-aggregated map-side: the
-    partial step sits below the first exchange of its branch."""
-    p = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    lines = p.splitlines()
-    idx = [i for i, ln in enumerate(lines) if partial in ln]
-    assert idx, f"{name}: no {partial}"
-    # some exchange appears above (earlier in the tree print) the partial step
-    assert any("Exchange hashpartitioning" in ln for ln in lines[:idx[-1]])
+def test_hot_keys_reduced_before_shuffle(at_scale, name, partial):
+    """A key holding a third of the rows is pre-aggregated by the task that shuffles it."""
+    lines = at_scale(name).splitlines()
+    found = [i for i, ln in enumerate(lines) if partial in ln]
+    assert found
+    for i in found:
+        assert "Exchange hashpartitioning" in above(lines, i), lines[i]

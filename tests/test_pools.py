@@ -2,7 +2,7 @@ from ledgerlens.constants import SOL, USDC
 from ledgerlens.operators import pools, supply
 from ledgerlens.operators.discovery import discover_tokens
 
-from builders import swap, tables
+from builders import D, swap, tables
 from conftest import ts
 
 
@@ -111,3 +111,15 @@ def test_best_pool_dominates_its_class_on_fixture(spark):
                      | ((F.col("s.is_bonding") == F.col("c.is_bonding"))
                         & (F.col("s.liquidity_usd") > F.col("c.liquidity_usd")))))
     assert best.count() > 0 and better.count() == 0
+
+
+def test_latest_state_skips_swaps_with_a_null_balance(spark):
+    """Both balances come from one row, so a row that lacks one is not a state."""
+    from ledgerlens.operators.pools import latest_pool_state
+    from ledgerlens.schemas import SWAPS
+    from ledgerlens.sources.tables import conform_swaps
+
+    rows = [("s", "T1", SOL, D(1), D(1), D(10), D(20), ts(1)), ("s", "T1", SOL, D(1), D(1), None, D(30), ts(2)),
+            ("s", "T1", SOL, D(1), D(1), D(40), None, ts(3)), ("s", "T2", SOL, D(1), D(1), None, None, ts(3))]
+    got = latest_pool_state(conform_swaps(spark.createDataFrame(rows, SWAPS))).collect()
+    assert [(r.base_coin, r.last_base_balance, r.last_quote_balance) for r in got] == [("T1", 10, 20)]
