@@ -105,7 +105,7 @@ def _sizes(starts: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(starts, n))
 
 
-def _chunks(buckets: int, flush: int = 3_000_000, most_docs: int = 60_000):
+def _chunks(buckets: int, flush: int = 2_000_000, most_docs: int = 60_000):
     """Documents (doc_id, text, held) to grouped tokens by bucket of the word, and the documents' own rows."""
     def chunk(uid: int, held: list, words: list, histories: list, sizes: list) -> Iterator[tuple]:
         w, h, n = np.concatenate(words), np.concatenate(histories), np.concatenate(sizes)
@@ -169,22 +169,25 @@ def _count(buckets: int):
         w = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         h, train, count = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
         doc = np.concatenate([p[5].astype(np.int32) + np.int32(b) for p, b in zip(parts, base)])
-        del parts
-        order = np.lexsort((h, w))
+        del parts  # a bucket is the largest thing a task holds: nothing stays longer than it is needed
+        order = np.lexsort((h, w)).astype(np.int32)
         ws, hs = w[order], h[order]
         pair = _runs(ws, hs)
         total = np.add.reduceat(train[order].astype(np.int64), pair)   # c(h, w)
-        word = _runs(ws[pair])
+        ws, hs = ws[pair], hs[pair]
+        word = _runs(ws)
         all_of = np.add.reduceat(total, word)                          # c(w)
-        word_of = np.repeat(np.arange(len(word)), _sizes(word, len(pair)))
-        pair_of = np.empty(len(w), np.int64)
-        pair_of[order] = np.repeat(np.arange(len(pair)), _sizes(pair, len(w)))
+        word_of = np.repeat(np.arange(len(word), dtype=np.int32), _sizes(word, len(pair)))
+        pair_of = np.empty(len(w), np.int32)
+        pair_of[order] = np.repeat(np.arange(len(pair), dtype=np.int32), _sizes(pair, len(w)))
+        ends = w == END
+        del order, train, w
         # the table: words of this bucket with the histories seen before them
         seen = total > 0
         known = all_of > 0
         key = int(own.column("part")[0].as_py())
-        out.append((_PAIRS, key, 0, 0.0, pack(ws[pair][word][known], all_of[known],
-                                              np.add.reduceat(seen.astype(np.int64), word)[known], hs[pair][seen], total[seen])))
+        out.append((_PAIRS, key, 0, 0.0, pack(ws[word][known], all_of[known],
+                                              np.add.reduceat(seen.astype(np.int64), word)[known], hs[seen], total[seen])))
         for order_, c in ((2, total[seen]), (1, all_of[known])):
             n_r = np.bincount(np.minimum(c, TURING + 2), minlength=TURING + 3)
             out += [(_STATS, order_, r, float(n_r[r]), None) for r in range(1, TURING + 2)]
@@ -192,17 +195,22 @@ def _count(buckets: int):
         high = c > TURING
         out += [(_STATS, 1, -1, float(c.sum()), None), (_STATS, 1, -2, float(len(c)), None),
                 (_STATS, 1, -3, float((c[high] ** 2 / (c[high] + 1)).sum()), None),
-                (_STATS, 1, -4, float(all_of[ws[pair][word] == END].sum()), None)]
+                (_STATS, 1, -4, float(all_of[ws[word] == END].sum()), None)]
+        del ws, hs, seen, known
         # per group, then per document
         c2, c1 = total[pair_of], all_of[word_of[pair_of]]
+        del pair_of, word_of, total
+        n, docs = count.astype(np.int64), int(base[-1])
         group_class = np.where(c2 > 0, _SEEN + np.minimum(c2, TURING + 1) - 1, _UNSEEN + np.minimum(c1, TURING + 1))
+        at = doc.astype(np.int64) * _CLASSES
+        at += np.repeat(group_class.astype(np.int8), n)
+        classes = np.bincount(at, minlength=docs * _CLASSES).astype(np.int32).reshape(docs, _CLASSES)
+        del at, group_class
         used = np.where(c2 > 0, c2, c1).astype(np.float64)
-        zipf = np.where(used > TURING, _log(used * used / (used + 1)), 0.0)
-        history = np.where((c1 > 0) & (w != END), _log(c1.astype(np.float64)), 0.0)
-        n, docs = count.astype(np.int64), int(base[-1])
-        classes = np.bincount(doc.astype(np.int64) * _CLASSES + np.repeat(group_class, n),
-                              minlength=docs * _CLASSES).reshape(docs, _CLASSES)
-        sums = [np.bincount(doc, np.repeat(x, n), docs) for x in (zipf, _log(c1 + 0.5), history)]
+        sums = [np.bincount(doc, np.repeat(x, n), docs) for x in (
+            np.where(used > TURING, _log(used * used / (used + 1)), 0.0), _log(c1 + 0.5),
+            np.where((c1 > 0) & ~ends, _log(c1.astype(np.float64)), 0.0))]
+        del used, ends, c1
         for uid, a, z in zip(uids, base[:-1].tolist(), base[1:].tolist()):
             out.append((_SUMS, uid, 0, 0.0, pack(classes[a:z].reshape(-1), sums[0][a:z].astype(np.float32),
                                                  sums[1][a:z], sums[2][a:z].astype(np.float32))))
@@ -350,7 +358,7 @@ def _score(d: Discounts):
 
 
 def katz_scores(docs: DataFrame, *, folds: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                bucket_bytes: int = 32 << 20, path: str | None = None) -> DataFrame:
+                bucket_bytes: int = 20 << 20, path: str | None = None) -> DataFrame:
     """Train on all folds but 1 and score every document.
 
     The tables (partitioned by kind: the n-grams with their counts, the counts of
