@@ -29,7 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import save
+from .storage import release, save
 from .text import whole
 from .words import batches_of, grams, split_words, text_bytes
 
@@ -231,6 +231,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_text."""
     spans = save(repeated_spans(docs, id_col=id_col, text_col=text_col, **kwargs), "spans")
+    release(docs.sparkSession)  # the packs' shuffle files, before the texts are shuffled
     marks = spans.groupBy("row", "doc_id").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     marks = marks.select("row", F.col("doc_id").alias("of"), "spans")
     texts = _texts(docs, id_col, text_col)

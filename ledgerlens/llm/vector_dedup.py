@@ -8,7 +8,8 @@ Vectors of one label link when their cosine is at least ``threshold``.
    then indexed: list, code, and the length of what the code leaves out.
 3. *Probes.*  Unit vectors of the threshold's cosine lie within r = sqrt(2 - 2 t).  A
    vector probes each list whose border it can cross within r (distance to the
-   plane between the two centres), which is sufficient for every link.
+   plane between the two centres), which is sufficient for every link; of a pair
+   the vector of the lower list does.
 4. *Table lookups.*  Within a list, a query's distances to the code words of each
    part are tabled once; sums of entries give its distance d to a coded vector, and
    only if d <= r + error of that code can the two link.
@@ -116,17 +117,19 @@ def _post(model, radius: float):
                 raw = [v.tobytes() for v in x]
                 if dim == main:
                     own, code, error = index.encode(x)
-                    q, at = np.nonzero(index.probes(x, own, radius))
+                    # of two linked vectors the one of the lower list probes the other's
+                    q, at = np.nonzero(index.probes(x, own, radius) & (np.arange(len(index.centres)) >= own[:, None]))
                     codes = [v.tobytes() for v in code]
                 else:  # of a rarer length: one list of their own, compared without codes
                     own, error = np.full(len(x), -int(dim)), np.full(len(x), np.inf)
                     q, at, codes = np.arange(len(x)), own, [b""] * len(x)
-                for rows, lists, side in ((np.arange(len(x)), own, 0), (q, at, 1)):
+                home = np.arange(len(x))
+                for rows, lists, side in ((home, own, np.zeros(len(x))), (q, at, 1 + (at > own[q]))):
                     for i in range(0, len(rows), 20_000):
                         r = rows[i:i + 20_000]
                         yield pa.RecordBatch.from_arrays([
                             pa.array(label[r], pa.string()), pa.array(lists[i:i + 20_000].astype(np.int32)),
-                            pa.array(np.full(len(r), side, np.int32)), pa.array(c[r]), pa.array(size[r]),
+                            pa.array(side[i:i + 20_000].astype(np.int32)), pa.array(c[r]), pa.array(size[r]),
                             pa.array([raw[k] for k in r], pa.binary()), pa.array([codes[k] for k in r], pa.binary()),
                             pa.array(error[r])],
                             ["label", "list", "side", "c", "size", "vector", "code", "error"])
@@ -141,7 +144,7 @@ def _tile(model, threshold: float, radius: float):
         side = table.column("side").to_numpy()
         c, size = table.column("c").to_numpy(), table.column("size").to_numpy()
         x = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float64).reshape(len(c), -1)
-        q, y = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        q, y = np.flatnonzero(side > 0), np.flatnonzero(side == 0)
         at = table.column("list")[0].as_py()
         links_q, links_y = [], []
         if len(q) and len(y):
@@ -150,7 +153,7 @@ def _tile(model, threshold: float, radius: float):
                 reach = (radius + table.column("error").to_numpy()[y] + 1e-6) ** 2
             for i in range(0, len(q), 512):
                 own = q[i:i + 512]
-                near = c[own][:, None] < c[y]
+                near = (side[own] == 2)[:, None] | (c[own][:, None] < c[y])  # within a list, each pair once
                 if at >= 0:
                     near &= index.lookup(x[own], at, code) <= reach
                 a, z = np.nonzero(near)
@@ -201,7 +204,7 @@ def vector_components(vectors: DataFrame, *, threshold: float = 0.98, id_col: st
     model = spark.sparkContext.broadcast((index, main))
     radius = math.sqrt(2 - 2 * threshold)
     posted = save(classes.select("c", "label", "size", "dim", "v").mapInArrow(_post(model, radius), _POSTED), "postings")
-    counts = posted.groupBy("label", "list").agg(F.sum(1 - F.col("side")).alias("ys"), F.sum("side").alias("qs"))
+    counts = posted.groupBy("label", "list").agg(F.count_if(F.col("side") == 0).alias("ys"), F.count_if(F.col("side") > 0).alias("qs"))
     cells = counts.where("ys > 0 and qs > 0").select(
         "label", "list", F.ceil(F.col("ys") / _TILE).cast("int").alias("ny"), F.ceil(F.col("qs") / _TILE).cast("int").alias("nq"))
     # the rows of a side go to one of its stripes and to every stripe of the other side
