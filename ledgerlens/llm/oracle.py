@@ -2,7 +2,51 @@
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+_WORD = r"[^\x20\x09-\x0D]+"
+#: least node reachable over ``edges`` (a, b), which holds both directions
+_REACH = "reach(a, root) AS (SELECT a, a FROM edges UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.a)"
+
 ORACLE = {
+    "op7_pq_near_dedup": f"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL)) = 0
+              AND len(list_filter(embedding, lambda e: NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+        edges AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q
+                  ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+                  WHERE list_cosine_similarity(p.x, q.x) >= 0.98),
+        {_REACH},
+        roots AS (SELECT a, min(root) AS root FROM reach GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+        SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(r.root, e.vec_id) AS component_id,
+               e.vec_id = coalesce(r.root, e.vec_id) AS kept
+        FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN roots r ON r.a = e.vec_id""",
+    "op8_super_kmer_dedup": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+        win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+        low AS (SELECT s, min(doc_id) AS least FROM win GROUP BY s),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM win JOIN low USING (s) WHERE least < doc_id),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS s, count(*) AS n
+                 FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op9_ngram_jaccard_join": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS w
+            FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c
+                   FROM s p JOIN s q ON p.s = q.s AND p.doc_id <> q.doc_id GROUP BY 1, 2),
+        edges AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        {_REACH},
+        roots AS (SELECT a, min(root) AS root FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN roots ON a = d.doc_id""",
     "op3_arc_to_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                           sha1(coalesce(html, '')) AS payload_digest FROM pages),
