@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -85,7 +86,10 @@ def ship_package(spark: SparkSession) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are no longer referenced.
 
-    It does so when the driver collects garbage, which an idle driver may not do for long.
+    It does so when the driver collects garbage, which an idle driver may not do for long;
+    what Python gives up in one round only the next one finds.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(3):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)

@@ -52,9 +52,22 @@ class Batch(NamedTuple):
     doc: np.ndarray      # of each window
 
 
-def _words(column: pa.Array) -> Words:
+def _words(column: pa.Array, limit: int = 1 << 20) -> Words:
+    """Words in lower case, found some texts at a time: a word costs more bytes while it is looked for than after."""
     data, offsets = text_bytes(column)
-    return split_words(_FOLD[data], offsets, between=_BETWEEN)
+    parts, at, words = [], 0, 0
+    while at < len(column):
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+        a = int(offsets[at])
+        w = split_words(_FOLD[data[a:offsets[stop]]], offsets[at:stop + 1] - a, between=_BETWEEN)
+        parts.append((w.start + a, w.end + a, w.first[:-1] + words, w.hash))
+        words += len(w.hash)
+        at = stop
+    if len(parts) == 1:
+        (start, end, first, hashes), = parts
+    else:
+        start, end, first, hashes = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 3 + [np.empty(0, _U)]
+    return Words(data, start, end, np.append(first, words), hashes)
 
 
 def batch_of(column: pa.Array) -> Batch:
@@ -65,17 +78,19 @@ def batch_of(column: pa.Array) -> Batch:
     cuts = np.concatenate([[0], np.cumsum(size)])
     place = np.arange(cuts[-1]) - np.repeat(cuts[:-1], size)
     byte = np.repeat(w.start[at], size) + place
-    data = w.data.astype(np.uint32)
-    left = np.where(place == 0, 0, data[byte - 1]) if len(byte) else data[:0]
-    right = np.where(place == np.repeat(size, size) - 1, 0, data[np.minimum(byte + 1, len(data) - 1)]) if len(byte) else left
-    code = (left * np.uint32(65537) + (data[byte] if len(byte) else left) * np.uint32(257) + right) * np.uint32(2654435761)
+    own = _FOLD[w.data[byte]].astype(np.uint32)
+    left, right = np.zeros_like(own), np.zeros_like(own)
+    left[1:], right[:-1] = own[:-1], own[1:]
+    left[place == 0] = 0
+    right[place == np.repeat(size, size) - 1] = 0
+    code = (left * np.uint32(65537) + own * np.uint32(257) + right) * np.uint32(2654435761)
     grams = (code >> np.uint32(20)).astype(np.int32) % CHAR_ROWS
     opens = np.zeros((len(at), len(OPENINGS)), np.int32)
     hashed, done = np.zeros(len(at), np.uint32), 0
     for i, length in enumerate(OPENINGS):
         for k in range(done, length):
-            hashed = (hashed + data[np.minimum(w.start[at] + k, len(data) - 1)] + np.uint32(1)) * np.uint32(2654435761) \
-                if len(at) else hashed
+            byte_k = own[np.minimum(cuts[:-1] + k, len(own) - 1)] if len(own) else hashed
+            hashed = (hashed + byte_k + np.uint32(1)) * np.uint32(2654435761)
         done = length
         opens[:, i] = np.where(size >= length, 1 + (hashed >> np.uint32(16)) % (OPENING_ROWS - 1), 0)
     # windows: every STRIDE words, the last one ending with the text
@@ -220,10 +235,14 @@ def train(texts: list[str], labels: np.ndarray, *, steps: int = 500, batch: int
     b = batch_of(pa.array(texts, pa.string()))
     n_words = len(b.hashes)
     # documents that have each word, by label
-    pairs = np.unique(np.stack([np.repeat(b.doc, WINDOW), b.index.reshape(-1)], axis=1), axis=0)
-    pairs = pairs[pairs[:, 1] < n_words]
-    have = np.bincount(pairs[:, 1], minlength=n_words)
-    bad = np.bincount(pairs[:, 1], weights=labels[pairs[:, 0]], minlength=n_words)
+    pair = (b.doc[:, None].astype(np.int64) * (n_words + 1) + b.index).reshape(-1)
+    pair.sort()
+    pair = pair[np.append(True, pair[1:] != pair[:-1])]
+    doc, word = pair // (n_words + 1), pair % (n_words + 1)
+    doc, word = doc[word < n_words], word[word < n_words]
+    have = np.bincount(word, minlength=n_words)
+    bad = np.bincount(word, weights=labels[doc], minlength=n_words)
+    del pair, doc, word
     n_bad, n_good = labels.sum(), len(labels) - labels.sum()
     odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((have - bad + 0.5) / (n_good + 1))
     odds *= have / (have + 4.0)
@@ -233,12 +252,12 @@ def train(texts: list[str], labels: np.ndarray, *, steps: int = 500, batch: int
     rng, order = np.random.default_rng(seed), []
     mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     cost = np.where(labels > 0, np.sqrt(min(16.0, max(1.0, n_good / max(1.0, n_bad)))), 1.0)
-    hint = np.append(np.where(known, np.maximum(odds, 0), 0), 0.0)
+    hint = np.append(np.where(known, np.maximum(odds, 0), 0), 0.0).astype(np.float32)
     per_pass = -(-len(labels) // batch)
     for step in range(steps):
         if step % (3 * per_pass) == 0:
             if step == 0:
-                score = hint[b.index].sum(axis=1)
+                score = hint[b.index].sum(axis=1, dtype=np.float32)
             else:
                 tables = project(p, _vectors(p, vocabulary, b)[0])
                 score = np.concatenate([logits(p, tables, b.index[i:i + 4096], n_words)
@@ -274,7 +293,7 @@ def held_out(doc_id: Column, folds: int = 3) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == 1
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 6000, sample_chars: int = 20_000,
+def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 3000, sample_chars: int = 10_000,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """At most ``sample_docs`` labelled texts outside the held-out fold, by hash order."""
     learn = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
