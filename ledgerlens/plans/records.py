@@ -12,10 +12,10 @@ One lazy plan:
 
 The token set comes out of the same aggregate as minted and first-mint
 (stages 1, 4 and 6 of the reference in one pass).  The pool branch needs the
-token map too; Catalyst prunes that copy to a key-only aggregate, so in a
-lazy plan ``mints`` is aggregated twice (the second time reading only the key
-column).  A caller that owns the run can pass ``persist_tokens=True`` (one row
-per token, memory and disk) so both branches read one aggregation, and
+token map and the anchors' rows too; Catalyst prunes those copies to key-only
+aggregates (the second of three keys), so a lazy plan reads the key column of
+``mints`` again for each.  A caller that owns the run can pass ``persist_tokens=True`` (one row
+per token, memory and disk) so all branches read one aggregation, and
 unpersist ``parts.tokens`` afterwards, as the batch entry point does.  Every
 per-token input is hash partitioned on the token key, so the final joins need
 no further exchange (or become broadcasts under AQE when small).
