@@ -97,8 +97,8 @@ def _shingle(n_words: int, buckets: int, flush: int = 3_000_000):
             rows = []
             for doc, h, s in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), shingle_sets(b.column(1), n_words)):
                 k, k2 = (int(np.add.reduce(mix64(s ^ _U(seed))).view(np.int64)) for seed in (0x51, 0xA7))
-                # class rows are spread like the shingles; the bucket stage passes them on
-                rows.append((0, int(home(np.int64(k), buckets)), doc, len(s), k, k2, h, None, None))
+                # documents' own rows only pass through the bucket stage: dealt by id, as a class may have very many
+                rows.append((0, (h if doc is None else doc) % buckets, doc, len(s), k, k2, h, None, None))
                 if len(s) and k not in held:
                     held[k] = s
                     size += len(s)

@@ -6,9 +6,9 @@ words forwards, another backwards; attention weighs the states; their mean gives
 window's logit.  A text's score is that of its worst window, over overlapping
 windows that cover the whole text.
 
-Training is plain numpy on the driver, on at most ``sample_docs`` labelled documents
+Training is plain numpy in one task, on at most ``sample_docs`` labelled documents
 (a third of them toxic at most; chosen by hash) and ``sample_chars`` characters of
-each - the documented bounds of what reaches the driver.  As labels are given per
+each - the documented bounds of that task; only the trained arrays reach the driver.  As labels are given per
 document, each pass takes a document's worst window under the present model (at
 first, the one whose words have the highest smoothed log-odds) and follows its
 gradient.  Scoring broadcasts the trained arrays (bounded by the sample) and runs
@@ -20,6 +20,7 @@ as an empty string for the fold; without any labelled row every score is 0.5.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -294,8 +295,8 @@ def held_out(doc_id: Column, folds: int = 3) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 3000, sample_chars: int = 10_000,
-                    id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], np.ndarray]:
-    """At most ``sample_docs`` labelled texts outside the held-out fold, by hash order."""
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """At most ``sample_docs`` labelled texts (text, toxic) outside the held-out fold, in hash order."""
     learn = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     learn = learn.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select(F.col(id_col).alias("id"), F.substring(whole(F.col(text_col)), 1, sample_chars).alias("text"))
@@ -303,9 +304,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 30
     chosen = [learn.where(rule).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
               for rule, n in ((F.col("toxic") == 1, n_bad), (F.col("toxic") != 1, sample_docs - n_bad))]
     few = chosen[0].unionByName(chosen[1]).select(F.col("doc_id").alias("of"), "toxic")
-    rows = (texts.join(F.broadcast(few), texts.id == few.of)  # at most sample_docs rows
-            .orderBy(F.xxhash64("of"), "of", "text").limit(sample_docs).collect())
-    return [r.text for r in rows], np.array([r.toxic == 1 for r in rows], np.float64)
+    return (texts.join(F.broadcast(few), texts.id == few.of)  # at most sample_docs rows
+            .orderBy(F.xxhash64("of"), "of", "text").limit(sample_docs)
+            .select("text", (F.col("toxic") == 1).alias("toxic")))
 
 
 def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.ndarray]) -> DataFrame:
@@ -334,10 +335,24 @@ def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.n
 def trained(docs: DataFrame, labels: DataFrame, *, steps: int = 500, id_col: str = "doc_id", text_col: str = "text",
             **sample) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The network learnt from a bounded sample; without any labelled row all its numbers are 0."""
-    texts, toxic = training_sample(docs, labels, id_col=id_col, text_col=text_col, **sample)
-    if texts:
-        return train(texts, toxic, steps=steps)
-    return np.empty(0, _U), {k: np.zeros_like(v) for k, v in new_params(0, np.empty(0)).items()}
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for b in batches:
+            texts += b.column(0).to_pylist()
+            toxic += b.column(1).to_pylist()
+        if texts:
+            vocabulary, p = train(texts, np.array(toxic, np.float64), steps=steps)
+            buffer = io.BytesIO()
+            np.savez(buffer, __vocabulary=vocabulary, **p)
+            yield pa.RecordBatch.from_arrays([pa.array([buffer.getvalue()], pa.binary())], ["model"])
+
+    few = training_sample(docs, labels, id_col=id_col, text_col=text_col, **sample)
+    rows = few.mapInArrow(fit, "model binary").collect()
+    if not rows:
+        return np.empty(0, _U), {k: np.zeros_like(v) for k, v in new_params(0, np.empty(0)).items()}
+    with np.load(io.BytesIO(bytes(rows[0].model))) as saved:
+        p = dict(saved)
+    return p.pop("__vocabulary"), p
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id_col: str = "doc_id",
