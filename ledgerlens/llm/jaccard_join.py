@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .components import components
-from .storage import remove_table, save
+from .storage import release, remove_table, save
 from .text import whole
 from .words import batches_of, grams, mix64, split_words, text_bytes
 
@@ -252,7 +252,7 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
                 .applyInArrow(_prefixes(percent), "k long, n int, tokens binary, prefix array<long>, weight double, first int"), "sets")
     index = save(sets.select("k", "n", "weight", "first", F.posexplode("prefix").alias("i", "t"))
                  .select("k", "n", "weight", "t", (F.col("first") + F.col("i")).alias("at")), "index")
-    links, roots = None, None
+    links, roots, done = None, None, [table, sets, index]
 
     def at_roots(rows: DataFrame) -> DataFrame:
         if roots is None:
@@ -279,6 +279,7 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
         again = pairs.select(F.col("a").alias("k"), F.col("b").alias("other"))
         tried = again if tried is None else tried.unionByName(again)
         found = save(_verify(pairs, sets, percent), "links")
+        done += [pairs, found]
         links = found if links is None else links.unionByName(found)
         roots = components(links)
     # every pair that shares an index entry and lies in different components
@@ -292,13 +293,18 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
     if tried is not None:
         both = tried.select(F.least("k", "other").alias("x"), F.greatest("k", "other").alias("y"))
         pairs = pairs.join(both, (F.least("a", "b") == both.x) & (F.greatest("a", "b") == both.y), "left_anti")
-    last = _verify(save(pairs, "candidates"), sets, percent)
-    last = save(last, "links")
+    candidates = save(pairs, "candidates")
+    last = save(_verify(candidates, sets, percent), "links")
+    done += [rows, candidates, last]
     if not last.isEmpty():
         links = last if links is None else links.unionByName(last)
         roots = components(links)
     docs_rows = table.where("kind = 0").select("doc_id", "n", "k", "k2", "h")
-    return save(at_roots(docs_rows), "documents-rooted")
+    out = save(at_roots(docs_rows), "documents-rooted")
+    for finished in done:  # the result reads nothing but its own table
+        remove_table(finished)
+    release(docs.sparkSession)
+    return out
 
 
 def near_components(docs: DataFrame, **kwargs) -> DataFrame:

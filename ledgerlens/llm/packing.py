@@ -151,7 +151,7 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
     placed = [pieces.where(F.col("size") > half).select("key", F.col("key").alias("seq"))]
     gaps = save(pieces.where((F.col("size") > half) & (F.col("size") < capacity))
                 .select(F.col("key").alias("seq"), (F.lit(capacity) - F.col("size")).cast("long").alias("gap")), "gaps")
-    n_gaps, high, opened, n = gaps.count(), half, 0, 0
+    n_gaps, high, opened, n, gaps_table, left_table = gaps.count(), half, 0, 0, gaps, None
     while high >= 1:
         low = high // 2 if high > smallest_class else 0
         todo = pieces.where((F.col("size") > low) & (F.col("size") <= high)).select("key", "size")
@@ -179,11 +179,14 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
             got = save(matched, f"placed{n}")
             placed.append(got.select("key", "seq"))
             used = got.groupBy("seq").agg(F.sum("size").alias("used"))
-            gaps = save(gaps.join(used, "seq", "left")
-                        .select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).where("gap > 0"),
-                        f"gaps{n}")
-            todo = save(left, f"left{n}") if now_left else None
-            remove_table(swept)
+            old = [x for x in (gaps_table, left_table) if x is not None]
+            gaps = gaps_table = save(
+                gaps.join(used, "seq", "left")
+                .select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).where("gap > 0"),
+                f"gaps{n}")
+            todo = left_table = save(left, f"left{n}") if now_left else None
+            for finished in (swept, *old):
+                remove_table(finished)
             # no gap takes two pieces, or hardly any takes one more: what is left of them is for smaller classes
             full = widest < 2 * least or (n_left - now_left) * 50 < n_left
             n_left, n = now_left, n + 1
