@@ -294,7 +294,7 @@ def held_out(doc_id: Column, folds: int = 3) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == 1
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 3000, sample_chars: int = 10_000,
+def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 6000, sample_chars: int = 10_000,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """At most ``sample_docs`` labelled texts (text, toxic) outside the held-out fold, in hash order."""
     learn = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))

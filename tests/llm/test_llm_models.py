@@ -77,6 +77,13 @@ def test_without_labels_or_rows(spark):
     assert toxicity.score_documents(df.limit(0), lab).count() == 0
 
 
+def test_sample_is_filled(spark):
+    """As many labelled documents are learnt from as the sample may hold, a third of them toxic."""
+    rows = spark.range(24_000).selectExpr("id as doc_id", "concat('w', id) as text", "int(id % 3 = 0) as toxic")
+    got = toxicity.training_sample(rows.select("doc_id", "text"), rows.select("doc_id", "toxic")).groupBy("toxic").count()
+    assert {r["toxic"]: r["count"] for r in got.collect()} == {True: 2000, False: 4000}
+
+
 def vector_rows():
     rng = np.random.default_rng(0)
     base = rng.standard_normal((30, 16))
