@@ -7,12 +7,15 @@ window's logit.  A text's score is that of its worst window, over overlapping
 windows that cover the whole text.
 
 Training is plain numpy in one task, on at most ``sample_docs`` labelled documents
-(a third of them toxic at most; chosen by hash) and ``sample_chars`` characters of
-each - the documented bounds of that task; only the trained arrays reach the driver.  As labels are given per
-document, each pass takes a document's worst window under the present model (at
-first, the one whose words have the highest smoothed log-odds) and follows its
-gradient.  Scoring broadcasts the trained arrays (bounded by the sample) and runs
-in tasks, on whole texts, a megabyte of text at a time.
+(a third of them toxic at most; chosen by hash) - the documented bound of that task.
+As labels are given per document, each three passes take every document's worst
+window under the present model (at first, the one whose words have the highest
+smoothed log-odds) and follow its gradient.  These windows are found over the whole
+texts: in that task where the sample has at most ``task_bytes`` of text, else by tasks
+that read the sample a megabyte at a time and send one window a document, in
+which a word counts each trigram row once.  The driver holds the sample's ids, the
+words of at least three of its documents and the trained arrays.  Scoring broadcasts
+those arrays and runs in tasks, on whole texts, a megabyte of text at a time.
 
 Defined cases: a null or empty text is one window without words; a null id counts
 as an empty string for the fold; without any labelled row every score is 0.5.
@@ -20,14 +23,17 @@ as an empty string for the fold; without any labelled row every score is 0.5.
 
 from __future__ import annotations
 
-import io
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from .katz import pack, unpack
+from .storage import remove_table, save
 from .text import whole
 from .words import Words, batches_of, split_words, text_bytes
 
@@ -47,6 +53,7 @@ class Batch(NamedTuple):
 
     hashes: np.ndarray   # of the distinct words
     grams: np.ndarray    # trigram rows of all distinct words
+    share: np.ndarray    # of each of them in its word
     cuts: np.ndarray     # first trigram of each distinct word
     opens: np.ndarray    # distinct words x OPENINGS: row of each opening, 0 where the word is shorter
     index: np.ndarray    # windows x WINDOW: distinct word, or their number for no word
@@ -103,7 +110,44 @@ def batch_of(column: pa.Array) -> Batch:
     place = begin[:, None] + np.arange(WINDOW)
     inside = place < n[doc][:, None]
     row = np.append(word.reshape(-1), 0)[np.where(inside, w.first[:-1][doc][:, None] + place, len(word))]
-    return Batch(hashes, grams, cuts, opens, np.where(inside, row, len(hashes)).astype(np.int32), doc)
+    share = np.repeat(1 / size.astype(np.float32), size)
+    return Batch(hashes, grams, share, cuts, opens, np.where(inside, row, len(hashes)).astype(np.int32), doc)
+
+
+def _words_of(b: Batch, words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The first fields of a batch for some of its distinct words."""
+    size = np.diff(b.cuts)[words]
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(b.cuts[words] - cuts[:-1], size) + np.arange(cuts[-1])
+    return b.hashes[words], b.grams[at], b.share[at], cuts, b.opens[words]
+
+
+def windows_of(b: Batch, at: np.ndarray) -> Batch:
+    """Some windows with their own words alone."""
+    words, back = np.unique(b.index[at], return_inverse=True)
+    return Batch(*_words_of(b, words[words < len(b.hashes)]),
+                 back.reshape(-1, WINDOW).astype(np.int32), b.doc[at])
+
+
+def merged(b: Batch) -> Batch:
+    """Equal trigram rows of a word as one."""
+    n = len(b.hashes)
+    key, of = np.unique(np.repeat(np.arange(n), np.diff(b.cuts)) * CHAR_ROWS + b.grams, return_inverse=True)
+    share = np.bincount(of.reshape(-1), weights=b.share, minlength=len(key)).astype(np.float32)
+    return b._replace(grams=(key % CHAR_ROWS).astype(np.int32), share=share,
+                      cuts=np.searchsorted(key, np.arange(n + 1) * CHAR_ROWS))
+
+
+def joined(parts: list[Batch]) -> Batch:
+    """The windows of several batches over their distinct words, in the order of the batches."""
+    base = np.cumsum([0, *(len(b.hashes) for b in parts)])
+    cut = np.cumsum([0, *(len(b.grams) for b in parts)])
+    index = np.concatenate([np.where(b.index < len(b.hashes), b.index + a, base[-1]) for b, a in zip(parts, base)])
+    every = Batch(*(np.concatenate([b[i] for b in parts]) for i in range(3)),
+                  np.append(np.concatenate([b.cuts[:-1] + c for b, c in zip(parts, cut)]), cut[-1]),
+                  np.concatenate([b.opens for b in parts]), index, np.arange(len(index)))
+    hashes, first, of = np.unique(every.hashes, return_index=True, return_inverse=True)
+    return Batch(*_words_of(every, first), np.append(of.reshape(-1), len(hashes))[index].astype(np.int32), every.doc)
 
 
 def new_params(words: int, odds: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
@@ -132,10 +176,9 @@ def _vectors(p: dict, vocabulary: np.ndarray, b: Batch, hide: np.ndarray | None
         row = np.where(vocabulary[at] == b.hashes, at + 1, 0)
         if hide is not None:
             row[hide] = 0
-    size = np.diff(b.cuts)
-    chars = np.add.reduceat(p["chars"][b.grams], b.cuts[:-1], axis=0) / size[:, None].astype(np.float32) \
-        if len(size) else np.empty((0, CHAR_DIM), np.float32)
-    opens = p["opens"][b.opens].mean(axis=1) if len(size) else chars
+    chars = np.add.reduceat(p["chars"][b.grams] * b.share[:, None], b.cuts[:-1], axis=0) \
+        if len(b.hashes) else np.empty((0, CHAR_DIM), np.float32)
+    opens = p["opens"][b.opens].mean(axis=1) if len(b.hashes) else chars
     return np.hstack([p["words"][row], chars, opens]).astype(np.float32), row
 
 
@@ -222,7 +265,7 @@ def gradients(p: dict, vocabulary: np.ndarray, b: Batch, index: np.ndarray, labe
     g["words"][0] = 0
     size = np.diff(b.cuts)
     chars, opens = dx[:, WORD_DIM:WORD_DIM + CHAR_DIM], dx[:, WORD_DIM + CHAR_DIM:]
-    np.add.at(g["chars"], b.grams, np.repeat(chars / size[:, None], size, axis=0))
+    np.add.at(g["chars"], b.grams, np.repeat(chars, size, axis=0) * b.share[:, None])
     g["opens"] = np.zeros_like(p["opens"])
     for i in range(len(OPENINGS)):
         np.add.at(g["opens"], b.opens[:, i], opens / len(OPENINGS))
@@ -230,55 +273,57 @@ def gradients(p: dict, vocabulary: np.ndarray, b: Batch, index: np.ndarray, labe
     return loss, g
 
 
-def train(texts: list[str], labels: np.ndarray, *, steps: int = 500, batch: int = 128, rate: float = 0.01,
-          least_docs: int = 3, unknown: float = 0.2, seed: int = 5) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """(hashes of the known words, parameters) from whole texts and 0/1 labels."""
-    b = batch_of(pa.array(texts, pa.string()))
+def count_words(b: Batch, labels: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, toxic documents) that have each distinct word."""
     n_words = len(b.hashes)
-    # documents that have each word, by label
     pair = (b.doc[:, None].astype(np.int64) * (n_words + 1) + b.index).reshape(-1)
     pair.sort()
     pair = pair[np.append(True, pair[1:] != pair[:-1])]
     doc, word = pair // (n_words + 1), pair % (n_words + 1)
     doc, word = doc[word < n_words], word[word < n_words]
-    have = np.bincount(word, minlength=n_words)
-    bad = np.bincount(word, weights=labels[doc], minlength=n_words)
-    del pair, doc, word
-    n_bad, n_good = labels.sum(), len(labels) - labels.sum()
+    return (np.bincount(word, weights=times[doc], minlength=n_words),
+            np.bincount(word, weights=(times * labels)[doc], minlength=n_words))
+
+
+def first_state(words: np.ndarray, have: np.ndarray, bad: np.ndarray, n_bad: float, n_good: float, seed: int = 5) -> dict:
+    """What training knows before its first step; ``words``: ascending, with the documents that have them."""
     odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((have - bad + 0.5) / (n_good + 1))
     odds *= have / (have + 4.0)
-    known = have >= least_docs
-    vocabulary = b.hashes[known]
-    p = new_params(len(vocabulary), np.clip(odds[known], -2, 4).astype(np.float32), seed)
-    rng, order = np.random.default_rng(seed), []
-    mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    p = new_params(len(words), np.clip(odds, -2, 4).astype(np.float32), seed)
+    return {"step": 0, "vocabulary": words, "hint": np.maximum(odds, 0).astype(np.float32), "p": p,
+            "mean": {k: np.zeros_like(v) for k, v in p.items()}, "square": {k: np.zeros_like(v) for k, v in p.items()},
+            "rng": np.random.default_rng(seed), "order": []}
+
+
+def worst_windows(state: dict, b: Batch) -> Batch:
+    """The window of each document that the present model finds worst, at first the one with most hints."""
+    x, row = _vectors(state["p"], state["vocabulary"], b)
+    if state["step"] == 0:
+        score = np.append(np.append(np.float32(0), state["hint"])[row], np.float32(0))[b.index].sum(axis=1, dtype=np.float32)
+    else:
+        tables = project(state["p"], x)
+        score = np.concatenate([logits(state["p"], tables, b.index[i:i + 4096], len(b.hashes))
+                                for i in range(0, len(b.index), 4096)])
+    by = np.lexsort((score, b.doc))
+    return windows_of(b, by[np.append(np.flatnonzero(np.diff(b.doc[by])), len(by) - 1)])
+
+
+def learn(state: dict, b: Batch, labels: np.ndarray, *, steps: int = 500, batch: int = 128, rate: float = 0.01,
+          unknown: float = 0.2) -> None:
+    """Three passes over one window a document, or as far as ``steps`` go."""
+    p, mean, square, rng, order = (state[k] for k in ("p", "mean", "square", "rng", "order"))
+    n_bad, n_good = labels.sum(), len(labels) - labels.sum()
     cost = np.where(labels > 0, np.sqrt(min(16.0, max(1.0, n_good / max(1.0, n_bad)))), 1.0)
-    hint = np.append(np.where(known, np.maximum(odds, 0), 0), 0.0).astype(np.float32)
-    per_pass = -(-len(labels) // batch)
-    for step in range(steps):
-        if step % (3 * per_pass) == 0:
-            if step == 0:
-                score = hint[b.index].sum(axis=1, dtype=np.float32)
-            else:
-                tables = project(p, _vectors(p, vocabulary, b)[0])
-                score = np.concatenate([logits(p, tables, b.index[i:i + 4096], n_words)
-                                        for i in range(0, len(b.index), 4096)])
-            by = np.lexsort((score, b.doc))
-            worst = by[np.append(np.flatnonzero(np.diff(b.doc[by])), len(by) - 1)]
+    first = state["step"]
+    state["step"] = min(steps, first + 3 * -(-len(labels) // batch))
+    for step in range(first, state["step"]):
         if len(order) < batch:
             order = [*order, *rng.permutation(len(labels)).tolist()]
         own, order = np.array(order[:batch]), order[batch:]
-        index = b.index[worst[own]]
-        # only the batch's own words take part
-        rows, back = np.unique(index, return_inverse=True)
-        rows = rows[rows < n_words]
-        size = np.diff(b.cuts)[rows]
-        cuts = np.concatenate([[0], np.cumsum(size)])
-        grams = b.grams[np.repeat(b.cuts[rows] - cuts[:-1], size) + np.arange(cuts[-1])]
-        small = Batch(b.hashes[rows], grams, cuts, b.opens[rows], back.reshape(index.shape).astype(np.int32), own)
-        hide = rng.random(len(rows)) < unknown  # some words are treated as unknown, as many will be
-        _, g = gradients(p, vocabulary, small, small.index, labels[own].astype(np.float32), cost[own].astype(np.float32),
-                         hide)
+        small = windows_of(b, own)  # only the batch's own words take part
+        hide = rng.random(len(small.hashes)) < unknown  # some words are treated as unknown, as many will be
+        _, g = gradients(p, state["vocabulary"], small, small.index, labels[own].astype(np.float32),
+                         cost[own].astype(np.float32), hide)
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
         for k, v in g.items():
             v = v * min(1.0, 1.0 / (norm + 1e-9)) + 1e-5 * p[k]
@@ -286,7 +331,29 @@ def train(texts: list[str], labels: np.ndarray, *, steps: int = 500, batch: int
             square[k] = 0.99 * square[k] + 0.01 * v * v
             fix = np.sqrt(1 - 0.99 ** (step + 1)) / (1 - 0.9 ** (step + 1))
             p[k] -= (rate * min(1.0, 2 * (steps - step) / steps) * fix * mean[k] / (np.sqrt(square[k]) + 1e-6)).astype(np.float32)
-    return vocabulary, p
+    state["order"] = order
+
+
+def train(texts: pa.Array, labels: np.ndarray, times: np.ndarray, *, steps: int = 500, least_docs: int = 3,
+          **kwargs) -> dict:
+    """The state after training in this process, from whole texts, 0/1 labels and how often each text stands there."""
+    column = pa.RecordBatch.from_arrays([texts], ["text"])
+    parts = [batch_of(b.column(0)) for b in batches_of([column], 0)]
+    docs = np.cumsum([0, *(b.doc[-1] + 1 for b in parts)])
+    words, of = np.unique(np.concatenate([b.hashes for b in parts]), return_inverse=True)
+    have, bad = (np.bincount(of.reshape(-1), weights=np.concatenate(x), minlength=len(words)) for x in zip(*(
+        count_words(b, labels[a:z], times[a:z]) for b, a, z in zip(parts, docs[:-1], docs[1:]))))
+    known = have >= least_docs
+    n_bad = (labels * times).sum()
+    state = first_state(words[known], have[known], bad[known], n_bad, times.sum() - n_bad)
+    while state["step"] < steps:
+        windows = joined([merged(worst_windows(state, b)) for b in parts])
+        learn(state, _repeated(windows, times), np.repeat(labels, times), steps=steps, **kwargs)
+    return state
+
+
+def _repeated(b: Batch, times: np.ndarray) -> Batch:
+    return b._replace(index=np.repeat(b.index, times, axis=0), doc=np.repeat(b.doc, times))
 
 
 def held_out(doc_id: Column, folds: int = 3) -> Column:
@@ -294,19 +361,31 @@ def held_out(doc_id: Column, folds: int = 3) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == 1
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 6000, sample_chars: int = 10_000,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """At most ``sample_docs`` labelled texts (text, toxic) outside the held-out fold, in hash order."""
+def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 6000, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """At most ``sample_docs`` labelled texts outside the held-out fold, in hash order: (place, toxic, times, text).
+
+    Equal texts of an id are one row that counts ``times``.
+    """
     learn = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     learn = learn.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = docs.select(F.col(id_col).alias("id"), F.substring(whole(F.col(text_col)), 1, sample_chars).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("text"))
     n_bad = sample_docs // 3
     chosen = [learn.where(rule).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
               for rule, n in ((F.col("toxic") == 1, n_bad), (F.col("toxic") != 1, sample_docs - n_bad))]
     few = chosen[0].unionByName(chosen[1]).select(F.col("doc_id").alias("of"), "toxic")
-    return (texts.join(F.broadcast(few), texts.id == few.of)  # at most sample_docs rows
-            .orderBy(F.xxhash64("of"), "of", "text").limit(sample_docs)
-            .select("text", (F.col("toxic") == 1).alias("toxic")))
+    digest = F.xxhash64("text")
+    rows = (texts.join(F.broadcast(few), texts.id == few.of)  # ids may repeat; no text is moved here
+            .select("of", digest.alias("digest"), (F.col("toxic") == 1).alias("toxic"))
+            .orderBy(F.xxhash64("of"), "of", "digest").limit(sample_docs))
+    times: dict[tuple, int] = {}
+    for r in rows.collect():
+        times[tuple(r)] = times.get(tuple(r), 0) + 1
+    places = docs.sparkSession.createDataFrame(
+        [(i, *r, n) for i, (r, n) in enumerate(times.items())],
+        StructType([StructField("place", LongType()), *rows.schema.fields, StructField("times", LongType())]))
+    return (texts.join(F.broadcast(places), (texts.id == places.of) & (digest == places.digest))
+            .select("place", "toxic", "times", "text").dropDuplicates(["place"]))
 
 
 def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.ndarray]) -> DataFrame:
@@ -332,27 +411,79 @@ def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.n
     return frame.mapInArrow(run, schema)
 
 
+def _in_tasks(sample: DataFrame, n: int, n_bad: int, n_good: int, steps: int, least_docs: int = 3) -> dict:
+    """The state after training on the windows that tasks pick from the whole texts of ``n`` rows."""
+    sc = sample.sparkSession.sparkContext
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in batches_of(batches, 3):
+            b = batch_of(s.column(3))
+            have, bad = count_words(b, s.column(1).to_numpy(False).astype(np.float64), s.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (
+                b.hashes, have.astype(np.int64), bad.astype(np.int64))], ["word", "have", "bad"])
+
+    known = (sample.mapInArrow(count, "word long, have long, bad long").groupBy("word")
+             .agg(F.sum("have").alias("have"), F.sum("bad").alias("bad")).where(F.col("have") >= least_docs).toArrow())
+    words, have, bad = (known.column(i).to_numpy() for i in range(3))
+    by = np.argsort(words.view(_U))
+    state = first_state(words.view(_U)[by], have[by].astype(np.float64), bad[by].astype(np.float64), n_bad, n_good)
+    while state["step"] < steps:
+        given = sc.broadcast(state)
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for s in batches_of(batches, 3):
+                b = worst_windows(given.value, batch_of(s.column(3)))
+                rows = []
+                for i in range(len(b.index)):
+                    w = merged(windows_of(b, np.array([i])))
+                    rows.append(pack(w.hashes, np.diff(w.cuts), w.grams, w.share, w.opens.reshape(-1), w.index[0]))
+                yield pa.RecordBatch.from_arrays([*s.columns[:3], pa.array(rows, pa.binary())],
+                                                 ["place", "toxic", "times", "window"])
+
+        def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts, toxic, times = [], [], []
+            for s in batches:
+                toxic += s.column(1).to_pylist()
+                times += s.column(2).to_pylist()
+                for payload in s.column(3):
+                    hashes, size, grams, share, opens, index = unpack(payload)
+                    parts.append(Batch(hashes.astype(_U), grams.astype(np.int32), share,
+                                       np.concatenate([[0], np.cumsum(size.astype(np.int64))]),
+                                       opens.reshape(-1, len(OPENINGS)).astype(np.int32),
+                                       index.reshape(1, -1).astype(np.int32), np.zeros(1, np.int64)))
+            if parts:
+                now = given.value
+                learn(now, _repeated(joined(parts), np.array(times)), np.repeat(np.array(toxic, np.float64), times), steps=steps)
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(now)], pa.binary())], ["state"])
+
+        windows = sample.mapInArrow(pick, "place long, toxic boolean, times long, window binary").orderBy("place").limit(n)
+        state = pickle.loads(bytes(windows.mapInArrow(fit, "state binary").first().state))
+        given.destroy()
+    return state
+
+
 def trained(docs: DataFrame, labels: DataFrame, *, steps: int = 500, id_col: str = "doc_id", text_col: str = "text",
-            **sample) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+            task_bytes: int = 16 << 20, **sample) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The network learnt from a bounded sample; without any labelled row all its numbers are 0."""
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, toxic = [], []
-        for b in batches:
-            texts += b.column(0).to_pylist()
-            toxic += b.column(1).to_pylist()
-        if texts:
-            vocabulary, p = train(texts, np.array(toxic, np.float64), steps=steps)
-            buffer = io.BytesIO()
-            np.savez(buffer, __vocabulary=vocabulary, **p)
-            yield pa.RecordBatch.from_arrays([pa.array([buffer.getvalue()], pa.binary())], ["model"])
-
-    few = training_sample(docs, labels, id_col=id_col, text_col=text_col, **sample)
-    rows = few.mapInArrow(fit, "model binary").collect()
-    if not rows:
+    few = save(training_sample(docs, labels, id_col=id_col, text_col=text_col, **sample), "toxicity-sample")
+    n, size, n_all, n_bad = few.agg(F.count("*"), F.sum(F.octet_length("text").cast("long")), F.sum("times"),
+                                    F.sum(F.col("times") * F.col("toxic").cast("long"))).first()
+    if not n:
         return np.empty(0, _U), {k: np.zeros_like(v) for k, v in new_params(0, np.empty(0)).items()}
-    with np.load(io.BytesIO(bytes(rows[0].model))) as saved:
-        p = dict(saved)
-    return p.pop("__vocabulary"), p
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        if rows.num_rows:
+            state = train(rows.column(3).combine_chunks(), rows.column(1).to_numpy().astype(np.float64),
+                          rows.column(2).to_numpy(), steps=steps)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state)], pa.binary())], ["state"])
+
+    if size <= task_bytes:
+        state = pickle.loads(bytes(few.orderBy("place").limit(n).mapInArrow(fit, "state binary").first().state))
+    else:
+        state = _in_tasks(few, n, n_bad, n_all - n_bad, steps)
+    remove_table(few)
+    return state["vocabulary"], state["p"]
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id_col: str = "doc_id",

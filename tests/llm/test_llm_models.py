@@ -84,6 +84,36 @@ def test_sample_is_filled(spark):
     assert {r["toxic"]: r["count"] for r in got.collect()} == {True: 2000, False: 4000}
 
 
+def long_texts(spark):
+    """Documents of 11,000 characters and more, the toxic ones with their insults at the end."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(90):
+        w = [f"w{rng.randrange(300)}" * 8 for _ in range(rng.randint(440, 480))]
+        rows.append((i, " ".join(w + ["snark", "grumbler"] * (3 if i % 3 == 0 else 0)), int(i % 3 == 0)))
+    assert all(len(t.split("snark")[0]) > 11_000 for _, t, _ in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    return df.select("doc_id", "text"), df.select("doc_id", "toxic")
+
+
+def test_learns_from_the_end_of_long_texts(spark):
+    vocabulary, p = toxicity.trained(*long_texts(spark), steps=150)
+    words = " ".join(f"w{i}" * 8 for i in range(1, 200))
+    probe = spark.createDataFrame([(1, words + " snark grumbler" * 3), (2, words)], "id long, text string")
+    score = {r.id: r.score for r in toxicity.score_texts(probe, vocabulary, p).collect()}
+    assert score[1] > 0.7 > 0.3 > score[2]
+
+
+def test_windows_of_tasks_train_the_same_network(spark):
+    """One window a document, sent by tasks, gives what training on the whole texts gives; copies count as often as they stand."""
+    docs, labels = long_texts(spark)
+    docs = docs.unionByName(docs.where("doc_id = 9")).unionByName(spark.createDataFrame([(9, None), (12, "中" * 5000)], docs.schema))
+    own, p = toxicity.trained(docs, labels, steps=9)
+    sent, q = toxicity.trained(docs, labels, steps=9, task_bytes=0)
+    assert own.tolist() == sent.tolist() and len(own) > 290
+    assert all(np.allclose(p[k], q[k], atol=1e-4) for k in p)
+
+
 def vector_rows():
     rng = np.random.default_rng(0)
     base = rng.standard_normal((30, 16))
