@@ -187,8 +187,7 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
             todo = left_table = save(left, f"left{n}") if now_left else None
             for finished in (swept, *old):
                 remove_table(finished)
-            # no gap takes two pieces, or hardly any takes one more: what is left of them is for smaller classes
-            full = widest < 2 * least or (n_left - now_left) * 50 < n_left
+            full = widest < 2 * least  # no gap takes two pieces: what is left of them is for smaller classes
             n_left, n = now_left, n + 1
         if low == 0:
             break

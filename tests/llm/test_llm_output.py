@@ -122,6 +122,15 @@ def test_packing_rounds_over_many_partitions(spark, monkeypatch):
     assert len(by) <= best_fit_decreasing(sizes, 4096) * 1.02 + 1
 
 
+def test_gaps_are_filled_though_each_round_places_few(spark):
+    """Gaps take pieces as long as they hold them, however small a part of all pieces that is."""
+    sizes = [2106] * 24 + [128] + [65] * 20_000
+    table = save(spark.createDataFrame(list(enumerate(sizes)), "key long, size long"), "test-pieces")
+    got = packing.best_fit(table, 4096).collect()
+    assert sorted(r.key for r in got) == list(range(len(sizes)))
+    assert len({r.seq for r in got}) <= best_fit_decreasing(sizes, 4096) + 1
+
+
 def test_runs_take_the_latest_slots_first():
     assert packing._runs([(0, 1, 3), (1, 2, 0), (2, 4, 2), (3, 1, 0)]) == [
         (1, 0, 1, 0, 2), (2, 0, 0, 0, 0), (3, 0, 0, 2, 1)]
