@@ -6,6 +6,36 @@ _WORD = r"[^\x20\x09-\x0D]+"
 #: least node reachable over ``edges`` (a, b), which holds both directions
 _REACH = "reach(a, root) AS (SELECT a, a FROM edges UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.a)"
 
+
+
+def _lloyd(k: int = 16, rounds: int = 3) -> str:
+    """Lloyd rounds unrolled; a centroid is a row per component."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        near{r} AS (SELECT r, c, d FROM (
+            SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS place FROM (
+                SELECT x.r, y.c, sum((x.x - y.x) * (x.x - y.x))::BIGINT AS d FROM x JOIN c{r} y ON y.j = x.j GROUP BY x.r, y.c))
+            WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} AS (SELECT o.c, o.j, coalesce(m.x, o.x) AS x FROM c{r} o LEFT JOIN (
+            SELECT n.c, x.j, ((sum(x.x) - ((sum(x.x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+            FROM near{r} n JOIN x ON x.r = n.r GROUP BY n.c, x.j) m ON m.c = o.c AND m.j = o.j)""")
+    return f"""
+        WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, row_number() OVER () AS r FROM embeddings
+                   WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+        x AS (SELECT r, generate_subscripts(e, 1) AS j, floor(64 * unnest(e))::BIGINT AS x FROM v),
+        first AS (SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, e) - 1 AS c FROM v
+                  QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, e) <= {k}),
+        c0 AS (SELECT c, j, x FROM first JOIN x USING (r)),{",".join(steps)},
+        sums AS (SELECT c, sum(d)::BIGINT AS i FROM near{rounds} GROUP BY c),
+        digest AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY c)
+        SELECT vec_id, n.c::INTEGER AS cluster, n.d AS distance, sums.i AS cluster_inertia,
+               (SELECT sum(i)::BIGINT FROM sums) AS inertia, h AS centroid_sha256
+        FROM near{rounds} n JOIN v USING (r) JOIN sums ON sums.c = n.c JOIN digest ON digest.c = n.c"""
+
+
 ORACLE = {
     "op7_pq_near_dedup": f"""
         WITH RECURSIVE v AS (
@@ -61,4 +91,22 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY k) AS keep_id, count(*) OVER (PARTITION BY k) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY k) AS kept, sha256(k) AS text_sha256
         FROM d""",
+    "op12_threshold_negatives": """
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda y: floor(256 * y::DOUBLE)) AS x, vec_id % 100 = 0 AS asks FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+        s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS alike,
+                     coalesce(list_inner_product(a.x, b.x), 0)::BIGINT AS score
+              FROM v a JOIN v b ON a.asks AND a.r <> b.r AND len(a.x) = len(b.x)),
+        p AS (SELECT a, anchor_id, b, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+              QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) <= 5),
+        n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+                     row_number() OVER (PARTITION BY a, p.b ORDER BY score DESC, vec_id NULLS LAST) AS rank
+              FROM p JOIN s USING (a, anchor_id)
+              WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 10""",
+    "op13_sharded_lloyd": _lloyd(),
 }

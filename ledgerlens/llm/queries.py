@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .archives import archive_round_trip
+from .centroids import lloyd
 from .exact_dedup import exact_classes
+from .hard_negatives import hard_negatives
 from .jaccard_join import near_components
 from .katz import katz_scores
 from .mixing import mix
@@ -73,6 +75,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(_read(spark, sf_dir, "documents"))
 
 
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label of every seventh row is moved on by one, and every hundredth row asks, as the query is stated."""
+    rows = _read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lloyd(_read(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op5_bigru_toxicity,
-    op6_katz_backoff, op7_pq_near_dedup, op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup)}
+    op6_katz_backoff, op7_pq_near_dedup, op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup,
+    op12_threshold_negatives, op13_sharded_lloyd)}
