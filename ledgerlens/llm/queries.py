@@ -8,6 +8,7 @@ from .archives import archive_round_trip
 from .centroids import lloyd
 from .exact_dedup import exact_classes
 from .hard_negatives import hard_negatives
+from .html_extract import extract_main_text
 from .jaccard_join import near_components
 from .katz import katz_scores
 from .mixing import mix
@@ -75,6 +76,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(_read(spark, sf_dir, "documents"))
 
 
+def op11_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_read(spark, sf_dir, "pages"))
+
+
 def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A label of every seventh row is moved on by one, and every hundredth row asks, as the query is stated."""
     rows = _read(spark, sf_dir, "embeddings")
@@ -91,4 +96,4 @@ def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pareto_mix, op3_arc_to_warc, op4_bit_packed_tokens, op5_bigru_toxicity,
     op6_katz_backoff, op7_pq_near_dedup, op8_super_kmer_dedup, op9_ngram_jaccard_join, op10_exact_dedup,
-    op12_threshold_negatives, op13_sharded_lloyd)}
+    op11_crf_main_text, op12_threshold_negatives, op13_sharded_lloyd)}
