@@ -46,6 +46,7 @@ class Block(NamedTuple):
     linked: int                                      # characters of it inside links
     path: tuple[tuple[str, tuple[str, ...]], ...]    # (tag, name tokens) from the outside, of block elements
     home: int                                        # number of the element that holds the paragraph, item, cell ...
+    above: int                                       # and of the one around that
     label: str | None                                # innermost data-main, in labelled pages
 
 
@@ -54,6 +55,7 @@ class _Open(NamedTuple):
     tag: str
     path: tuple[tuple[str, tuple[str, ...]], ...]
     home: int
+    above: int
     label: str | None
 
 
@@ -61,7 +63,7 @@ class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.stack = [_Open("", (), 0, None)]
+        self.stack = [_Open("", (), 0, 0, None)]
         self.open: dict[str, int] = {}  # open elements per tag
         self.text: list[str] = []
         self.around = self.stack[0]     # where the text began
@@ -80,8 +82,8 @@ class _Reader(HTMLParser):
         if self.text and not self.silent:
             text = "".join(self.text)
             if text and not text.isspace():
-                _, path, home, label = self.around
-                self.blocks.append(Block(text, self.linked, path, home, label))
+                _, path, home, above, label = self.around
+                self.blocks.append(Block(text, self.linked, path, home, above, label))
             self.text, self.linked = [], 0
 
     def pop(self, at: int) -> None:
@@ -117,17 +119,18 @@ class _Reader(HTMLParser):
             self.end(("p",), _SCOPE)
         if tag in _ENDS:
             self.end(*_ENDS[tag])
-        _, path, home, label = self.stack[-1]
+        _, path, home, above, label = self.stack[-1]
         self.elements += 1
         if tag in _BLOCK:  # names of inline elements say little and differ within a block
             path = (*path[1 - _DEEP:], (tag, _names(dict(attrs)) if attrs else ()))
-            home = home if tag in _LEAF else self.elements
+            if tag not in _LEAF:
+                home, above = self.elements, home
         if attrs:
             label = dict(attrs).get(LABEL, label)
         self.open[tag] = self.open.get(tag, 0) + 1
         self.silent += tag in _SILENT
         self.links += tag == "a"
-        self.stack.append(_Open(tag, path, home, label))
+        self.stack.append(_Open(tag, path, home, above, label))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # "/>" closes nothing in HTML
@@ -199,17 +202,20 @@ def text_features(blocks: list[Block]) -> list[list[str]]:
     """What the model sees of each block's text and of how much text its element holds."""
     held: dict[int, list[int]] = {}
     for block in blocks:
-        n = held.setdefault(block.home, [0, 0])
+        n = held.setdefault(block.home, [0, 0, 0])
         n[0] += 1
         n[1] += len(block.text) - block.linked
+        n[2] |= bool(block.path) and block.path[-1][0] == "h1"
     all_ = max(1, sum(n[1] for n in held.values()))
     out = []
     for block in blocks:
         text = block.text.strip()
-        n, (mates, mass) = len(text), held[block.home]
+        n, (mates, mass, titled) = len(text), held[block.home]
+        _, around, topped = held.get(block.above, (0, 0, 0))
         f = [f"length {_size(n, 2, 8, 20, 40, 80, 160, 320, 1000)}", f"linked {_size(100 * block.linked // max(1, n), 1, 30, 60, 90)}",
              f"stop {text[-1:] in '.!?…。！？:;'}", f"commas {_size(text.count(','), 1, 3, 8)}",
-             f"mates {_size(mates, 2, 3, 5, 9)}", f"mass {_size(100 * mass // all_, 3, 10, 25, 50, 75)}"]
+             f"mates {_size(mates, 2, 3, 5, 9)}", f"mass {_size(100 * mass // all_, 3, 10, 25, 50, 75)}",
+             f"titled {titled}", f"around {topped} {_size(100 * around // all_, 3, 10, 25, 50)}"]
         if n < 200:
             if not _SIGNS.isdisjoint(text):
                 f.append("sign")

@@ -9,7 +9,7 @@
    element and across elements, so a short paragraph among paragraphs goes with them.
 3. *Training.*  The weights maximise the likelihood of labelled pages with an L2
    penalty: forward-backward over all pages at once in numpy, a hundred and twenty steps.  By
-   default the labelled pages are 800 of ``html_layouts``; a caller may give own ones,
+   default the labelled pages are 1600 of ``html_layouts``; a caller may give own ones,
    whose elements are marked ``data-main="1"`` or ``"0"``.
 4. *Decoding.*  Tasks read pages one after the other, and Viterbi finds the best labels.
 

@@ -152,6 +152,9 @@ class _Page:
 
     def page(self) -> str:
         r = self.rng
+        if r.random() < 0.05:  # a fragment
+            inner = "".join(self.paragraph("1") for _ in range(r.randint(1, 3)))
+            return r.choice((inner, f"<article>{inner}</article>", f"<html><body>{inner}"))
         around = [k for k in _AROUND if r.random() < 0.55]
         cut = sum(k in ("menu", "header", "notice", "advert", "form") for k in around)
         if r.random() < 0.3:
@@ -168,7 +171,7 @@ class _Page:
         return f"<!DOCTYPE html><html lang='en'>{head}<body>{body}{tail}"
 
 
-def labelled_pages(n: int = 800, seed: int = 11) -> list[str]:
+def labelled_pages(n: int = 1600, seed: int = 11) -> list[str]:
     """``n`` labelled pages; the same for the same seed."""
     rng = random.Random(seed)
     return [_Page(rng).page() for _ in range(n)]

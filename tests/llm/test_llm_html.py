@@ -137,7 +137,7 @@ def test_whole_table(spark, sf):
 def test_odd_pages(spark):
     long = "<nav><a>Home</a></nav><article><h1>Title</h1>" + "".join(f"<p>Paragraph {i} is here, with words.</p>" for i in range(20_000)) + "</article>"
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "", ""), (None, "v", "<body><article><h1>One</h1><p>Only this stands here.</p></article>"),
-            (4, "w", long), (5, "x", "<nav><a>Home</a></nav>"), (6, "y", "<p>" + "word " * 200_000 + "</p>")]
+            (4, "w", long), (5, "x", "<nav><a>Home</a></nav>"), (7, "z", "<article><p>Only this stands here, all alone.</p></article>"), (6, "y", "<p>" + "word " * 200_000 + "</p>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text", "7 as id", "8 as n_chars")
     got = X.extract_main_text(df)
     assert got.columns == ["page_id", "url", "text", "n_chars"]
@@ -148,6 +148,7 @@ def test_odd_pages(spark):
     assert len(by[1]) == 2 and by[1][0] == by[1][1] and by[1][0].text.startswith("Rivers & lakes")
     assert [by[k][0].text for k in (2, 3, 5)] == ["", "", ""]
     assert by[None][0].text == "One\n\nOnly this stands here."
+    assert by[7][0].text == "Only this stands here, all alone."
     assert by[4][0].text.count("\n\n") == 20_000 and len(by[6][0].text) == 999_999
     assert X.extract_main_text(df.limit(0)).count() == 0
 
