@@ -306,6 +306,10 @@ from tokens t left join best_trade b on b.mint = t.mint""",
     + "select mint, decimals from expected_decimals",
     "account_metadata": fixtures.duckdb_ctes([], extra={"expected_metadata": fixtures.EXPECTED_METADATA_SQL})
     + "select mint, symbol, name, uri from expected_metadata",
+    "decimals_from_batches": fixtures.duckdb_ctes([], extra={"expected": fixtures.EXPECTED_BATCH_DECIMALS_SQL})
+    + "select mint, decimals from expected",
+    "metadata_from_batches": fixtures.duckdb_ctes([], extra={"expected": fixtures.EXPECTED_BATCH_METADATA_SQL})
+    + "select mint, symbol, name, uri from expected",
     "token_metrics": _with() + _pipeline("token_decimals", None),
     "token_metrics_enriched": _enriched_prefix() + _pipeline("token_decimals", "expected_metadata"),
     "run_summary": _enriched_prefix() + """

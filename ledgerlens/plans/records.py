@@ -35,7 +35,8 @@ from ..functions.numeric import scale_down_exact
 from ..operators.lifetimes import first_swaps
 from ..operators.pools import pool_sides, pool_summary_by_token
 from ..operators.supply import RAW, burned_by_token, resolved_decimals, supply_columns
-from ..sources.enrichment import account_metadata, decimals_from_responses, metadata_per_token
+from ..sources.enrichment import (account_metadata, decimals_from_batches, decimals_from_responses, metadata_from_batches,
+                                  metadata_per_token)
 from ..sources.tables import TokenTables
 
 
@@ -112,9 +113,15 @@ def token_metrics(tables: TokenTables, *, decimals: DataFrame | None = None,
 
 
 def enrichment_inputs(tables: TokenTables) -> tuple[DataFrame, DataFrame]:
-    """(decimals, metadata) from the captured replies and account blobs."""
-    return (decimals_from_responses(tables.decimals_responses),
-            account_metadata(tables.metadata_accounts))
+    """(decimals, metadata) from the captured replies and account blobs, one per mint or
+    else in batches."""
+    if tables.decimals_responses is not None:
+        dec = decimals_from_responses(tables.decimals_responses)
+    else:
+        dec = decimals_from_batches(tables.decimals_requests, tables.decimals_batches)
+    if tables.metadata_accounts is not None:
+        return dec, account_metadata(tables.metadata_accounts)
+    return dec, metadata_from_batches(tables.metadata_requests, tables.metadata_batches)
 
 
 def token_metrics_enriched(tables: TokenTables, *, sol_price: float | None = None,

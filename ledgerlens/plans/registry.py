@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SOL
 from ..operators import discovery, lifetimes, market, pools, pricing, supply
-from ..sources.enrichment import account_metadata, decimals_from_responses
+from ..sources.enrichment import account_metadata, decimals_from_batches, decimals_from_responses, metadata_from_batches
 from ..session import new_folder
 from ..sources.tables import TokenTables, derive_from_tpch, read_tables, write_raw
 from . import records as tm
@@ -223,6 +223,16 @@ def q_account_metadata(spark, sf_dir):
     return account_metadata(_tables(spark, sf_dir).metadata_accounts)
 
 
+def q_decimals_from_batches(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return decimals_from_batches(t.decimals_requests, t.decimals_batches)
+
+
+def q_metadata_from_batches(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return metadata_from_batches(t.metadata_requests, t.metadata_batches)
+
+
 def q_token_metrics(spark, sf_dir):
     return tm.token_metrics(_tables(spark, sf_dir))
 

@@ -16,6 +16,46 @@ from ..functions.binary import read_length_prefixed
 from ..functions.numeric import lookup, valid_decimals
 
 _B64 = "[A-Za-z0-9+/]"
+_REPLY = "id bigint, result string"
+
+
+def replies_by_request(requests: DataFrame, batches: DataFrame) -> DataFrame:
+    """Requests (batch, id, mint) and bodies (batch, body) -> (mint, batch, place, result).
+
+    A body is the JSON array of a batch's replies in any order, or a single reply, which
+    counts as an array of one.  A reply belongs to the request of its batch and id; one
+    whose id is missing, no number or was not asked for is dropped.  Every request keeps at
+    least one row: without a reply, or where the body is null, broken or absent, its
+    place and result are null.  ``place`` is the reply's position in its array, ``result``
+    its JSON text.  Each element is parsed by itself, so an odd one costs no other, and the
+    join key (batch, id) is as fine as the requests."""
+    bodies = F.coalesce(F.from_json("body", "array<string>"), F.array("body"))
+    replies = (batches.select("batch", F.posexplode(bodies).alias("place", "_text"))
+               .select("batch", "place", F.from_json("_text", _REPLY).alias("_r"))
+               .select("batch", "place", "_r.id", "_r.result").where(F.col("id").isNotNull()))
+    return requests.select("mint", "batch", "id").join(replies, ["batch", "id"], "left").select("mint", "batch", "place", "result")
+
+
+def decimals_from_batches(requests: DataFrame, batches: DataFrame) -> DataFrame:
+    """(mint, decimals) for every mint asked for in a batch.
+
+    Presets win; then the last parsed value (by batch and place: later replies replace
+    earlier ones, a failed one replaces nothing); else 6."""
+    value = valid_decimals(F.get_json_object("result", DECIMALS_JSON_PATH.replace("$.result", "$")))
+    last = F.max(F.when(F.col("_v").isNotNull(), F.struct("batch", "place", "_v")))
+    per_key = (replies_by_request(requests, batches).select("mint", "batch", "place", value.alias("_v"))
+               .groupBy("mint").agg(last.alias("_s")))
+    return per_key.select(
+        "mint", F.coalesce(lookup(F.col("mint"), PRESET_DECIMALS), F.col("_s._v"),
+                           F.lit(DEFAULT_RESOLVED_DECIMALS)).cast("bigint").alias("decimals"))
+
+
+def metadata_from_batches(requests: DataFrame, batches: DataFrame) -> DataFrame:
+    """(mint, symbol, name, uri) for every mint asked for in a batch; three nulls without a
+    readable account.  Replies are matched by id, so their order does not matter."""
+    blob = F.get_json_object("result", ACCOUNT_JSON_PATH.replace("$.result", "$"))
+    accounts = replies_by_request(requests, batches).select("mint", blob.alias("account_data_b64"))
+    return metadata_per_token(account_metadata(accounts))
 
 
 def decimals_from_responses(responses: DataFrame) -> DataFrame:

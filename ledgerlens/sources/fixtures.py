@@ -16,6 +16,8 @@ swaps the line status 'O' except for the swapless tokens; ``part`` feeds the loo
 
 from __future__ import annotations
 
+import re
+
 from ..constants import SOL, USDC, USDH, USDT
 
 
@@ -102,12 +104,7 @@ from {{part}}
 # k: 0 missing, 1 bad base64, 2 too short, 3 empty symbol,
 #    4 name length past the end, 5 bad UTF-8 byte, 6 a real U+FFFD in the name,
 #    7 stray characters in the base64, 8 the blob inside a whole reply.
-METADATA_ACCOUNTS_SQL = """
-select mint, case when k = 8 then null when k = 7 then concat('-', substring(blob, 1, 9), ' ', substring(blob, 10)) else blob end
-    as account_data_b64,
-  case when k = 8 then concat('{{"jsonrpc":"2.0","id":1,"result":{{"value":{{"data":["', blob, '","base64"]}}}}}}') end
-    as response_json
-from (select """ + token_expr('p_partkey') + """ as mint, k,
+_BLOBS_SQL = "select p_partkey, " + token_expr('p_partkey') + """ as mint, k,
   case when k = 0 then null when k = 1 then '!!!' when k = 2 then base64(unhex(repeat('00', 40)))
   else base64(unhex(concat(repeat('00', 65),
     case when k = 4 then 'FFFFFFFF' else concat(lpad(hex(32), 2, '0'), '000000') end,
@@ -116,7 +113,14 @@ from (select """ + token_expr('p_partkey') + """ as mint, k,
     rpad(hex(encode(substring(p_brand, 1, 10), 'UTF-8')), 20, '0'),
     'C8000000',
     rpad(hex(encode(concat('https://m.example/', cast(p_partkey as string)), 'UTF-8')), 400, '0')))) end as blob
-from (select *, p_partkey % 11 as k from {part}) s) b
+from (select *, p_partkey % 11 as k from {part}) s"""
+
+METADATA_ACCOUNTS_SQL = """
+select mint, case when k = 8 then null when k = 7 then concat('-', substring(blob, 1, 9), ' ', substring(blob, 10)) else blob end
+    as account_data_b64,
+  case when k = 8 then concat('{{"jsonrpc":"2.0","id":1,"result":{{"value":{{"data":["', blob, '","base64"]}}}}}}') end
+    as response_json
+from (""" + _BLOBS_SQL + """) b
 """
 
 # Expected decode of METADATA_ACCOUNTS_SQL (the DuckDB oracle's metadata).
@@ -128,6 +132,78 @@ select {token_expr('p_partkey')} as mint,
 from (select *, p_partkey % 11 as k from {{part}}) s
 """
 
+# Batch requests: (batch, id, mint); ids count from 1 in each batch of 25 (decimals) or 20 (metadata).
+def requests_sql(size: int) -> str:
+    return f"""
+select cast(floor((p_partkey - 1) / {size}) as bigint) as batch, cast((p_partkey - 1) % {size} + 1 as bigint) as id,
+       {token_expr('p_partkey')} as mint
+from {{part}}
+"""
+
+
+def _array_of_replies(select: str) -> str:
+    """Bodies (batch, arr): the replies of a batch as one JSON array, in an order that is not that of the ids."""
+    return f"""(select batch, concat('[', array_join(transform(sort_array(collect_list(struct(place, reply))), x -> x.reply), ','), ']') as arr
+  from ({select}) r where reply is not null group by batch)"""
+
+
+_DECIMALS_REPLY = """concat('{{"jsonrpc":"2.0","id":', i, ',"result":{{"value":{{"data":{{"parsed":{{"info":{{"decimals":', d, '}}}}}}}}}}}}')"""
+
+
+def _reply(i: str, d: str) -> str:
+    return re.sub(r", i, ", f", {i}, ", _DECIMALS_REPLY, count=1).replace(", d, ", f", {d}, ")
+
+
+# Spark only.  Replies, k = p_partkey % 11: 0 none, 1 no account, 2 unparsed payload, 3 an error, 4 an id nobody asked for,
+# 5 the id as a string, 6 two parsed replies, 7 a parsed one and then none, 8 out of range, else parsed.
+# Bodies, batch % 9: 0 null, 1 not JSON, 2 cut off, 3 one reply and no array, 4 no row, 5 an empty array, else the array.
+DECIMALS_BATCHES_SQL = f"""
+select batch, case batch % 9 when 0 then null when 1 then 'not json' when 2 then substring(arr, 1, length(arr) - 9)
+                             when 3 then {_reply("'1'", "'3'")} when 5 then '[]' else arr end as body
+from """ + _array_of_replies(f"""
+  select batch, xxhash64(i, batch) as place, case k when 0 then null
+      when 1 then concat('{{{{"id":', i, ',"result":{{{{"value":null}}}}}}}}')
+      when 2 then concat('{{{{"id":', i, ',"result":{{{{"value":{{{{"data":["AA==","base64"]}}}}}}}}}}}}')
+      when 3 then concat('{{{{"id":', i, ',"error":{{{{"code":-32005}}}}}}}}')
+      when 4 then {_reply("concat('1000', i)", "d")}
+      when 5 then {_reply("concat('\"', i, '\"')", "d")}
+      when 6 then concat({_reply("i", "d")}, ',', {_reply("i", "cast((p_size + 1) % 10 as string)")})
+      when 7 then concat({_reply("i", "d")}, ',', '{{{{"id":', i, ',"result":{{{{"value":null}}}}}}}}')
+      when 8 then {_reply("i", "'300'")} else {_reply("i", "d")} end as reply
+  from (select *, floor((p_partkey - 1) / 25) as batch, cast((p_partkey - 1) % 25 + 1 as string) as i,
+               cast(p_size % 10 as string) as d, p_partkey % 11 as k from {{part}}) s""") + """ b
+where batch % 9 <> 4
+"""
+
+# Expected decimals of the batches, independent of any JSON parser.
+EXPECTED_BATCH_DECIMALS_SQL = f"""
+select {token_expr('p_partkey')} as mint,
+       cast(case when p_partkey = 1 then 9 when p_partkey <= 3 or b in (0, 1, 2, 4, 5) then 6
+                 when b = 3 then case when (p_partkey - 1) % 25 = 0 then 3 else 6 end
+                 when k <= 5 or k = 8 then 6 when k = 6 then (p_size + 1) % 10 else p_size % 10 end as bigint) as decimals
+from (select *, cast(floor((p_partkey - 1) / 25) as bigint) % 9 as b, p_partkey % 11 as k from {{part}}) s
+"""
+
+# Spark only.  Replies with the blobs above, p_partkey % 13: 0 none, 1 no account, 2 an id nobody asked for,
+# 3 bad base64 and then the blob, else the blob.
+METADATA_BATCHES_SQL = """
+select batch, arr as body from """ + _array_of_replies("""
+  select batch, xxhash64(i, batch) as place, case p_partkey % 13 when 0 then null
+      when 1 then concat('{{"id":', i, ',"result":{{"value":null}}}}')
+      when 2 then concat('{{"id":1000', i, ',"result":{{"value":{{"data":', data, '}}}}}}')
+      when 3 then concat('{{"id":', i, ',"result":{{"value":{{"data":["!!!","base64"]}}}}}},{{"id":', i, ',"result":{{"value":{{"data":', data, '}}}}}}')
+      else concat('{{"id":', i, ',"result":{{"value":{{"data":', data, '}}}}}}') end as reply
+  from (select p_partkey, floor((p_partkey - 1) / 20) as batch, cast((p_partkey - 1) % 20 + 1 as string) as i,
+               concat('[', coalesce(concat('"', replace(replace(blob, char(13), ''), char(10), ''), '"'), 'null'), ',"base64"]') as data from (""" + _BLOBS_SQL + """) m) s""") + " b"
+
+EXPECTED_BATCH_METADATA_SQL = f"""
+select {token_expr('p_partkey')} as mint,
+  case when j <= 2 or k <= 3 then null else substring(p_brand, 1, 10) end as symbol,
+  case when j <= 2 or k in (0, 1, 2, 4) then null when k = 6 then concat('\uFFFD', p_name) else p_name end as name,
+  case when j <= 2 or k <= 2 then null else concat('https://m.example/', cast(p_partkey as string)) end as uri
+from (select *, p_partkey % 11 as k, p_partkey % 13 as j from {{part}}) s
+"""
+
 RELATIONS = {
     "mints": MINTS_SQL,
     "burns": BURNS_SQL,
@@ -136,6 +212,13 @@ RELATIONS = {
     "decimals_responses": DECIMALS_RESPONSES_SQL,
 }
 
+#: relations that only Spark derives; the oracle knows what they should give
+SPARK_RELATIONS = {
+    "metadata_accounts": METADATA_ACCOUNTS_SQL,
+    "decimals_requests": requests_sql(25), "decimals_batches": DECIMALS_BATCHES_SQL,
+    "metadata_requests": requests_sql(20), "metadata_batches": METADATA_BATCHES_SQL,
+}
+
 
 def duckdb_ctes(names=None, extra: dict | None = None) -> str:
     """``WITH`` prefix defining the derived relations over the oracle's views."""

@@ -33,6 +33,8 @@ SWAP_COLUMNS = ("source", "base_coin", "quote_coin", "base_coin_amount", "quote_
                 "base_pool_balance_after", "quote_pool_balance_after", "block_time")
 
 COLUMNS["swaps"] = SWAP_COLUMNS
+for _kind in ("decimals", "metadata"):
+    COLUMNS[f"{_kind}_requests"], COLUMNS[f"{_kind}_batches"] = ("batch", "id", "mint"), ("batch", "body")
 
 
 def _key(df: DataFrame, name: str, normalize: bool = True):
@@ -99,6 +101,16 @@ def conform_accounts(df: DataFrame, normalize: bool = True) -> DataFrame:
     return conform_keyed(df, *blob, normalize=normalize)
 
 
+def conform_requests(df: DataFrame, normalize: bool = True) -> DataFrame:
+    """Which mint was asked for under which id of which batch."""
+    return df.select(F.col("batch").cast("string").alias("batch"), F.col("id").cast("bigint").alias("id"), _key(df, "mint", normalize))
+
+
+def conform_batches(df: DataFrame) -> DataFrame:
+    """Captured bodies of batch replies."""
+    return df.select(F.col("batch").cast("string").alias("batch"), F.col("body").cast("string").alias("body"))
+
+
 @dataclass(frozen=True)
 class TokenTables:
     """The inputs of the pipeline, keys already normalised."""
@@ -109,6 +121,10 @@ class TokenTables:
     token_decimals: DataFrame | None = None
     decimals_responses: DataFrame | None = None
     metadata_accounts: DataFrame | None = None
+    decimals_requests: DataFrame | None = None
+    decimals_batches: DataFrame | None = None
+    metadata_requests: DataFrame | None = None
+    metadata_batches: DataFrame | None = None
 
     def with_(self, **kw) -> "TokenTables":
         return replace(self, **kw)
@@ -117,13 +133,14 @@ class TokenTables:
 def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
                 normalize_keys: bool = True) -> TokenTables:
     """Read ``<root>/{mints,burns,swaps}[.parquet]`` plus optional lookups
-    (``token_decimals``, ``decimals_responses``, ``metadata_accounts``).
+    (``token_decimals``, ``decimals_responses``, ``metadata_accounts``, and the batch
+    requests and replies ``{decimals,metadata}_{requests,batches}``).
 
     ``normalize_keys=False`` is for tables whose keys are already clean
     (e.g. written by ``write_tables``): key filters then reach the Parquet
     reader as pushed filters instead of running on a derived expression."""
 
-    def load(name: str, required: bool = True) -> DataFrame | None:
+    def load(name: str, required: bool = True, told: bool = True) -> DataFrame | None:
         for candidate in (f"{root}/{name}.{fmt}", f"{root}/{name}"):
             try:
                 df = spark.read.format(fmt).load(candidate)
@@ -136,12 +153,16 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
             return df
         if required:
             raise FileNotFoundError(f"{name} not found under {root}")
-        log.warning("no %s under %s: its defaults apply to every token", name, root)
+        if told:
+            log.warning("no %s under %s: its defaults apply to every token", name, root)
         return None
 
     dec = load("token_decimals", required=False)
     resp = load("decimals_responses", required=False)
     meta = load("metadata_accounts", required=False)
+    batch = {n: load(n, required=False, told=False) for n in COLUMNS if n.endswith(("_requests", "_batches"))}
+    batch = {n: None if df is None else conform_requests(df, normalize_keys) if n.endswith("_requests") else conform_batches(df)
+             for n, df in batch.items()}
     return TokenTables(
         mints=conform_mints(load("mints"), normalize_keys),
         burns=conform_burns(load("burns"), normalize_keys),
@@ -151,6 +172,7 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
                             else conform_keyed(resp, "response_json", normalize=normalize_keys)),
         metadata_accounts=(None if meta is None
                            else conform_accounts(meta, normalize_keys)),
+        **batch,
     )
 
 
@@ -158,8 +180,7 @@ def write_tables(tables: TokenTables, root: str, mode: str = "errorifexists") ->
     """Write the (normalised) relations as Parquet under ``root``: a one-time
     cleaning job whose output ``read_tables(..., normalize_keys=False)``
     reads back.  It also cuts the lineage of a derived input."""
-    for name in ("mints", "burns", "swaps", "token_decimals", "decimals_responses",
-                 "metadata_accounts"):
+    for name in COLUMNS:
         df = getattr(tables, name)
         if df is not None:
             df.write.mode(mode).parquet(f"{root}/{name}.parquet")
@@ -206,13 +227,15 @@ def _derive(spark: SparkSession, sf_dir: str) -> tuple[TokenTables, dict[str, Da
     def q(sql: str) -> DataFrame:
         return spark.sql(sql, lineitem=lineitem, part=part)
 
-    raw = {name: q(sql) for name, sql in {**fixtures.RELATIONS, "metadata_accounts": fixtures.METADATA_ACCOUNTS_SQL}.items()}
+    raw = {name: q(sql) for name, sql in {**fixtures.RELATIONS, **fixtures.SPARK_RELATIONS}.items()}
     raw = {name: soiled(df) for name, df in raw.items()}
     return TokenTables(
         mints=conform_mints(raw["mints"]), burns=conform_burns(raw["burns"]), swaps=conform_swaps(raw["swaps"]),
         token_decimals=conform_decimals(raw["token_decimals"]),
         decimals_responses=conform_keyed(raw["decimals_responses"], "response_json"),
         metadata_accounts=conform_accounts(raw["metadata_accounts"]),
+        decimals_requests=conform_requests(raw["decimals_requests"]), decimals_batches=conform_batches(raw["decimals_batches"]),
+        metadata_requests=conform_requests(raw["metadata_requests"]), metadata_batches=conform_batches(raw["metadata_batches"]),
     ), raw
 
 
