@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import is_valid_key
+from .bound import bound_query
 from .common import restrict
 
 
@@ -57,4 +58,4 @@ SELECT :token AS mint,
 
 def first_tx_point(spark: SparkSession, mints: DataFrame, swaps: DataFrame, token: str) -> DataFrame:
     """First transaction date of one token (null when it has none)."""
-    return spark.sql(FIRST_TX_POINT_SQL, args={"token": token}, mints=mints, swaps=swaps)
+    return bound_query(spark, FIRST_TX_POINT_SQL, {"token": token}, {"mints": mints, "swaps": swaps})

@@ -7,12 +7,13 @@ trades.  Both ignore decimals, as the reference does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import RECENT_SWAPS_PER_TOKEN
 from ..functions.keys import is_valid_key
 from ..functions.numeric import ratio
+from .bound import bound_query
 from .common import effective_sol_price, is_sol, is_stable, keys_of, restrict
 
 SWAP_VALUE_COLUMNS = ("base_coin", "quote_coin", "base_pool_balance_after",
@@ -132,5 +133,33 @@ def recent_trade_price(tokens: DataFrame, swaps: DataFrame, sol_price: float | N
                       F.coalesce("price_usd", F.lit(0.0)).alias("price_usd"))
 
 
+RECENT_SWAPS_POINT_SQL = f"""
+SELECT :token AS mint, {", ".join(SWAP_VALUE_COLUMNS)}, block_time
+FROM {{swaps}}
+WHERE base_coin = :token OR quote_coin = :token
+ORDER BY block_time DESC, {", ".join(c + " DESC" for c in SWAP_VALUE_COLUMNS)}
+LIMIT :n
+"""
+
+
+def recent_swaps_point(spark: SparkSession, swaps: DataFrame, token: str, n: int = RECENT_SWAPS_PER_TOKEN) -> DataFrame:
+    """(mint, base_coin, ..., block_time): one token's ``n`` latest swaps, in the order of
+    ``recent_swaps``.  A bound query: the filter on both coins reaches the scan, every task
+    keeps its first ``n`` rows, and no other token's row is ever shuffled or ranked."""
+    return bound_query(spark, RECENT_SWAPS_POINT_SQL, {"token": token, "n": int(n)}, {"swaps": swaps})
+
+
+def token_price_point(spark: SparkSession, swaps: DataFrame, token: str, sol_price: float | None = None,
+                      n: int = RECENT_SWAPS_PER_TOKEN) -> DataFrame:
+    """(mint, liquidity, price_usd) of one token, always one row: the row that
+    ``recent_trade_price`` has for it, 0.0 and 0.0 when no recent swap qualifies."""
+    recent = recent_swaps_point(spark, swaps, token, n).select("*", trade_liquidity(sol_price).alias("liquidity"))
+    best = (recent.where(F.col("liquidity") > 0)
+            .orderBy(F.col("liquidity").desc(), F.col("block_time").desc(), *[F.col(c).desc() for c in SWAP_VALUE_COLUMNS])
+            .limit(1).select("liquidity", trade_price(sol_price).alias("price_usd")))
+    return best.agg(F.coalesce(F.max("liquidity"), F.lit(0.0)).alias("liquidity"),
+                    F.coalesce(F.max("price_usd"), F.lit(0.0)).alias("price_usd")).select(F.lit(token).alias("mint"), "liquidity", "price_usd")
+
+
 __all__ = ["sol_trades", "latest_price_in_sol", "prices_in_usd", "recent_swaps",
-           "trade_liquidity", "trade_price", "recent_trade_price"]
+           "trade_liquidity", "trade_price", "recent_trade_price", "recent_swaps_point", "token_price_point"]

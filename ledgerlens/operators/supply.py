@@ -9,6 +9,7 @@ from ..constants import (DEFAULT_RESOLVED_DECIMALS, DEFAULT_STATIC_DECIMALS, PRE
                          STATIC_DECIMALS)
 from ..functions.keys import is_valid_key
 from ..functions.numeric import lookup, scale_down, scale_down_exact, valid_decimals
+from .bound import bound_query
 from .common import restrict
 
 RAW = "decimal(38,0)"
@@ -106,7 +107,7 @@ def token_supply_point(spark: SparkSession, mints: DataFrame, burns: DataFrame,
                        token: str) -> DataFrame:
     """max(0, minted - burned) in raw units for one token, as a bound
     parameterised query (the point filter reaches each scan)."""
-    return spark.sql(TOKEN_SUPPLY_POINT_SQL, args={"token": token}, mints=mints, burns=burns)
+    return bound_query(spark, TOKEN_SUPPLY_POINT_SQL, {"token": token}, {"mints": mints, "burns": burns})
 
 
 def circulating_supply(supply: DataFrame, reserves: DataFrame) -> DataFrame:

@@ -165,6 +165,13 @@ TRADE_PRICE = f"""case when cast(base_coin_amount as double) = 0 or cast(quote_c
          else 0.0e0 end
   else 0.0e0 end"""
 
+BEST_TRADE = f"""
+scored as (select *, {TRADE_LIQ} as liquidity from recent),
+best_trade as (
+  select mint, liquidity, {TRADE_PRICE} as price_usd
+  from (select *, row_number() over (partition by mint order by liquidity desc, recency_rank asc) as rn2
+        from scored where liquidity > 0) q where rn2 = 1)"""
+
 EXPECTED = {"expected_decimals": fixtures.EXPECTED_DECIMALS_SQL,
             "expected_metadata": fixtures.EXPECTED_METADATA_SQL}
 
@@ -294,12 +301,7 @@ select mint, cast(recency_rank as integer) as recency_rank, base_coin, quote_coi
     "trade_liquidity": fixtures.duckdb_ctes(["swaps"]) + f"""
 select base_coin, quote_coin, block_time, base_pool_balance_after, quote_pool_balance_after,
        {TRADE_LIQ} as liquidity from swaps""",
-    "recent_trade_price": _with("," + RECENT + f""",
-scored as (select *, {TRADE_LIQ} as liquidity from recent),
-best_trade as (
-  select mint, liquidity, {TRADE_PRICE} as price_usd
-  from (select *, row_number() over (partition by mint order by liquidity desc, recency_rank asc) as rn2
-        from scored where liquidity > 0) q where rn2 = 1)""") + """
+    "recent_trade_price": _with("," + RECENT + "," + BEST_TRADE) + """
 select t.mint, coalesce(b.liquidity, 0.0e0) as liquidity, coalesce(b.price_usd, 0.0e0) as price_usd
 from tokens t left join best_trade b on b.mint = t.mint""",
     "decimals_from_responses": fixtures.duckdb_ctes([], extra={"expected_decimals": fixtures.EXPECTED_DECIMALS_SQL})
@@ -311,6 +313,15 @@ from tokens t left join best_trade b on b.mint = t.mint""",
     "metadata_from_batches": fixtures.duckdb_ctes([], extra={"expected": fixtures.EXPECTED_BATCH_METADATA_SQL})
     + "select mint, symbol, name, uri from expected",
     "token_metrics": _with() + _pipeline("token_decimals", None),
+    "token_metrics_limited": _with().replace(
+        "tokens as (select distinct mint from mints where " + VALID + ")",
+        "tokens as (select distinct mint from mints where " + VALID + " order by mint limit 100)") + _pipeline("token_decimals", None),
+    "recent_swaps_point": _with("," + RECENT) + f"""
+select mint, base_coin, quote_coin, base_pool_balance_after, quote_pool_balance_after, base_coin_amount, quote_coin_amount, block_time
+from recent where mint = '{SOL}'""",
+    "token_price_point": _with("," + RECENT + "," + BEST_TRADE) + f"""
+select '{SOL}' as mint, coalesce(max(liquidity), 0.0e0) as liquidity, coalesce(max(price_usd), 0.0e0) as price_usd
+from best_trade where mint = '{SOL}'""",
     "token_metrics_enriched": _enriched_prefix() + _pipeline("token_decimals", "expected_metadata"),
     "run_summary": _enriched_prefix() + """
 select count(*) as tokens_found, count(m.symbol) as tokens_with_symbol,

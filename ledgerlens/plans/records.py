@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..constants import BLOCKCHAIN, TOKEN_METRICS_COLUMNS
 from ..functions.keys import is_valid_key
 from ..functions.numeric import scale_down_exact
+from ..operators.discovery import MAX_PUSHED_TOKENS, first_tokens, only_tokens
 from ..operators.lifetimes import first_swaps
 from ..operators.pools import pool_sides, pool_summary_by_token
 from ..operators.supply import RAW, burned_by_token, resolved_decimals, supply_columns
@@ -95,6 +96,15 @@ def build(tables: TokenTables, *, decimals: DataFrame | None = None,
     return PipelineParts(tokens=tokens, sides=sides, records=rec)
 
 
+def limited(tables: TokenTables, limit: int | None) -> tuple[TokenTables, int | None]:
+    """The tables of a run over the first ``limit`` tokens, and the limit that is still to
+    be applied.  The keys are looked up first (one small job) and pushed into the scans;
+    a limit beyond ``MAX_PUSHED_TOKENS`` is applied to the token aggregate instead."""
+    if limit is None or not 0 <= limit <= MAX_PUSHED_TOKENS:
+        return tables, limit
+    return only_tokens(tables, first_tokens(tables.mints, limit)), None
+
+
 def records_of(parts: PipelineParts) -> DataFrame:
     """The 12 record columns; tokens without a first transaction dropped."""
     return (parts.records.where(F.col("first_tx_date").isNotNull())
@@ -105,7 +115,9 @@ def token_metrics(tables: TokenTables, *, decimals: DataFrame | None = None,
                   metadata: DataFrame | None = None, sol_price: float | None = None,
                   limit: int | None = None) -> DataFrame:
     """The 12-column record per token (flagship).  ``decimals`` defaults to
-    ``tables.token_decimals``; ``limit`` keeps the first n tokens by key."""
+    ``tables.token_decimals``; ``limit`` keeps the first n tokens by key and reads no
+    other token's events past the scan (see :func:`limited`)."""
+    tables, limit = limited(tables, limit)
     if decimals is None:
         decimals = tables.token_decimals
     return records_of(build(tables, decimals=decimals, metadata=metadata, sol_price=sol_price,
@@ -128,6 +140,7 @@ def token_metrics_enriched(tables: TokenTables, *, sol_price: float | None = Non
                            limit: int | None = None) -> DataFrame:
     """The full run: decimals parsed from captured RPC replies, metadata
     decoded from captured account blobs."""
+    tables, limit = limited(tables, limit)
     dec, meta = enrichment_inputs(tables)
     return token_metrics(tables, decimals=dec, metadata=meta, sol_price=sol_price, limit=limit)
 
@@ -135,6 +148,7 @@ def token_metrics_enriched(tables: TokenTables, *, sol_price: float | None = Non
 def run_summary(tables: TokenTables, *, sol_price: float | None = None,
                 limit: int | None = None) -> DataFrame:
     """One row: tokens found, tokens with a symbol, records produced."""
+    tables, limit = limited(tables, limit)
     dec, meta = enrichment_inputs(tables)
     rec = build(tables, decimals=dec, metadata=meta, sol_price=sol_price, limit=limit).records
     return rec.agg(F.count(F.lit(1)).alias("tokens_found"),

@@ -27,6 +27,12 @@ def _tables(spark: SparkSession, sf_dir: str) -> TokenTables:
     return derive_from_tpch(spark, sf_dir)
 
 
+def _files(spark: SparkSession, sf_dir: str) -> TokenTables:
+    root = new_folder(spark, "tables")
+    write_raw(spark, sf_dir, root)
+    return read_tables(spark, root)
+
+
 def _tokens(t: TokenTables) -> DataFrame:
     return discovery.discover_tokens(t.mints)
 
@@ -50,9 +56,7 @@ def q_token_supply_static(spark, sf_dir):
 
 def q_token_metrics_from_files(spark, sf_dir):
     """The path a user runs: uncleaned multi-file tables through ``read_tables``."""
-    root = new_folder(spark, "tables")
-    write_raw(spark, sf_dir, root)
-    return tm.token_metrics(read_tables(spark, root))
+    return tm.token_metrics(_files(spark, sf_dir))
 
 
 def q_normalized_keys(spark, sf_dir):
@@ -215,6 +219,14 @@ def q_recent_trade_price(spark, sf_dir):
     return pricing.recent_trade_price(_tokens(t), t.swaps)
 
 
+def q_recent_swaps_point(spark, sf_dir):
+    return pricing.recent_swaps_point(spark, _tables(spark, sf_dir).swaps, POINT_TOKEN)
+
+
+def q_token_price_point(spark, sf_dir):
+    return pricing.token_price_point(spark, _tables(spark, sf_dir).swaps, POINT_TOKEN)
+
+
 def q_decimals_from_responses(spark, sf_dir):
     return decimals_from_responses(_tables(spark, sf_dir).decimals_responses)
 
@@ -237,6 +249,11 @@ def q_token_metrics(spark, sf_dir):
     return tm.token_metrics(_tables(spark, sf_dir))
 
 
+def q_token_metrics_limited(spark, sf_dir):
+    """A run over the first tokens, whose keys restrict every scan of the written tables."""
+    return tm.token_metrics(_files(spark, sf_dir), limit=FIRST_TOKENS)
+
+
 def q_token_metrics_enriched(spark, sf_dir):
     return tm.token_metrics_enriched(_tables(spark, sf_dir))
 
