@@ -6,16 +6,19 @@ words forwards, another backwards; attention weighs the states; their mean gives
 window's logit.  A text's score is that of its worst window, over overlapping
 windows that cover the whole text.
 
-Training is plain numpy in one task, on at most ``sample_docs`` labelled documents
-(a third of them toxic at most; chosen by hash) - the documented bound of that task.
-As labels are given per document, each three passes take every document's worst
-window under the present model (at first, the one whose words have the highest
-smoothed log-odds) and follow its gradient.  These windows are found over the whole
-texts: in that task where the sample has at most ``task_bytes`` of text, else by tasks
-that read the sample a megabyte at a time and send one window a document, in
-which a word counts each trigram row once.  The driver holds the sample's ids, the
-words of at least three of its documents and the trained arrays.  Scoring broadcasts
-those arrays and runs in tasks, on whole texts, a megabyte of text at a time.
+Training is plain numpy, on at most ``sample_docs`` labelled documents (a third of them
+toxic at most; chosen by hash) - its documented bound.  As labels are given per document,
+each three passes take every document's worst window under the present model (at first,
+the one whose words have the highest smoothed log-odds) and follow its gradient.  Tasks
+find these windows over the whole texts, a megabyte at a time, and send one window a
+document, in which a word counts each trigram row once; one task learns from them.  What
+the optimiser remembers goes from that task to the next one through a table in the shared
+folder.  The driver holds the sample's ids and hands the present model (the network and
+the words of at least three sampled documents) on to the tasks as it came, in bytes.
+Scoring broadcasts the trained arrays and runs in tasks, on whole texts, a megabyte of
+text at a time.
+
+A document labelled more than once counts as toxic if any of its labels says so.
 
 Defined cases: a null or empty text is one window without words; a null id counts
 as an empty string for the fold; without any labelled row every score is 0.5.
@@ -33,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .katz import pack, unpack
-from .storage import remove_table, save
+from .storage import release, remove_table, save
 from .text import whole
 from .words import Words, batches_of, split_words, text_bytes
 
@@ -334,24 +337,6 @@ def learn(state: dict, b: Batch, labels: np.ndarray, *, steps: int = 500, batch:
     state["order"] = order
 
 
-def train(texts: pa.Array, labels: np.ndarray, times: np.ndarray, *, steps: int = 500, least_docs: int = 3,
-          **kwargs) -> dict:
-    """The state after training in this process, from whole texts, 0/1 labels and how often each text stands there."""
-    column = pa.RecordBatch.from_arrays([texts], ["text"])
-    parts = [batch_of(b.column(0)) for b in batches_of([column], 0)]
-    docs = np.cumsum([0, *(b.doc[-1] + 1 for b in parts)])
-    words, of = np.unique(np.concatenate([b.hashes for b in parts]), return_inverse=True)
-    have, bad = (np.bincount(of.reshape(-1), weights=np.concatenate(x), minlength=len(words)) for x in zip(*(
-        count_words(b, labels[a:z], times[a:z]) for b, a, z in zip(parts, docs[:-1], docs[1:]))))
-    known = have >= least_docs
-    n_bad = (labels * times).sum()
-    state = first_state(words[known], have[known], bad[known], n_bad, times.sum() - n_bad)
-    while state["step"] < steps:
-        windows = joined([merged(worst_windows(state, b)) for b in parts])
-        learn(state, _repeated(windows, times), np.repeat(labels, times), steps=steps, **kwargs)
-    return state
-
-
 def _repeated(b: Batch, times: np.ndarray) -> Batch:
     return b._replace(index=np.repeat(b.index, times, axis=0), doc=np.repeat(b.doc, times))
 
@@ -411,79 +396,109 @@ def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.n
     return frame.mapInArrow(run, schema)
 
 
-def _in_tasks(sample: DataFrame, n: int, n_bad: int, n_good: int, steps: int, least_docs: int = 3) -> dict:
-    """The state after training on the windows that tasks pick from the whole texts of ``n`` rows."""
-    sc = sample.sparkSession.sparkContext
+_STATE = "kind string, payload binary"
+_MODEL = ("vocabulary", "hint", "p", "step")  # what picking windows takes; the rest is the optimiser's
+
+
+def _state_rows(state: dict) -> pa.RecordBatch:
+    parts = ({k: state[k] for k in _MODEL}, {k: v for k, v in state.items() if k not in _MODEL})
+    return pa.RecordBatch.from_arrays([pa.array(["model", "memory"]), pa.array([pickle.dumps(x) for x in parts], pa.binary())],
+                                      ["kind", "payload"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _count(least_docs: int, sample: DataFrame) -> DataFrame:
+    """(word, have, bad) of the words of at least ``least_docs`` sampled documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in batches_of(batches, 3):
             b = batch_of(s.column(3))
             have, bad = count_words(b, s.column(1).to_numpy(False).astype(np.float64), s.column(2).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (
                 b.hashes, have.astype(np.int64), bad.astype(np.int64))], ["word", "have", "bad"])
 
-    known = (sample.mapInArrow(count, "word long, have long, bad long").groupBy("word")
-             .agg(F.sum("have").alias("have"), F.sum("bad").alias("bad")).where(F.col("have") >= least_docs).toArrow())
-    words, have, bad = (known.column(i).to_numpy() for i in range(3))
-    by = np.argsort(words.view(_U))
-    state = first_state(words.view(_U)[by], have[by].astype(np.float64), bad[by].astype(np.float64), n_bad, n_good)
-    while state["step"] < steps:
-        given = sc.broadcast(state)
-
-        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for s in batches_of(batches, 3):
-                b = worst_windows(given.value, batch_of(s.column(3)))
-                rows = []
-                for i in range(len(b.index)):
-                    w = merged(windows_of(b, np.array([i])))
-                    rows.append(pack(w.hashes, np.diff(w.cuts), w.grams, w.share, w.opens.reshape(-1), w.index[0]))
-                yield pa.RecordBatch.from_arrays([*s.columns[:3], pa.array(rows, pa.binary())],
-                                                 ["place", "toxic", "times", "window"])
-
-        def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            parts, toxic, times = [], [], []
-            for s in batches:
-                toxic += s.column(1).to_pylist()
-                times += s.column(2).to_pylist()
-                for payload in s.column(3):
-                    hashes, size, grams, share, opens, index = unpack(payload)
-                    parts.append(Batch(hashes.astype(_U), grams.astype(np.int32), share,
-                                       np.concatenate([[0], np.cumsum(size.astype(np.int64))]),
-                                       opens.reshape(-1, len(OPENINGS)).astype(np.int32),
-                                       index.reshape(1, -1).astype(np.int32), np.zeros(1, np.int64)))
-            if parts:
-                now = given.value
-                learn(now, _repeated(joined(parts), np.array(times)), np.repeat(np.array(toxic, np.float64), times), steps=steps)
-                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(now)], pa.binary())], ["state"])
-
-        windows = sample.mapInArrow(pick, "place long, toxic boolean, times long, window binary").orderBy("place").limit(n)
-        state = pickle.loads(bytes(windows.mapInArrow(fit, "state binary").first().state))
-        given.destroy()
-    return state
+    return (sample.mapInArrow(run, "word long, have long, bad long").groupBy("word")
+            .agg(F.sum("have").alias("have"), F.sum("bad").alias("bad")).where(F.col("have") >= least_docs))
+
+
+def _first(n_bad: int, n_good: int):
+    """The state before the first step, from all known words; a row of -1 documents is no word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        if rows.num_rows:
+            words, have, bad = (rows.column(i).to_numpy() for i in range(3))
+            by = np.argsort(words.view(_U))
+            by = by[have[by] >= 0]
+            yield _state_rows(first_state(words.view(_U)[by], have[by].astype(np.float64), bad[by].astype(np.float64), n_bad, n_good))
+
+    return run
 
 
-def trained(docs: DataFrame, labels: DataFrame, *, steps: int = 500, id_col: str = "doc_id", text_col: str = "text",
-            task_bytes: int = 16 << 20, **sample) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def _pick(model):
+    """The worst window of each sampled document, as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None
+        for s in batches_of(batches, 3):
+            state = state or pickle.loads(model.value)
+            b = worst_windows(state, batch_of(s.column(3)))
+            rows = []
+            for i in range(len(b.index)):
+                w = merged(windows_of(b, np.array([i])))
+                rows.append(pack(w.hashes, np.diff(w.cuts), w.grams, w.share, w.opens.reshape(-1), w.index[0]))
+            yield pa.RecordBatch.from_arrays([*s.columns[:3], pa.array([None] * len(rows), pa.string()), pa.array(rows, pa.binary())],
+                                             ["place", "toxic", "times", "kind", "payload"])
+
+    return run
+
+
+def _fit(steps: int, batch: int):
+    """Learns from one window a document; the state stands before the windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, parts, toxic, times = {}, [], [], []
+        for s in batches:
+            for label, n, kind, payload in zip(*(s.column(i).to_pylist() for i in range(1, 5))):
+                if kind is not None:
+                    state |= pickle.loads(payload)
+                    continue
+                hashes, size, grams, share, opens, index = unpack(payload)
+                toxic.append(label)
+                times.append(n)
+                parts.append(Batch(hashes.astype(_U), grams.astype(np.int32), share,
+                                   np.concatenate([[0], np.cumsum(size.astype(np.int64))]),
+                                   opens.reshape(-1, len(OPENINGS)).astype(np.int32),
+                                   index.reshape(1, -1).astype(np.int32), np.zeros(1, np.int64)))
+        if parts:
+            learn(state, _repeated(joined(parts), np.array(times)), np.repeat(np.array(toxic, np.float64), times), steps=steps, batch=batch)
+            yield _state_rows(state)
+
+    return run
+
+
+def trained(docs: DataFrame, labels: DataFrame, *, steps: int = 500, batch: int = 128, least_docs: int = 3, id_col: str = "doc_id",
+            text_col: str = "text", **sample) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The network learnt from a bounded sample; without any labelled row all its numbers are 0."""
+    spark = docs.sparkSession
     few = save(training_sample(docs, labels, id_col=id_col, text_col=text_col, **sample), "toxicity-sample")
-    n, size, n_all, n_bad = few.agg(F.count("*"), F.sum(F.octet_length("text").cast("long")), F.sum("times"),
-                                    F.sum(F.col("times") * F.col("toxic").cast("long"))).first()
+    n, n_all, n_bad = few.agg(F.count("*"), F.sum("times"), F.sum(F.col("times") * F.col("toxic").cast("long"))).first()
     if not n:
         return np.empty(0, _U), {k: np.zeros_like(v) for k, v in new_params(0, np.empty(0)).items()}
-
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches))
-        if rows.num_rows:
-            state = train(rows.column(3).combine_chunks(), rows.column(1).to_numpy().astype(np.float64),
-                          rows.column(2).to_numpy(), steps=steps)
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state)], pa.binary())], ["state"])
-
-    if size <= task_bytes:
-        state = pickle.loads(bytes(few.orderBy("place").limit(n).mapInArrow(fit, "state binary").first().state))
-    else:
-        state = _in_tasks(few, n, n_bad, n_all - n_bad, steps)
+    none = spark.range(1).select(F.lit(0).cast("long").alias("word"), F.lit(-1).cast("long").alias("have"), F.lit(0).cast("long").alias("bad"))
+    words = _count(least_docs, few).unionByName(none).repartition(1)
+    state = save(words.mapInArrow(_first(n_bad, n_all - n_bad), _STATE), "toxicity-state")
+    for _ in range(-(-steps // (3 * -(-n_all // batch)))):
+        given = spark.sparkContext.broadcast(bytes(state.where("kind = 'model'").first().payload))
+        windows = few.mapInArrow(_pick(given), "place long, toxic boolean, times long, kind string, payload binary")
+        before = state.select(F.lit(-1).cast("long").alias("place"), F.lit(None).cast("boolean").alias("toxic"),
+                              F.lit(None).cast("long").alias("times"), "kind", "payload")
+        rows = windows.unionByName(before).orderBy("place").limit(n + 2)  # all of them, in one task
+        after = save(rows.mapInArrow(_fit(steps, batch), _STATE), "toxicity-state")
+        given.destroy()
+        remove_table(state)
+        state = after
+        del rows, windows, before
+        release(spark)
+    model = pickle.loads(bytes(state.where("kind = 'model'").first().payload))
+    remove_table(state)
     remove_table(few)
-    return state["vocabulary"], state["p"]
+    return model["vocabulary"], model["p"]
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id_col: str = "doc_id",

@@ -104,14 +104,65 @@ def test_learns_from_the_end_of_long_texts(spark):
     assert score[1] > 0.7 > 0.3 > score[2]
 
 
+def train(texts, labels, times, steps):
+    """The plain version: all windows of all texts at hand, in one process."""
+    b = toxicity.batch_of(pa.array(texts))
+    have, bad = toxicity.count_words(b, labels, times)
+    by = np.argsort(b.hashes)
+    by = by[have[by] >= 3]
+    n_bad = (labels * times).sum()
+    state = toxicity.first_state(b.hashes[by], have[by], bad[by], n_bad, times.sum() - n_bad)
+    while state["step"] < steps:
+        w = toxicity.merged(toxicity.worst_windows(state, b))
+        w = w._replace(index=np.repeat(w.index, times, axis=0), doc=np.repeat(w.doc, times))
+        toxicity.learn(state, w, np.repeat(labels, times), steps=steps)
+    return state
+
+
 def test_windows_of_tasks_train_the_same_network(spark):
-    """One window a document, sent by tasks, gives what training on the whole texts gives; copies count as often as they stand."""
+    """One window a document, sent by tasks round by round, gives what training on the whole texts at hand gives."""
     docs, labels = long_texts(spark)
     docs = docs.unionByName(docs.where("doc_id = 9")).unionByName(spark.createDataFrame([(9, None), (12, "中" * 5000)], docs.schema))
-    own, p = toxicity.trained(docs, labels, steps=9)
-    sent, q = toxicity.trained(docs, labels, steps=9, task_bytes=0)
-    assert own.tolist() == sent.tolist() and len(own) > 290
-    assert all(np.allclose(p[k], q[k], atol=1e-4) for k in p)
+    few = toxicity.training_sample(docs, labels).orderBy("place").collect()
+    want = train([r.text for r in few], np.array([float(r.toxic) for r in few]), np.array([r.times for r in few]), 9)
+    words, p = toxicity.trained(docs, labels, steps=9)
+    assert words.tolist() == want["vocabulary"].tolist() and len(words) > 290
+    assert all(np.allclose(p[k], want["p"][k], atol=1e-4) for k in p)
+
+
+def test_forward_pass_word_by_word():
+    """The network's score of whole texts against loops over words, gates and windows."""
+    rng = np.random.default_rng(7)
+    texts = ["you idiot, you!", "", "one " * 70 + "two", "Some quiet words about nothing at all"]
+    b = toxicity.batch_of(pa.array(texts))
+    p = {k: v.astype(np.float64) for k, v in toxicity.new_params(4, np.zeros(4)).items()}
+    p["query"] += rng.standard_normal(len(p["query"]))
+    vocabulary = np.sort(b.hashes)[:4].copy()
+    x, _ = toxicity._vectors(p, vocabulary, b)
+    got = toxicity.logits(p, toxicity.project(p, x), b.index, len(b.hashes))
+    sigmoid, h = (lambda v: 1 / (1 + np.exp(-v))), toxicity.HIDDEN
+
+    def vector(k):
+        at = np.flatnonzero(vocabulary == b.hashes[k])
+        word = p["words"][at[0] + 1 if len(at) else 0]
+        rows = range(b.cuts[k], b.cuts[k + 1])
+        return np.concatenate([word, sum(p["chars"][b.grams[r]] * b.share[r] for r in rows), np.mean([p["opens"][o] for o in b.opens[k]], axis=0)])
+
+    for i, window in enumerate(b.index):
+        read = [vector(k) for k in window if k < len(b.hashes)]
+        states = []
+        for d, order in (("f", read), ("b", read[::-1])):
+            s, own = np.zeros(h), []
+            for v in order:
+                a, g = v @ p[f"in_{d}"] + p[f"in_bias_{d}"], s @ p[f"re_{d}"]
+                z, r = sigmoid(a[:h] + g[:h]), sigmoid(a[h:2 * h] + g[h:2 * h])
+                s = (1 - z) * np.tanh(a[2 * h:] + r * g[2 * h:]) + z * s
+                own.append(s)
+            states.append(own if d == "f" else own[::-1])
+        both = [np.concatenate(pair) for pair in zip(*states)]
+        weight = np.array([np.exp(np.clip(s @ p["query"], -30, 30)) for s in both])
+        pooled = sum(w * s for w, s in zip(weight, both)) / weight.sum() if both else np.zeros(2 * h)
+        assert got[i] == pytest.approx(pooled @ p["out"] + p["bias"][0], abs=1e-5)
 
 
 def vector_rows():
