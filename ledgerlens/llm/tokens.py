@@ -14,6 +14,10 @@ other signs; a space may open a part) is sure to end a part whatever follows:
 * between an ASCII sign other than the apostrophe (contractions) and a letter or digit;
 * after one single line break or tab between sure non-spaces.
 
+Strings of the file's added tokens, which the library finds in a text before it splits
+anything, are never cut, and pieces that hold one are encoded by themselves; where such a
+token takes neighbouring white space with it, that stays in its piece too.
+
 Any other place - other scripts, runs of white space, control characters - is left
 inside a piece, which is then just longer.
 """
@@ -36,8 +40,11 @@ _CLASS[9:14] = _BREAK
 _CLASS[0xC3:0xCA] = _LEAD  # U+00C0 to U+027F: letters but for the signs of multiplication and division
 
 
-def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces begin; every text begins one."""
+def piece_starts(data: np.ndarray, offsets: np.ndarray, whole: list[tuple[bytes, bool, bool]] = ()) -> np.ndarray:
+    """Where pieces begin; every text begins one.
+
+    ``whole``: strings that must not be cut, each with whether white space before and after it belongs to it.
+    """
     if not len(data):
         return np.empty(0, np.int64)
     kind = _CLASS[data]
@@ -58,16 +65,37 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(data) > 2:
         lone = (kind[:-2] >= _ALNUM) & (before[1:] == _BREAK) & (letter_now | (now == _SIGN) | (now == _APOSTROPHE))[1:]
         start[2:] |= lone
+    if whole:
+        _mend(start, kind, data.tobytes(), whole)
     start[offsets[:-1][offsets[:-1] < len(data)]] = True
     return np.flatnonzero(start)
 
 
+def _mend(start: np.ndarray, kind: np.ndarray, raw: bytes, whole: list[tuple[bytes, bool, bool]]) -> None:
+    """Take back the cuts inside strings that must stay whole."""
+    for content, left, right in whole:
+        at = raw.find(content)
+        while at >= 0:
+            a, z = at, at + len(content)
+            while left and a and kind[a - 1] in (_SPACE, _BREAK):
+                a -= 1
+            while right and z < len(raw) and kind[z] in (_SPACE, _BREAK):
+                z += 1
+            start[a + 1:z] = False
+            if left or right:
+                start[a] = False
+                start[z:z + 1] = False
+            at = raw.find(content, at + 1)
+
+
 class Encoder:
     def __init__(self, path: str, room: int = 1_500_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tok.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        self.whole = [(t.content.encode(), t.lstrip, t.rstrip) for t in added]
         self.room = room
         self.mark = "\n" if len(self._raw("\n")) else " \x01 "  # stands alone between any two plain pieces
         self.mark_id = int(self._raw(self.mark)[0])
@@ -81,6 +109,8 @@ class Encoder:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _plain(self, p: str) -> bool:
+        if any(t in p for t in self.added):
+            return False
         if self.mark != "\n":
             return "\x01" not in p
         return "\n" not in p and not p[-1].isspace() and not (p[0].isspace() and (p[0] != " " or p[1].isspace()))
@@ -118,7 +148,7 @@ class Encoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, first id of each text and their number) of a string column without nulls."""
         data, offsets = text_bytes(column)
-        start = piece_starts(data, offsets)
+        start = piece_starts(data, offsets, self.whole)
         if not len(start):
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
         hashes, first, which = np.unique(hash_runs(data, start), return_index=True, return_inverse=True)
