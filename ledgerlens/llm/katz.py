@@ -114,6 +114,7 @@ def _chunks(buckets: int, flush: int = 2_000_000, most_docs: int = 60_000):
         null = np.array([x is None for x in ids], np.uint8)
         yield (_DOCS, uid, uid % buckets, 0.0,
                pack(np.array([x or 0 for x in ids], np.int64), null, out.astype(np.uint8), n))
+        assert len(n) <= 1 << 16, "documents of a chunk are numbered in 16 bits"
         doc = np.repeat(np.arange(len(n), dtype=np.uint16), n)
         mixed = mix64(w)
         order = np.argsort((mixed & _U(0xFFFFFFFF00000000)) | (mix64(w * _U(0x9E3779B97F4A7C15) + h) >> _U(32)))

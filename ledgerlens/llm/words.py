@@ -71,13 +71,13 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False,
     return Words(data, start, end, np.searchsorted(start, offsets), mix64(np.add.reduceat(value, start - start[0])))
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], text: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of about ``limit`` bytes of text."""
+def batches_of(batches: Iterator[pa.RecordBatch], text: int, limit: int = 1 << 20, rows: int = 16_384) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``limit`` bytes of text and at most ``rows`` rows."""
     for b in batches:
         _, offsets = text_bytes(b.column(text))
         at = 0
         while at < b.num_rows:
-            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+            stop = max(at + 1, min(at + rows, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1))
             yield b.slice(at, stop - at)
             at = stop
 

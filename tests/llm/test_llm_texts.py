@@ -140,6 +140,26 @@ def test_katz_scores(spark, table):
     assert katz.katz_scores(frame(spark, [])).count() == 0
 
 
+def test_katz_with_very_many_rows_in_a_batch(spark):
+    """An Arrow batch of more rows than a chunk may number: every document keeps its own score."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "200000")
+    try:
+        df = spark.range(0, 70_000, 1, 1).selectExpr("id as doc_id", "if(id % 7 = 0, 'a b c', if(id % 7 = 1, '', 'a')) as text")
+        got = {(r.doc_id % 7 if r.doc_id % 7 < 2 else 2): (r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in katz.katz_scores(df).collect()}
+        kinds = katz.katz_scores(df).selectExpr("least(doc_id % 7, 2) as kind", "n_tokens", "round(base_score, 6) as b", "round(score, 6) as s").distinct().collect()
+    finally:
+        spark.conf.set(key, old)
+    assert len(kinds) == 3 and {r.kind: (r.n_tokens, r.b, r.s) for r in kinds} == got
+    rows = [(i, "a b c" if i % 7 == 0 else "" if i % 7 == 1 else "a") for i in range(70_000)]
+    want = {}
+    for d, _, n, _, _, base, score in Katz(rows).scores():
+        want[min(d % 7, 2)] = (n, base, score)
+    for kind, (n, base, score) in got.items():
+        assert n == want[kind][0] and base == pytest.approx(want[kind][1], rel=1e-5) and score == pytest.approx(want[kind][2], rel=1e-4)
+
+
 def test_katz_is_normalised(table):
     model = Katz(table)
     for h in list(model.after)[:30] + ["never seen"]:
