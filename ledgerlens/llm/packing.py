@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .storage import remove_table, save
+from .storage import release, remove_table, save
 from .text import whole
 from .tokens import encoder
 from .words import batches_of
@@ -136,9 +136,10 @@ def _round(pieces: DataFrame, gaps: DataFrame, low: int, high: int, rows: int, n
     free = swept.where("kind = 0").select(F.col("part").alias("slot_part"), F.col("rank").alias("slot_rank"), "seq")
     met = wish.join(free, ["slot_part", "slot_rank"])
     taken = sum(last - first + 1 for _, first, last, _, _ in runs)
-    plan_end = F.broadcast(pieces.sparkSession.createDataFrame(
-        [(p, max([0, *(r[2] + 1 for r in runs if r[0] == p)])) for p in {c.part for c in counts}],
-        "part long, upto long"))
+    ends = {c.part: 0 for c in counts}
+    for part, _, last, _, _ in runs:
+        ends[part] = max(ends[part], last + 1)
+    plan_end = F.broadcast(pieces.sparkSession.createDataFrame(list(ends.items()), "part long, upto long"))
     left = alone.join(plan_end, "part").where(F.col("rank") >= F.col("upto")).select("key", "size")
     return (swept, matched.unionByName(met.select("key", "size", "seq")), left,
             sum(c.pieces for c in counts) - taken)
@@ -189,6 +190,7 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
                 remove_table(finished)
             full = widest < 2 * least  # no gap takes two pieces: what is left of them is for smaller classes
             n_left, n = now_left, n + 1
+        release(spark)  # plans and shuffle files of the class's rounds
         if low == 0:
             break
         high = low
