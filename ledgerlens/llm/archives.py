@@ -17,11 +17,13 @@ digests of payload and block.  Of records with equal payloads of at least
 become revisits that keep the HTTP header and refer to it.
 
 *At scale.*  Files are written by Spark's text sink, whose line end is the record
-separator, so a lost task leaves no half file and any file system will do.  A file
-is one read split of the input and is parsed as a stream in one task.  Payloads
-are never shuffled: one pass over the files gathers digests, the choice of
-responses is an aggregate by digest (combined map-side) and an equi-join of narrow
-rows, and each file then gets the list of its own revisits.
+separator, so a lost task leaves no half file.  A file is one read split of the
+input and is parsed as a stream in one task.  Payloads are never shuffled: one pass
+over the files gathers digests, the choice of responses is an aggregate by digest
+(combined map-side) and an equi-join of narrow rows, and the revisits are written as
+one small table per file.  The task that converts a file reads that file's table by its path,
+so archives take part in no join; the shared folder must be on a file system that
+``pyarrow.fs`` knows.
 
 Defined cases: a null html is an empty payload; a null URL is written as "-" and
 left out of the WARC header; a null page id is left out too and orders first;
@@ -39,6 +41,8 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import pyarrow.dataset as ds
+from pyarrow.fs import FileSelector, FileSystem
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .storage import new_path, save
@@ -185,18 +189,30 @@ def _warc(file: int, number: int, r: ArcRecord, same: dict | None) -> bytes:
     return "\r\n".join(["WARC/1.1", *(f"{k}: {v}" for k, v in fields), "", ""]).encode() + block
 
 
-def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for file, raw, revisits in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-            same = {x["at"]: x for x in revisits or ()}
-            out, size = [], 0
-            for k, r in enumerate(parse_arc(raw.as_py())):
-                out.append(_warc(file, k, r, same.get(k)))
-                size += len(out[-1])
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-                    out, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+def _revisits(folder: str, file: int) -> dict[int, dict]:
+    """The responses that records of a file repeat, by record number."""
+    fs, path = FileSystem.from_uri(folder)
+    found = fs.get_file_info(FileSelector(f"{path}/file={file}", allow_not_found=True))
+    parts = [f.path for f in found if f.base_name.startswith("part-")]
+    rows = ds.dataset(parts, format="parquet", filesystem=fs).to_table().to_pylist() if parts else []
+    return {r["at"]: {"file": r["to_file"], "record": r["to_record"], "url": r["url"], "date": r["date"]} for r in rows}
+
+
+def _convert(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                same = _revisits(folder, file)
+                out, size = [], 0
+                for k, r in enumerate(parse_arc(raw.as_py())):
+                    out.append(_warc(file, k, r, same.get(k)))
+                    size += len(out[-1])
+                    if size > 4 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+                        out, size = [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+
+    return run
 
 
 def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, *, min_bytes: int = 1000) -> None:
@@ -207,13 +223,14 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, *, min_bytes
     responses = (large.groupBy("digest", "size")
                  .agg(F.count("*").alias("n"), F.max(F.struct("page_id", "file", "record", "url", "date")).alias("r"))
                  .where("n > 1").drop("n"))
-    revisits = (large.select("digest", "size", "file", F.col("record").alias("at"))
-                .join(responses, ["digest", "size"])
-                .where((F.col("file") != F.col("r.file")) | (F.col("at") != F.col("r.record")))
-                .groupBy("file")  # the records of one file: bounded by the file
-                .agg(F.collect_list(F.struct("at", "r.file", "r.record", "r.url", "r.date")).alias("revisits")))
-    files = _files(spark, arc_path).join(revisits, "file", "left").select("file", "content", "revisits")
-    (files.mapInArrow(_convert, "record binary").select(F.col("record").cast("string").alias("value"))
+    lists = new_path(spark, "arc-revisits")
+    (large.select("digest", "size", "file", F.col("record").alias("at")).join(responses, ["digest", "size"])
+     .where((F.col("file") != F.col("r.file")) | (F.col("at") != F.col("r.record")))
+     .select("file", "at", F.col("r.file").alias("to_file"), F.col("r.record").alias("to_record"), "r.url", "r.date")
+     .repartition("file")  # the records of one file: bounded by the file
+     .write.partitionBy("file").parquet(lists))
+    (_files(spark, arc_path).mapInArrow(_convert(lists), "record binary")
+     .select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(warc_path))
 
 
