@@ -68,7 +68,7 @@ class Index:
         self.cuts = np.linspace(0, sample.shape[1], min(parts, sample.shape[1]) + 1).astype(int)
         rest = sample - self.centres[nearest(sample, self.centres)]
         self.books = [k_means(rest[:, a:z], words) for a, z in zip(self.cuts[:-1], self.cuts[1:])]
-        self.apart = np.sqrt(np.maximum(0, ((self.centres[:, None] - self.centres[None]) ** 2).sum(axis=2)))
+        self.apart = np.stack([np.sqrt(((self.centres - c) ** 2).sum(axis=1)) for c in self.centres])
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(list, code, length of the error) of unit vectors."""
