@@ -5,8 +5,9 @@ classes are placed from large to small, each halving the last; pieces over half
 the capacity open a sequence each.  For every further class the round is:
 
 1. *Range sort.*  The open gaps, cut into slots of the class's size (so that one
-   gap takes several small pieces in a round), and the class's pieces are sorted
-   together by size, largest first, range partitioned.
+   gap takes several small pieces in a round, but never more slots than there are
+   pieces), and the class's pieces are sorted together by size, largest first, range
+   partitioned.  The smallest gaps that give every piece a slot are enough.
 2. *Successor sweep.*  Each partition walks its rows with a stack of slots: a
    piece takes the slot seen last, which is the smallest free one that holds it.
    What a partition cannot match is numbered.
@@ -31,7 +32,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -68,28 +68,45 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_i
     return texts.mapInArrow(rows, _PIECES)
 
 
-def _sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows by size, largest first, slots (kind 0) before pieces (kind 1) of their size."""
-    part = TaskContext.get().partitionId()
-    stack: list[tuple[int, int, int]] = []
-    alone = 0
-    for f in frames:
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by size, largest first, slots (kind 0) before pieces (kind 1) of their size; whole runs of them at once."""
+    part, alone = TaskContext.get().partitionId(), 0
+    stack: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # runs of free slots (key, size, seq), the smallest last
+    for b in batches:
+        size, kind, key, seq = (b.column(c).to_numpy() for c in ("size", "kind", "key", "seq"))
+        cuts = [0, *(np.flatnonzero((np.diff(size) != 0) | (np.diff(kind) != 0)) + 1).tolist(), len(size)]
         out = []
-        for size, kind, key, seq in f[["size", "kind", "key", "seq"]].itertuples(index=False, name=None):
-            if kind == 0:
-                stack.append((key, size, seq))
-            elif stack:
-                out.append((1, key, size, stack.pop()[2], True, part, 0))
-            else:
-                out.append((1, key, size, -1, False, part, alone))
-                alone += 1
-        yield _frame(out)
-    yield _frame([(0, key, size, seq, False, part, i) for i, (key, size, seq) in enumerate(stack)])
-
-
-def _frame(rows: list) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["kind", "key", "size", "seq", "matched", "part", "rank"]).astype(
-        {"kind": "int32", "matched": "bool", **{c: "int64" for c in ("key", "size", "seq", "part", "rank")}})
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            if a < z and kind[a] == 0:
+                stack.append((key[a:z], size[a:z], seq[a:z]))
+                continue
+            while a < z and stack:
+                run = stack.pop()
+                n = min(z - a, len(run[0]))
+                if n < len(run[0]):
+                    stack.append(tuple(x[:-n] for x in run))
+                out.append((1, key[a:a + n], size[a:a + n], run[2][-n:][::-1], True, 0))
+                a += n
+            if a < z:
+                out.append((1, key[a:z], size[a:z], np.full(z - a, -1), False, alone))
+                alone += z - a
+        if out:
+            yield _swept(out, part)
+    rank = 0
+    for key, size, seq in stack:
+        yield _swept([(0, key, size, seq, False, rank)], part)
+        rank += len(key)
+
+
+def _swept(runs: list[tuple], part: int) -> pa.RecordBatch:
+    """Rows of runs (kind, keys, sizes, seqs, matched, rank of the first)."""
+    n = [len(r[1]) for r in runs]
+    rank = [np.zeros(k, np.int64) if r[4] else np.arange(r[5], r[5] + k) for r, k in zip(runs, n)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.repeat([r[0] for r in runs], n).astype(np.int32)),
+         *(pa.array(np.concatenate([r[c] for r in runs])) for c in (1, 2, 3)),
+         pa.array(np.repeat([r[4] for r in runs], n)), pa.array(np.full(sum(n), part)), pa.array(np.concatenate(rank))],
+        ["kind", "key", "size", "seq", "matched", "part", "rank"])
 
 
 def _runs(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
@@ -109,9 +126,23 @@ def _runs(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
     return runs
 
 
-def _round(pieces: DataFrame, gaps: DataFrame, low: int, high: int, rows: int, name: str) -> tuple:
-    """(swept table, matched pieces (key, size, seq), pieces left) of one sweep."""
-    n = F.floor(F.col("gap") / high)
+def _room(fits: list[tuple[int, int]], longest: int, least: int, n: int) -> tuple[int, int]:
+    """(widest gap to offer, slots that makes) for n pieces, from the numbers of gaps by size.
+
+    Gaps are offered from the smallest up until every piece has a slot of its own.
+    """
+    whole_slots, slots, widest = 0, 0, 0
+    for widest, count in sorted(fits):
+        whole_slots += count * min(n, widest // longest)
+        slots += count * (min(n, widest // longest) + (widest % longest >= least))
+        if whole_slots >= n:
+            break
+    return widest, slots
+
+
+def _round(pieces: DataFrame, n_pieces: int, gaps: DataFrame, low: int, high: int, rows: int, name: str) -> tuple:
+    """(swept table, matched pieces (key, size, seq), pieces left) of one sweep; no gap has more slots than pieces."""
+    n = F.least(F.floor(F.col("gap") / high), F.lit(n_pieces))
     slots = gaps.select("seq", F.explode(F.concat(
         F.array_repeat(F.lit(high).cast("long"), n.cast("int")),
         F.array_repeat(F.col("gap") % high, F.when(F.col("gap") % high >= low, 1).otherwise(0)))).alias("size"))
@@ -120,7 +151,7 @@ def _round(pieces: DataFrame, gaps: DataFrame, low: int, high: int, rows: int, n
     order = [F.col("size").desc(), "kind", "key"]
     parts = 1 + rows // PART_ROWS
     swept = save(both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-                 .mapInPandas(_sweep, _SWEPT), name)
+                 .mapInArrow(_sweep, _SWEPT), name)
     counts = (swept.where("not matched").groupBy("part")
               .agg(F.sum("kind").alias("pieces"), F.sum(1 - F.col("kind")).alias("slots")).collect())
     runs = _runs([tuple(c) for c in counts])
@@ -152,31 +183,32 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
     placed = [pieces.where(F.col("size") > half).select("key", F.col("key").alias("seq"))]
     gaps = save(pieces.where((F.col("size") > half) & (F.col("size") < capacity))
                 .select(F.col("key").alias("seq"), (F.lit(capacity) - F.col("size")).cast("long").alias("gap")), "gaps")
-    n_gaps, high, opened, n, gaps_table, left_table = gaps.count(), half, 0, 0, gaps, None
+    high, opened, n, gaps_table, left_table = half, 0, 0, gaps, None
     while high >= 1:
         low = high // 2 if high > smallest_class else 0
         todo = pieces.where((F.col("size") > low) & (F.col("size") <= high)).select("key", "size")
-        n_class = n_left = todo.count()
-        few = max(100, n_class // 100)  # so many get sequences with room for sure
+        n_left = todo.count()
         full, new, before = False, 0, n_left
         while n_left:
             tokens, longest, least = todo.agg(F.sum("size"), F.max("size"), F.min("size")).first()
-            room = gaps.where(F.col("gap") >= least)
-            widest = 0 if full else room.agg(F.max("gap")).first()[0] or 0
-            if full or not widest:
-                if n_left <= few or capacity // longest == 1:
-                    new = -(-n_left // (capacity // longest))
-                elif new and before > n_left:  # as many pieces to a sequence as the last ones took
+            fits = [] if full else [  # at most ``capacity`` numbers
+                (r.gap, r.n) for r in gaps.where(F.col("gap") >= least).groupBy("gap").agg(F.count("*").alias("n")).collect()]
+            widest = max((gap for gap, _ in fits), default=capacity)
+            if fits:
+                offered, slots = _room(fits, longest, least, n_left)
+                room = gaps.where(F.col("gap").between(least, offered))
+            else:
+                if new and before > n_left:  # as many pieces to a sequence as the last ones took
                     new = math.ceil(n_left * new / (before - n_left))
                 else:
                     new = math.ceil(tokens / capacity)
-                before, widest = n_left, capacity
+                before = n_left
+                slots = _room([(capacity, new)], longest, least, n_left)[1]
                 room = spark.range(new).select((F.col("id") + (1 << 62) + opened).alias("seq"),
                                                F.lit(capacity).cast("long").alias("gap"))
                 opened += new
-                n_gaps += new
                 gaps = gaps.unionByName(room)
-            swept, matched, left, now_left = _round(todo, room, least, longest, n_left + 2 * n_gaps, f"swept{n}")
+            swept, matched, left, now_left = _round(todo, n_left, room, least, longest, n_left + slots, f"swept{n}")
             got = save(matched, f"placed{n}")
             placed.append(got.select("key", "seq"))
             used = got.groupBy("seq").agg(F.sum("size").alias("used"))

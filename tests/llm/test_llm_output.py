@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from brute import best_fit_decreasing, targets, words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import archives, mixing, packing, token_files
@@ -132,6 +133,48 @@ def test_gaps_are_filled_though_each_round_places_few(spark):
     assert len({r.seq for r in got}) <= best_fit_decreasing(sizes, 4096) + 1
 
 
+def test_few_left_over_pieces_open_no_more_than_they_need(spark):
+    for sizes in ([1400] * 7, [1400] * 61 + [1300] * 3, [600] * 99, [1] * 5000):
+        table = save(spark.createDataFrame(list(enumerate(sizes)), "key long, size long"), "test-pieces")
+        got = packing.best_fit(table, 4096).collect()
+        assert sorted(r.key for r in got) == list(range(len(sizes)))
+        assert len({r.seq for r in got}) == best_fit_decreasing(sizes, 4096)
+
+
+def test_offered_gaps_are_the_smallest_that_suffice():
+    assert packing._room([(100, 5), (30, 2), (64, 1)], 30, 20, 3) == (64, 4)
+    assert packing._room([(4096, 1)], 1, 1, 10) == (4096, 10)
+    assert packing._room([(25, 4)], 30, 20, 3) == (25, 4)
+
+
+def test_sweep_takes_the_smallest_slot_that_holds():
+    rng = random.Random(2)
+    rows = sorted([(-rng.randint(1, 9), rng.randint(0, 1), k) for k in range(300)])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([-r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
+         pa.array([r[2] for r in rows], pa.int64()), pa.array([r[2] + 1000 if r[1] == 0 else -1 for r in rows], pa.int64())],
+        ["size", "kind", "key", "seq"])
+    stack, want = [], []
+    for size, kind, key in rows:
+        if kind == 0:
+            stack.append(key + 1000)
+        else:
+            want.append((key, stack.pop() if stack else -1))
+
+    class Task:
+        partitionId = staticmethod(lambda: 7)
+
+    real, packing.TaskContext.get = packing.TaskContext.get, staticmethod(lambda: Task)
+    try:
+        out = [r for b in packing._sweep(iter([batch.slice(0, 100), batch.slice(100, 0), batch.slice(100)]))
+               for r in b.to_pylist()]
+    finally:
+        packing.TaskContext.get = real
+    assert [(r["key"], r["seq"]) for r in out if r["kind"] == 1] == want
+    assert [r["seq"] for r in out if r["kind"] == 0] == stack
+    assert [r["rank"] for r in out if not r["matched"] and r["kind"] == 0] == list(range(len(stack)))
+
+
 def test_runs_take_the_latest_slots_first():
     assert packing._runs([(0, 1, 3), (1, 2, 0), (2, 4, 2), (3, 1, 0)]) == [
         (1, 0, 1, 0, 2), (2, 0, 0, 0, 0), (3, 0, 0, 2, 1)]
@@ -237,3 +280,34 @@ def test_archive_round_trip(spark):
     assert all(r.refers_to == (5 if r.record_type == "revisit" else None) for r in large)
     assert all(r.record_type == "response" and r.refers_to is None for r in got if r.payload_bytes < 1000)
     assert archives.archive_round_trip(df.limit(0)).count() == 0
+
+
+def test_archives_with_long_pages_and_other_columns(spark):
+    rows = [(k, f"http://h/{k}", "<p>" + "long text " * 200_000 if k < 3 else f"<p>{k}") for k in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    for name in ("file", "record", "digest", "size", "content", "value", "at"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = {r.page_id: r for r in archives.archive_round_trip(df).collect()}
+    assert {p: r.payload_bytes for p, r in got.items()} == {p: len(h) for p, _, h in rows}
+    assert {p: r.refers_to for p, r in got.items()} == {0: 2, 1: 2, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_archives_take_part_in_no_join(spark, tmp_path):
+    """Without broadcasts, too, the conversion reads archives once and shuffles none."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans = []
+    try:
+        rows = [(k, "u", "same " * 300) for k in range(9)]
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+        archives.write_arc(df, f"{tmp_path}/arc")
+        real = archives._files
+        archives._files = lambda *a: plans.append(real(*a)) or plans[-1]
+        archives.arc_to_warc(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
+        got = archives.read_warc(spark, f"{tmp_path}/warc").collect()
+    finally:
+        archives._files = real
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 3  # index, conversion, reading back: each a scan that goes straight into its tasks
+    assert sorted(r.record_type for r in got) == ["response"] + ["revisit"] * 8
+    assert {r.refers_to for r in got} == {8, None}
