@@ -22,12 +22,14 @@ def lenient_decode(col: Column) -> Column:
     """BINARY -> STRING dropping invalid UTF-8 sequences (decode 'ignore').
 
     ``make_valid_utf8`` turns invalid bytes into U+FFFD, which are then dropped;
-    a U+FFFD of the text itself is escaped before and restored after."""
-    s = F.replace(col.cast("string"), F.lit(_MARK), F.lit(_MARK + "0"))
+    a U+FFFD of the text itself is escaped before and restored after.  Valid
+    bytes, nearly all of a feed, pass as they are."""
+    text = col.cast("string")
+    s = F.replace(text, F.lit(_MARK), F.lit(_MARK + "0"))
     s = F.replace(s, F.lit(_REPLACEMENT), F.lit(_MARK + "1"))
     s = F.replace(F.make_valid_utf8(s), F.lit(_REPLACEMENT), F.lit(""))
     s = F.replace(s, F.lit(_MARK + "1"), F.lit(_REPLACEMENT))
-    return F.replace(s, F.lit(_MARK + "0"), F.lit(_MARK))
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.replace(s, F.lit(_MARK + "0"), F.lit(_MARK)))
 
 
 def strip_ws(col: Column) -> Column:

@@ -241,17 +241,22 @@ def _derive(spark: SparkSession, sf_dir: str) -> tuple[TokenTables, dict[str, Da
 
 def soiled(df: DataFrame) -> DataFrame:
     """Keys and sources as feeds deliver them: bytes, NUL-padded, with stray spaces
-    and broken bytes around the clean value, which is what the oracle expects."""
+    and broken bytes around the clean value, which is what the oracle expects.
+
+    The values leave as the fields of one struct per row: a filter on them then runs on
+    the delivered values, as it does on files.  Written over plain columns, Catalyst would
+    copy the whole derivation into the filter, once for every mention of a key."""
+    pick = F.col("_pick")
+
     def dirty(name: str):
-        c, pick = F.col(name), F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(4))
-        raw = c.cast("binary")
-        return (F.when(pick == 0, F.concat(raw, F.unhex(F.lit("000000"))))
-                .when(pick == 1, F.concat(F.unhex(F.lit("20")), raw, F.unhex(F.lit("0A"))))
-                .when(pick == 2, F.concat(raw, F.unhex(F.lit("FF")))).otherwise(raw).alias(name))
+        raw = F.col(name).cast("binary")
+        return (F.when(F.pmod(pick, F.lit(4)) == 0, F.concat(raw, F.unhex(F.lit("000000"))))
+                .when(F.pmod(pick, F.lit(4)) == 1, F.concat(F.unhex(F.lit("20")), raw, F.unhex(F.lit("0A"))))
+                .when(F.pmod(pick, F.lit(4)) == 2, F.concat(raw, F.unhex(F.lit("FF")))).otherwise(raw).alias(name))
 
     def padded(name: str):
-        pick = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(3))
-        return F.when(pick == 0, F.concat(F.col(name), F.lit("\u0000\u0000"))).otherwise(F.col(name)).alias(name)
+        return F.when(F.pmod(pick, F.lit(3)) == 0, F.concat(F.col(name), F.lit("\u0000\u0000"))).otherwise(F.col(name)).alias(name)
 
-    return df.select(*[dirty(c) if c in ("mint", "base_coin", "quote_coin") else padded(c) if c == "source" else F.col(c)
-                       for c in df.columns])
+    values = [dirty(c) if c in ("mint", "base_coin", "quote_coin") else padded(c) if c == "source" else F.col(c)
+              for c in df.columns]
+    return df.select("*", F.xxhash64(*df.columns).alias("_pick")).select(F.inline(F.array(F.struct(*values))))

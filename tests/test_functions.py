@@ -41,6 +41,15 @@ def test_normalize_binary_key_drops_bad_utf8(spark):
     assert got == want
 
 
+def test_normalize_binary_key_keeps_what_is_valid(spark):
+    """Valid bytes take a shorter way: replacement and marker characters of the text itself stay on both ways."""
+    text = ["T\uFFFD1", "\uFDD0T\uFDD01", "\u00c4\u20ac \U0001F600 ", "", "  "]
+    raw = [t.encode() + end for t in text for end in (b"", b"\xff", b"\x00")] + [None]
+    df = spark.createDataFrame([(None if r is None else bytearray(r),) for r in raw], "k binary")
+    got = [r[0] for r in df.select(normalize_key("k", df.schema["k"].dataType)).collect()]
+    assert got == [None if r is None else r.decode("utf-8", errors="ignore").replace("\x00", "").strip() for r in raw]
+
+
 def test_exact_scaling_rounds_once(spark):
     vals = [(18446744073709551615, 9), (123456789123456789, 6), (5, 0), (-3, 2)]
     df = spark.createDataFrame([(str(v), d) for v, d in vals], "v string, d int")

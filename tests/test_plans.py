@@ -116,3 +116,11 @@ def test_hot_keys_reduced_before_shuffle(at_scale, name, partial):
     assert found
     for i in found:
         assert "Exchange hashpartitioning" in above(lines, i), lines[i]
+
+
+@pytest.mark.parametrize("name", ["token_metrics", "pool_sides", "first_swaps", "burned_by_token"])
+def test_no_filter_repeats_the_derivation_of_a_key(spark, name):
+    """Filters run on delivered keys; copied over their derivation they outgrew what the JVM compiles."""
+    filters = [ln for ln in static_plan(QUERIES[name](spark, SF)).splitlines() if re.search(r"[+:]- (\*\(\d+\) )?Filter ", ln)]
+    assert filters
+    assert not [f for f in filters if "xxhash64" in f]
