@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import DEFAULT_POOL_DECIMALS, SOL_POOL_DECIMALS
+from ..constants import ANCHORS, DEFAULT_POOL_DECIMALS, SOL_POOL_DECIMALS
 from ..functions.numeric import scale_down, scale_down_exact
 from ..functions.sources import canonical_source, is_bonding, pool_class
 from .common import effective_sol_price, is_anchor, is_sol, is_stable, keys_of, usd_per_unit
@@ -75,13 +75,16 @@ def candidate_pool_states(swaps: DataFrame, decimals_map: DataFrame) -> DataFram
     decimals), one row per token.  Every live pool has an anchor on a side,
     so a join on either coin would gather most pools in three keys.  The map is
     therefore joined on the coin that is no anchor (null in a pool of two
-    anchors, of which there are a handful); the anchors' own rows, three at
-    most as keys are unique, are broadcast.  A pool is a candidate when some
+    anchors, of which there are a handful); the anchors' own rows, three as
+    keys are unique, come from one pass over the same map and are broadcast.  A pool is a candidate when some
     side is a token whose other side is an anchor.  A side that is not a token
     takes 9 decimals for SOL and 6 otherwise."""
     dm = decimals_map.select("mint", "decimals")
-    anchors = F.broadcast(dm.where(is_anchor(F.col("mint"))))
     base, quote = F.col("base_coin"), F.col("quote_coin")
+    # each the maximum of one value or none; a filter on the three keys would go below the map's own aggregate and read its input anew
+    row = dm.agg(*[F.max(F.when(F.col("mint") == a, F.col("decimals"))).alias(f"_d{i}") for i, a in enumerate(ANCHORS)])
+    anchors = F.broadcast(row.select(F.inline(F.array(*[F.struct(F.lit(a).alias("mint"), F.col(f"_d{i}").alias("decimals"))
+                                                        for i, a in enumerate(ANCHORS)]))))
 
     def anchor_rows(side: str) -> DataFrame:
         return anchors.select(F.col("mint").alias(f"{side}_coin"), F.col("decimals").alias(f"_{side}_d"))

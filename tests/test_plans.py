@@ -124,3 +124,23 @@ def test_no_filter_repeats_the_derivation_of_a_key(spark, name):
     filters = [ln for ln in static_plan(QUERIES[name](spark, SF)).splitlines() if re.search(r"[+:]- (\*\(\d+\) )?Filter ", ln)]
     assert filters
     assert not [f for f in filters if "xxhash64" in f]
+
+
+@pytest.mark.parametrize("name", ["candidate_pools", "pool_liquidity"])
+def test_anchor_rows_share_the_map_of_the_pools(at_scale, name):
+    p = at_scale(name)
+    assert len(re.findall(r"FileScan parquet .*?/mints\.parquet\]", p)) == 1
+    assert "ReusedExchange" in p
+
+
+def test_anchor_rows_are_those_of_the_map(spark):
+    """Anchors in the map, absent from it, and in it without decimals."""
+    from builders import SOL, USDC, USDT, swap, tables
+    from conftest import ts
+
+    swaps = tables(spark, swaps=[swap("raydium_amm", SOL, USDC, 1, 1, 5, 7, ts(1)), swap("raydium_amm", USDT, "T9", 1, 1, 5, 7, ts(1)),
+                                 swap("raydium_amm", USDT, USDT, 1, 1, 5, 7, ts(1)), swap("raydium_amm", "T1", USDT, 1, 1, 5, 7, ts(1))]).swaps
+    known = spark.createDataFrame([(SOL, 8), (USDT, None), ("T1", 3)], "mint string, decimals int")
+    got = {(r.base_coin, r.quote_coin): (r.base_is_token, r.quote_is_token, r.base_decimals, r.quote_decimals)
+           for r in pools.candidate_pool_states(swaps, known).collect()}
+    assert got == {(SOL, USDC): (True, False, 8, 6), ("T1", USDT): (True, False, 3, 6)}
