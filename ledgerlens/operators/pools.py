@@ -39,7 +39,10 @@ def latest_pool_state(swaps: DataFrame) -> DataFrame:
 
     Both balances come from one row: the latest by (block_time, base balance,
     quote balance), a total order, so ties are settled the same way on every
-    run.  ``max(struct)`` aggregates partially before the shuffle."""
+    run.  ``max(struct)`` aggregates partially before the shuffle.  It does so
+    sorted, so a hash of the key leads the grouping: rows are then ordered by
+    one number, where sources and anchors, the same in most rows, would make
+    every comparison read whole keys."""
     latest = F.max(F.struct(F.col("block_time").alias("t"),
                             F.col("base_pool_balance_after").alias("b"),
                             F.col("quote_pool_balance_after").alias("q"))).alias("s")
@@ -50,7 +53,7 @@ def latest_pool_state(swaps: DataFrame) -> DataFrame:
             .select(canonical_source("source").alias("canonical_source"), "base_coin",
                     "quote_coin", "block_time", "base_pool_balance_after",
                     "quote_pool_balance_after")
-            .groupBy(*POOL_KEYS).agg(latest)
+            .groupBy(F.xxhash64(*POOL_KEYS).alias("_pool"), *POOL_KEYS).agg(latest)
             .select(*POOL_KEYS, F.col("s.t").alias("last_block_time"),
                     F.col("s.b").alias("last_base_balance"),
                     F.col("s.q").alias("last_quote_balance")))

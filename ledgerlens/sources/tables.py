@@ -12,7 +12,7 @@ import logging
 import weakref
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import BinaryType, IntegerType, LongType, TimestampType
@@ -37,10 +37,13 @@ for _kind in ("decimals", "metadata"):
     COLUMNS[f"{_kind}_requests"], COLUMNS[f"{_kind}_batches"] = ("batch", "id", "mint"), ("batch", "body")
 
 
-def _key(df: DataFrame, name: str, normalize: bool = True):
+def _keys(df: DataFrame, *names: str, normalize: bool = True) -> list[Column]:
+    """The key columns.  Normalised ones leave as the fields of one struct per row, so that
+    a filter runs on the result: Catalyst would copy the normalisation into the filter, once
+    for every mention of a key.  Plain ones stay plain, for filters to reach the Parquet reader."""
     if not normalize:
-        return F.col(name).cast("string").alias(name)
-    return normalize_key(F.col(name), df.schema[name].dataType).alias(name)
+        return [F.col(n).cast("string").alias(n) for n in names]
+    return [F.inline(F.array(F.struct(*[normalize_key(F.col(n), df.schema[n].dataType).alias(n) for n in names])))]
 
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -66,31 +69,35 @@ def _source(df: DataFrame, name: str = "source"):
 
 
 def conform_mints(df: DataFrame, normalize: bool = True) -> DataFrame:
-    return df.select(_key(df, "mint", normalize), F.col("amount").cast(AMOUNT).alias("amount"),
-                     _time(df))
+    keys = _keys(df, "mint", normalize=normalize)
+    return df.select(*keys, F.col("amount").cast(AMOUNT).alias("amount"), _time(df))
 
 
 def conform_burns(df: DataFrame, normalize: bool = True) -> DataFrame:
-    cols = [_key(df, "mint", normalize), F.col("amount").cast(AMOUNT).alias("amount")]
+    keys = _keys(df, "mint", normalize=normalize)
+    cols = [*keys, F.col("amount").cast(AMOUNT).alias("amount")]
     if "block_time" in df.columns:
         cols.append(_time(df))
     return df.select(*cols)
 
 
 def conform_swaps(df: DataFrame, normalize: bool = True) -> DataFrame:
+    keys = _keys(df, "base_coin", "quote_coin", normalize=normalize)
     return df.select(
         _source(df) if normalize else F.col("source").cast("string").alias("source"),
-        _key(df, "base_coin", normalize), _key(df, "quote_coin", normalize),
+        *keys,
         *[F.col(c).cast(AMOUNT).alias(c) for c in SWAP_COLUMNS[3:7]],
         _time(df))
 
 
 def conform_decimals(df: DataFrame, normalize: bool = True) -> DataFrame:
-    return df.select(_key(df, "mint", normalize), valid_decimals("decimals").alias("decimals"))
+    keys = _keys(df, "mint", normalize=normalize)
+    return df.select(*keys, valid_decimals("decimals").alias("decimals"))
 
 
 def conform_keyed(df: DataFrame, *value_columns: str, normalize: bool = True) -> DataFrame:
-    return df.select(_key(df, "mint", normalize), *value_columns)
+    keys = _keys(df, "mint", normalize=normalize)
+    return df.select(*keys, *value_columns)
 
 
 def conform_accounts(df: DataFrame, normalize: bool = True) -> DataFrame:
@@ -103,7 +110,8 @@ def conform_accounts(df: DataFrame, normalize: bool = True) -> DataFrame:
 
 def conform_requests(df: DataFrame, normalize: bool = True) -> DataFrame:
     """Which mint was asked for under which id of which batch."""
-    return df.select(F.col("batch").cast("string").alias("batch"), F.col("id").cast("bigint").alias("id"), _key(df, "mint", normalize))
+    keys = _keys(df, "mint", normalize=normalize)
+    return df.select(F.col("batch").cast("string").alias("batch"), F.col("id").cast("bigint").alias("id"), *keys)
 
 
 def conform_batches(df: DataFrame) -> DataFrame:
@@ -186,15 +194,16 @@ def write_tables(tables: TokenTables, root: str, mode: str = "errorifexists") ->
             df.write.mode(mode).parquet(f"{root}/{name}.parquet")
 
 
-def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+def _spread(spark: SparkSession, df: DataFrame, key: str, per_core: int = 1) -> DataFrame:
     """The driver's test tables are single-row-group files, which Spark reads
     in one task; a hash repartition right after the (pruned) read spreads the
     derivation over the cores (hash, not round-robin: round-robin sorts every
-    input partition first to stay deterministic on retry).  Only for these
-    fixtures: real event tables (``read_tables``) come in many files and are
-    read in parallel as they are."""
+    input partition first to stay deterministic on retry).  Several parts per
+    core let fast tasks make up for slow ones and a sort of a part stay in
+    memory.  Only for these fixtures: real event tables (``read_tables``) come
+    in many files and are read in parallel as they are."""
     try:
-        n = spark.sparkContext.defaultParallelism
+        n = spark.sparkContext.defaultParallelism * per_core
     except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, key)
@@ -221,7 +230,7 @@ def write_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def _derive(spark: SparkSession, sf_dir: str) -> tuple[TokenTables, dict[str, DataFrame]]:
-    lineitem = _spread(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
+    lineitem = _spread(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey", per_core=4)
     part = _spread(spark, spark.read.parquet(f"{sf_dir}/part.parquet"), "p_partkey")
 
     def q(sql: str) -> DataFrame:

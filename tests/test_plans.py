@@ -126,6 +126,21 @@ def test_no_filter_repeats_the_derivation_of_a_key(spark, name):
     assert not [f for f in filters if "xxhash64" in f]
 
 
+@pytest.mark.parametrize("name", ["candidate_pools", "pool_liquidity", "circulating_supply", "pool_sides", "best_pool_metrics"])
+def test_keys_are_normalised_once(spark, name):
+    """A filter on normalised keys, of derived tables or of files, runs on the result."""
+    filters = [ln for ln in static_plan(QUERIES[name](spark, SF)).splitlines() if re.search(r"[+:]- (\*\(\d+\) )?Filter ", ln)]
+    assert any(re.search(r"coin#\d+ IN ", f) for f in filters)
+    assert not [f for f in filters if "makeValid" in f]
+
+
+def test_pool_states_sort_by_one_number(at_scale):
+    """Sources and anchors are the same in most rows: the sorts of the aggregate are led by a hash."""
+    p = at_scale("latest_pool_state")
+    sorts = re.findall(r"Sort \[(\w+)#\d+(L?) ", p)
+    assert len(sorts) == 2 and all(long for _, long in sorts)
+
+
 @pytest.mark.parametrize("name", ["candidate_pools", "pool_liquidity"])
 def test_anchor_rows_share_the_map_of_the_pools(at_scale, name):
     p = at_scale(name)
