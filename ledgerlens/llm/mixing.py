@@ -32,7 +32,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .storage import save
+from .storage import release, save
 from .text import n_words
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -80,34 +80,47 @@ def _inclusion(sizes: DataFrame, targets: DataFrame, exponent: float) -> DataFra
     return per.select("source", "class", p.alias("p"))
 
 
-def _cuts(rows: DataFrame, need: DataFrame, bins: int) -> DataFrame:
-    """(source, cut, words): the longest run of lowest ranks whose words do not exceed ``need``.
+def _bin(bins: int) -> Column:
+    return F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1))
 
-    rows: (source, size, rank, tie); need: (source, words).
+
+def _with(rows: DataFrame, state: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns that ``state`` has for their source."""
+    s = state.withColumnRenamed("source", "s_source")
+    return rows.join(s, rows.source.eqNullSafe(s.s_source), how).drop("s_source")
+
+
+def _edges(left: DataFrame, state: DataFrame, bins: int) -> DataFrame:
+    """``state`` with, by source of ``left``, all its words and the bin in which they run beyond ``quota``.
+
+    left: (source, size, rank, quota); new columns: everything, edge (bin, used: the words before it).
+    """
+    per = left.groupBy("source", _bin(bins).alias("bin")).agg(F.sum("size").alias("words"), F.max("quota").alias("quota"))
+    per = per.withColumn("upto", F.sum("words").over(W.partitionBy("source").orderBy("bin")))
+    edge = F.when(F.col("upto") > F.col("quota"), F.struct("bin", (F.col("upto") - F.col("words")).alias("used")))
+    ends = per.groupBy("source").agg(F.sum("words").alias("everything"), F.min(edge).alias("edge"))
+    return _with(state, ends, "left")
+
+
+def _cuts(left: DataFrame, state: DataFrame, bins: int, room: Column) -> DataFrame:
+    """The next state: a cut more per source, the longest run of lowest ranks whose words do not exceed ``quota``,
+    and the words that then lack; null where a source has no rows left.
+
+    left: (source, size, rank, tie, quota, edge); state: that of :func:`_edges`.
     """
-    rows = rows.withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)))
-    n = need.select(F.col("source").alias("s"), F.col("words").alias("quota"))
-    per = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"))
-    run = F.sum("words").over(W.partitionBy("source").orderBy("bin"))
-    per = per.withColumn("upto", run)
-    per = per.join(n, per.source.eqNullSafe(n.s)).drop("s")
-    edge = (per.where("upto > quota").groupBy("source")
-            .agg(F.min(F.struct("bin", (F.col("upto") - F.col("words")).alias("used"), "quota")).alias("e"))
-            .select(F.col("source").alias("s"), F.col("e.bin").alias("b"), "e.used", "e.quota"))
-    inside = (rows.join(edge, rows.source.eqNullSafe(edge.s) & (rows.bin == edge.b))
-              .withColumn("upto", F.col("used") + F.sum("size").over(
+    inside = (left.where(_bin(bins) == F.col("edge.bin"))
+              .withColumn("upto", F.col("edge.used") + F.sum("size").over(
                   W.partitionBy("source").orderBy("rank", "tie").rowsBetween(W.unboundedPreceding, 0)))
               .where("upto <= quota").groupBy("source")
-              .agg(F.max(F.struct("rank", "tie")).alias("cut"), F.max("upto").alias("words")))
-    i = inside.select(F.col("source").alias("i"), "cut", "words")
-    e = edge.join(i, edge.s.eqNullSafe(i.i), "left").select(
-        "s", F.coalesce("cut", F.struct((F.col("b") / bins).alias("rank"), F.lit(_LEAST).alias("tie"))).alias("cut"),
-        F.coalesce("words", "used").alias("words"))
-    all_in = rows.groupBy("source").agg(F.sum("size").alias("everything"))
-    return all_in.join(e, all_in.source.eqNullSafe(e.s), "left").select(
-        "source",
-        F.coalesce("cut", F.struct(F.lit(2.0).alias("rank"), F.lit(_LEAST).alias("tie"))).alias("cut"),
-        F.coalesce("words", "everything").alias("words"))
+              .agg(F.max(F.struct("rank", "tie")).alias("inner"), F.max("upto").alias("words")))
+    none = F.lit(_LEAST).alias("tie")
+    cut = (F.when(F.col("edge").isNull(), F.struct(F.lit(2.0).alias("rank"), none))
+           .otherwise(F.coalesce("inner", F.struct((F.col("edge.bin") / bins).alias("rank"), none))))
+    words = F.when(F.col("edge").isNull(), F.col("everything")).otherwise(F.coalesce("words", "edge.used"))
+    mark = F.array(F.struct(room.alias("room"), cut.alias("cut")))
+    return _with(state, inside, "left").select(
+        "source", F.when(F.col("everything").isNull(), F.col("marks")).otherwise(F.concat("marks", mark)).alias("marks"),
+        (F.col("quota") - words).alias("quota"))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -138,33 +151,24 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         return (rows.join(o, rows.source.eqNullSafe(o.o_source) & (_class(F.col("size")) == o.o_class), "left")
                 .withColumn("rank", rank).drop("o_source", "o_class", "p"))
 
-    rows, need, steps = save(ranked(narrow), "mix-ranks"), targets.select("source", F.col("rest").alias("words")), None
+    rows = save(ranked(narrow), "mix-ranks")
+    release(docs.sparkSession)
+    # what is known of a source: which documents are taken (of at most ``room`` words, ranking up to ``cut``), and the
+    # words it lacks; one table after each pass, so that a plan does not hold those of the passes before
+    marks = "array<struct<room:double,cut:struct<rank:double,tie:bigint>>>"
+    state = targets.select("source", F.array().cast(marks).alias("marks"), F.col("rest").alias("quota"))
     for k in range(1 + fill):
-        left = rows if k == 0 else _beyond(rows, steps, need)
-        cut = _cuts(left, need, bins)
-        n = need.select(F.col("source").alias("n"), F.col("words").alias("quota"))
-        # documents of at most ``quota`` words that rank up to ``cut`` are taken
-        now = save(cut.join(n, cut.source.eqNullSafe(n.n)).select("source", "quota", "cut", "words"), f"mix-cut{k}")
         room = F.lit(float("inf")) if k == 0 else F.col("quota")
-        mark = now.select("source", F.array(F.struct(room.alias("room"), "cut")).alias("marks"))
-        if steps is None:
-            steps = mark
-        else:
-            m = mark.select(F.col("source").alias("m"), F.col("marks").alias("more"))
-            steps = steps.join(m, steps.source.eqNullSafe(m.m), "left").select(
-                "source", F.concat("marks", F.coalesce("more", F.array().cast(mark.schema["marks"].dataType))).alias("marks"))
-        need = now.select("source", (F.col("quota") - F.col("words")).alias("words"))
+        state = save(_edges(_left(rows, state, k), state, bins), f"mix-edge{k}")
+        state = save(_cuts(_left(rows, state, k), state, bins, room), f"mix-cut{k}")
     # what then still lacks: the one document that comes nearest from above, if it is nearer than none
-    n = need.select(F.col("source").alias("n"), "words")
-    last = (_untaken(rows, steps).join(n, F.col("source").eqNullSafe(F.col("n")))
-            .where((F.col("size") > F.col("words")) & (F.col("size") < 2 * F.col("words")))
+    last = (_with(rows, state).where(~_taken())
+            .where((F.col("size") > F.col("quota")) & (F.col("size") < 2 * F.col("quota")))
             .groupBy("source").agg(F.min(F.struct("size", "tie")).alias("last"))
-            .select(F.col("source").alias("x"), F.col("last.tie").alias("extra")))
-    g = steps.join(last, steps.source.eqNullSafe(F.col("x")), "left").select(F.col("source").alias("g"), "marks", "extra")
-    t = targets.select(F.col("source").alias("t"), "source_size", "target", "base")
-    out = ranked(sized)
-    out = out.join(t, out.source.eqNullSafe(t.t), "left")
-    out = out.join(g, out.source.eqNullSafe(g.g), "left")
+            .select("source", F.col("last.tie").alias("extra")))
+    fate = save(_with(_with(targets.select("source", "source_size", "target", "base"), state.drop("quota"), "left"), last, "left"),
+                "mix-fate")
+    out = _with(ranked(sized), fate, "left")
     copies = (F.col("base") + F.when(_taken() | F.coalesce(F.col("tie") == F.col("extra"), F.lit(False)), 1).otherwise(0)).cast("long")
     return out.withColumn("copies", F.least(copies, F.lit(int(max_copies)).cast("long"))).select(
         F.col("id").alias(id_col), "size", "source_size", "target", "copies",
@@ -177,17 +181,10 @@ def _taken() -> Column:
                     & (F.struct("rank", "tie") <= m["cut"]))
 
 
-def _untaken(rows: DataFrame, steps: DataFrame) -> DataFrame:
-    g = steps.select(F.col("source").alias("g"), "marks")
-    return rows.join(g, rows.source.eqNullSafe(g.g)).where(~_taken())
-
-
-def _beyond(rows: DataFrame, steps: DataFrame, need: DataFrame) -> DataFrame:
-    """Rows not taken so far that still fit into what their source lacks."""
-    n = need.select(F.col("source").alias("n"), "words")
-    left = _untaken(rows, steps)
-    return (left.join(n, left.source.eqNullSafe(n.n)).where(F.col("size") <= F.col("words"))
-            .select("source", "size", "rank", "tie"))
+def _left(rows: DataFrame, state: DataFrame, k: int) -> DataFrame:
+    """Rows with the state of their source; after the first pass those not taken so far that fit into what it lacks."""
+    left = _with(rows, state)
+    return left if k == 0 else left.where(~_taken()).where(F.col("size") <= F.col("quota"))
 
 
 def mixed_documents(docs: DataFrame, **kwargs) -> DataFrame:

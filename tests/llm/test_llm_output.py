@@ -229,6 +229,26 @@ def test_mixing_rows_and_empty(spark):
     assert mixing.mix(df.where("text = ''")).where("taken <> 0").count() == 0
 
 
+def test_mixing_plans_do_not_grow_with_the_passes(spark):
+    """The driver holds a plan, its broadcasts and its code at a time: each pass starts from a table of the one before."""
+    df = spark.createDataFrame(mix_rows(), "doc_id long, text string, source string")
+    joins = [mixing.mix(df, fill=fill)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for fill in (0, 3)]
+    assert joins[0] == joins[1] <= 2
+
+
+def test_mixing_when_a_source_has_no_document_left_that_fits(spark):
+    """One source runs out of fitting documents in the first pass, another is taken whole, a third has no words."""
+    rows = [(i, "w " * 40, "big") for i in range(5)] + [(9 + i, "w " * (1 + i), "many") for i in range(9)] + [(30, None, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, carry=["source"], total=0.9).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size
+    taken = {s: sum(r.taken for r in got if r.row.source == s) for s in ("big", "many", "none")}
+    want = {r.row.source: r.target for r in got}
+    assert abs(taken["big"] - want["big"]) <= 40 and abs(taken["many"] - want["many"]) <= 5 and taken["none"] == 0
+
+
 ARC1 = (b"filedesc://old.arc 0.0.0.0 19970101000000 text/plain 76\n1 0 org\n"
         b"URL IP-address Archive-date Content-type Archive-length\n0123456789ab\n\n"
         b"http://a/ 1.2.3.4 19970102030405 text/html 42\nHTTP/1.0 200 OK\r\nContent-Type: x\r\n\r\n\n\n\xffab\n\n\n"
