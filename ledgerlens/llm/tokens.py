@@ -4,7 +4,8 @@ A tokenizer file of the ``tokenizers`` library splits a text before it merges, a
 parts come again and again.  Texts are cut, with numpy over a batch's bytes, into
 pieces whose ids do not depend on what stands around them; pieces are recognised by a
 64-bit hash, the unknown ones are encoded by the library, and the ids of a text are
-gathered from its pieces.  A worker remembers up to ``room`` pieces in flat arrays.
+gathered from its pieces.  A worker remembers up to ``room`` pieces in flat arrays, until
+a task that encodes nothing takes it over (:func:`drop_encoders`).
 
 A cut is made only where the splitting rule of both files (letters, digits, runs of
 other signs; a space may open a part) is sure to end a part whatever follows:
@@ -27,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from .words import hash_runs, text_bytes
+from .words import give_back, hash_runs, text_bytes
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -89,7 +90,7 @@ def _mend(start: np.ndarray, kind: np.ndarray, raw: bytes, whole: list[tuple[byt
 
 
 class Encoder:
-    def __init__(self, path: str, room: int = 1_500_000) -> None:
+    def __init__(self, path: str, room: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -105,6 +106,15 @@ class Encoder:
         self.hashes, self.slot = np.empty(0, np.uint64), np.empty(0, np.int32)
         self.begin, self.ids, self.n, self.used = np.zeros(1 << 16, np.int64), np.empty(1 << 18, np.uint32), 0, 0
 
+    @staticmethod
+    def _longer(a: np.ndarray, least: int) -> np.ndarray:
+        """The same with room for ``least`` numbers and a quarter more."""
+        if least <= len(a):
+            return a
+        out = np.zeros(least + least // 4, a.dtype)
+        out[:len(a)] = a
+        return out
+
     def _raw(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -133,10 +143,8 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         ids, cuts = self._encode(pieces)
-        while self.n + len(pieces) + 1 > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.begin = self._longer(self.begin, self.n + len(pieces) + 1)
+        self.ids = self._longer(self.ids, self.used + len(ids))
         self.ids[self.used:self.used + len(ids)] = ids
         self.begin[self.n:self.n + len(cuts)] = cuts + self.used
         slots = np.arange(self.n, self.n + len(pieces), dtype=np.int32)
@@ -174,3 +182,10 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def drop_encoders() -> None:
+    """Free what this worker remembers of tokenizers, for tasks that come after all texts are encoded."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        give_back()

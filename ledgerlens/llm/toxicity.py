@@ -38,7 +38,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .katz import pack, unpack
 from .storage import release, remove_table, save
 from .text import whole
-from .words import Words, batches_of, split_words, text_bytes
+from .tokens import drop_encoders
+from .words import Words, batches_of, give_back, split_words, text_bytes
 
 _U = np.uint64
 WINDOW, STRIDE = 64, 32
@@ -373,13 +374,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = 60
             .select("place", "toxic", "times", "text").dropDuplicates(["place"]))
 
 
-def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.ndarray]) -> DataFrame:
-    """``score`` of every whole text, from rows (what to keep, text) to (what to keep, score)."""
+def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.ndarray], *, with_text: bool = False) -> DataFrame:
+    """``score`` of every whole text, from rows (what to keep, text) to (what to keep, the text if asked for, score)."""
     model = frame.sparkSession.sparkContext.broadcast((vocabulary, params))
-    kept = frame.columns[0]
+    kept = frame.columns[:1 + with_text]
     schema = frame.select(kept).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         words, p = model.value
         for b in batches_of(batches, 1):
             x = batch_of(b.column(1))
@@ -391,7 +393,9 @@ def score_texts(frame: DataFrame, vocabulary: np.ndarray, params: dict[str, np.n
                     own = part[i:i + 2048]
                     logit[own] = logits(p, tables, x.index[own], len(x.hashes))
             np.maximum.at(score, x.doc, _sigmoid(logit))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], [kept, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.array(score)], [*kept, "score"])
+            del b, x, tables
+        give_back()
 
     return frame.mapInArrow(run, schema)
 
@@ -435,6 +439,7 @@ def _first(n_bad: int, n_good: int):
 def _pick(model):
     """The worst window of each sampled document, as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         state = None
         for s in batches_of(batches, 3):
             state = state or pickle.loads(model.value)
@@ -445,6 +450,8 @@ def _pick(model):
                 rows.append(pack(w.hashes, np.diff(w.cuts), w.grams, w.share, w.opens.reshape(-1), w.index[0]))
             yield pa.RecordBatch.from_arrays([*s.columns[:3], pa.array([None] * len(rows), pa.string()), pa.array(rows, pa.binary())],
                                              ["place", "toxic", "times", "kind", "payload"])
+            del s, b, rows
+        give_back()
 
     return run
 
@@ -466,8 +473,12 @@ def _fit(steps: int, batch: int):
                                    opens.reshape(-1, len(OPENINGS)).astype(np.int32),
                                    index.reshape(1, -1).astype(np.int32), np.zeros(1, np.int64)))
         if parts:
-            learn(state, _repeated(joined(parts), np.array(times)), np.repeat(np.array(toxic, np.float64), times), steps=steps, batch=batch)
+            windows = joined(parts)
+            parts.clear()
+            learn(state, _repeated(windows, np.array(times)), np.repeat(np.array(toxic, np.float64), times), steps=steps, batch=batch)
             yield _state_rows(state)
+            del windows, state
+            give_back()
 
     return run
 
@@ -514,5 +525,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id
                text_col: str = "text", **kwargs) -> DataFrame:
     """The documents that are not predicted to be toxic, with their own columns."""
     model = trained(docs, labels, id_col=id_col, text_col=text_col, **kwargs)
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), whole(F.col(text_col)).alias("text"))
-    return score_texts(rows, *model).where(F.col("score") < threshold).select("row.*")
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.col(text_col).isNull().alias(" none"))  # the text goes once
+    scored = score_texts(docs.select(rest.alias("rest"), whole(F.col(text_col)).alias("text")), *model, with_text=True)
+    text = F.when(~F.col("rest")[" none"], F.col("text"))
+    return scored.where(F.col("score") < threshold).select(*[
+        text.alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns])

@@ -6,6 +6,7 @@ hashes: a polynomial over random 64-bit values of their bytes, mixed at the end.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -82,6 +83,14 @@ def batches_of(batches: Iterator[pa.RecordBatch], text: int, limit: int = 1 << 2
             at = stop
 
 
+def give_back() -> None:
+    """Return to the system what this worker has freed; the allocators keep it for the next task otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 def grams(hashes: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
     """Hash of every run of n word hashes (documents are not told apart here)."""
     if len(hashes) < n:

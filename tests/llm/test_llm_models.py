@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from brute import fold, vectors
 
-from ledgerlens.llm import queries, toxicity, vector_dedup
+from ledgerlens.llm import queries, tokens, toxicity, vector_dedup
 from ledgerlens.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -70,6 +70,20 @@ def test_held_out_accuracy(spark):
     assert kept.columns == df.columns and kept.count() == sum(r.predicted == 0 for r in got)
 
 
+def test_dropped_documents_send_their_text_once(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a b", "x"), (2, None, None), (None, "", "z")], "doc_id long, text string, score string")
+    lab, seen, score = spark.createDataFrame([], "doc_id long, toxic int"), [], toxicity.score_texts
+    monkeypatch.setattr(toxicity, "score_texts", lambda frame, *a, **b: seen.append(frame.schema.simpleString()) or score(frame, *a, **b))
+    got = toxicity.drop_toxic(df, lab)
+    assert got.dtypes == df.dtypes and sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    assert seen[0].count("text:") == 1
+
+
+def test_tasks_without_a_tokenizer_free_the_workers_encoders(monkeypatch):
+    monkeypatch.setattr(tokens, "_ENCODERS", {"file": object()})
+    assert list(toxicity._pick(None)(iter([]))) == [] and not tokens._ENCODERS
+
+
 def test_without_labels_or_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     lab = spark.createDataFrame([], "doc_id long, toxic int")
