@@ -504,8 +504,8 @@ def trained(docs: DataFrame, labels: DataFrame, *, steps: int = 500, batch: int
         given.destroy()
         remove_table(state)
         state = after
-        del rows, windows, before
-        release(spark)
+    rows = windows = before = after = None
+    release(spark)  # once: however few texts a round has, all rounds together shuffle about ``steps`` batches of windows
     model = pickle.loads(bytes(state.where("kind = 'model'").first().payload))
     remove_table(state)
     remove_table(few)

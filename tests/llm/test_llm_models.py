@@ -84,6 +84,15 @@ def test_tasks_without_a_tokenizer_free_the_workers_encoders(monkeypatch):
     assert list(toxicity._pick(None)(iter([]))) == [] and not tokens._ENCODERS
 
 
+def test_few_texts_wait_for_spark_once(spark, monkeypatch):
+    """Many short rounds do not each wait until Spark has deleted what it no longer needs."""
+    rows = spark.createDataFrame([(i, f"w{i % 7} bad" if i % 3 == 0 else f"w{i % 7} day") for i in range(30)], "doc_id long, text string")
+    calls = []
+    monkeypatch.setattr(toxicity, "release", lambda s: calls.append(s))
+    toxicity.trained(rows, rows.selectExpr("doc_id", "int(text like '%bad') as toxic"), steps=40, batch=8)
+    assert len(calls) == 1
+
+
 def test_without_labels_or_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     lab = spark.createDataFrame([], "doc_id long, toxic int")
