@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .storage import release, remove_table, save
 from .text import whole
-from .tokens import encoder
-from .words import batches_of
+from .tokens import drop_encoders, encoder
+from .words import batches_of, give_back
 
 PART_ROWS = 200_000  # of a sweep's partition
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -63,6 +63,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_i
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
+            del b, all_ids, out, cols
+        give_back()
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
     return texts.mapInArrow(rows, _PIECES)
@@ -70,6 +72,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_i
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows by size, largest first, slots (kind 0) before pieces (kind 1) of their size; whole runs of them at once."""
+    drop_encoders()
     part, alone = TaskContext.get().partitionId(), 0
     stack: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # runs of free slots (key, size, seq), the smallest last
     for b in batches:
@@ -211,11 +214,10 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
             swept, matched, left, now_left = _round(todo, n_left, room, least, longest, n_left + slots, f"swept{n}")
             got = save(matched, f"placed{n}")
             placed.append(got.select("key", "seq"))
-            used = got.groupBy("seq").agg(F.sum("size").alias("used"))
             old = [x for x in (gaps_table, left_table) if x is not None]
             gaps = gaps_table = save(
-                gaps.join(used, "seq", "left")
-                .select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).where("gap > 0"),
+                gaps.unionByName(got.select("seq", (-F.col("size")).alias("gap")))  # what was taken always lies in a gap
+                .groupBy("seq").agg(F.sum("gap").alias("gap")).where("gap > 0"),
                 f"gaps{n}")
             todo = left_table = save(left, f"left{n}") if now_left else None
             for finished in (swept, *old):

@@ -11,7 +11,7 @@ from brute import best_fit_decreasing, targets, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerlens.llm import archives, mixing, packing, token_files
+from ledgerlens.llm import archives, mixing, packing, token_files, tokens
 from ledgerlens.llm.queries import tokenizer_path
 from ledgerlens.llm.storage import new_path, save
 from ledgerlens.llm.tokens import Encoder
@@ -111,6 +111,20 @@ def test_packing(spark):
         assert n <= best_fit_decreasing(sizes, 4096) * 1.02 + 1
 
 
+def test_sweeps_free_the_workers_encoders(monkeypatch):
+    monkeypatch.setattr(tokens, "_ENCODERS", {"file": object()})
+    monkeypatch.setattr(packing.TaskContext, "get", classmethod(lambda cls: cls.__new__(cls)))
+    monkeypatch.setattr(packing.TaskContext, "partitionId", lambda self: 0)
+    assert list(packing._sweep(iter([]))) == [] and not tokens._ENCODERS
+
+
+def test_encoders_hold_little_more_than_they_remember():
+    enc = Encoder(tokenizer_path("word_bpe_49k.json"))
+    for i in range(20):
+        enc.encode(pa.array([" ".join(f"w{k}" for k in range(i * 9000, (i + 1) * 9000))]))
+    assert enc.n > 150_000 and len(enc.begin) <= 1.3 * enc.n and len(enc.ids) <= 1.3 * enc.used
+
+
 def test_packing_rounds_over_many_partitions(spark, monkeypatch):
     rng = random.Random(9)
     sizes = [min(4096, max(1, int(rng.lognormvariate(6, 1)))) for _ in range(1500)] + [1100] * 200 + [4096, 2048, 2049]
