@@ -252,7 +252,7 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
                 .applyInArrow(_prefixes(percent), "k long, n int, tokens binary, prefix array<long>, weight double, first int"), "sets")
     index = save(sets.select("k", "n", "weight", "first", F.posexplode("prefix").alias("i", "t"))
                  .select("k", "n", "weight", "t", (F.col("first") + F.col("i")).alias("at")), "index")
-    links, roots, done = None, None, [table, sets, index]
+    roots, done = None, [table, sets, index]
 
     def at_roots(rows: DataFrame) -> DataFrame:
         if roots is None:
@@ -260,6 +260,11 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
         r = roots.select(F.col("node").alias("k"), "root")
         return rows.join(r, "k", "left").withColumn("root", F.coalesce("root", "k"))
 
+    def joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+        """The roots with more links: a component so far takes part as the star of its root."""
+        return components(links if roots is None else links.unionByName(
+            roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
     tried = None
     central = W.partitionBy("t").orderBy(F.col("weight").desc(), "k")
     for turn in range(1, pivot_rounds + 1):
@@ -280,8 +285,8 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
         tried = again if tried is None else tried.unionByName(again)
         found = save(_verify(pairs, sets, percent), "links")
         done += [pairs, found]
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
+        roots = joined(roots, found)
+        done.append(roots)
     # every pair that shares an index entry and lies in different components
     rows = save(at_roots(index), "rooted")
     mixed = rows.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("t")
@@ -297,8 +302,8 @@ def class_components(docs: DataFrame, *, n_words: int = 5, percent: int = 75, id
     last = save(_verify(candidates, sets, percent), "links")
     done += [rows, candidates, last]
     if not last.isEmpty():
-        links = last if links is None else links.unionByName(last)
-        roots = components(links)
+        roots = joined(roots, last)
+        done.append(roots)
     docs_rows = table.where("kind = 0").select("doc_id", "n", "k", "k2", "h")
     out = save(at_roots(docs_rows), "documents-rooted")
     for finished in done:  # the result reads nothing but its own table

@@ -36,12 +36,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .storage import release, remove_table, save
+from .storage import PART_ROWS, release, remove_table, save
 from .text import whole
 from .tokens import drop_encoders, encoder
 from .words import batches_of, give_back
 
-PART_ROWS = 200_000  # of a sweep's partition
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SWEPT = "kind int, key long, size long, seq long, matched boolean, part long, rank long"
 
@@ -71,7 +70,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_i
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows by size, largest first, slots (kind 0) before pieces (kind 1) of their size; whole runs of them at once."""
+    """Rows by size, largest first, slots (kind 0) before pieces (kind 1) of their size; whole runs of them at once.
+
+    Last, if any are left alone, comes a row of kind 2 with their numbers: of pieces (key) and of slots (size).
+    """
     drop_encoders()
     part, alone = TaskContext.get().partitionId(), 0
     stack: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # runs of free slots (key, size, seq), the smallest last
@@ -99,6 +101,8 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for key, size, seq in stack:
         yield _swept([(0, key, size, seq, False, rank)], part)
         rank += len(key)
+    if alone or rank:
+        yield _swept([(2, *(np.array([x]) for x in (alone, rank, -1)), False, 0)], part)
 
 
 def _swept(runs: list[tuple], part: int) -> pa.RecordBatch:
@@ -153,10 +157,10 @@ def _round(pieces: DataFrame, n_pieces: int, gaps: DataFrame, low: int, high: in
             .unionByName(pieces.select("size", F.lit(1).alias("kind"), "key", F.lit(-1).cast("long").alias("seq"))))
     order = [F.col("size").desc(), "kind", "key"]
     parts = 1 + rows // PART_ROWS
-    swept = save(both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    dealt = both.repartitionByRange(parts, *order) if parts > 1 else both.repartition(1)  # one range needs no sample
+    swept = save(dealt.sortWithinPartitions(*order)
                  .mapInArrow(_sweep, _SWEPT), name)
-    counts = (swept.where("not matched").groupBy("part")
-              .agg(F.sum("kind").alias("pieces"), F.sum(1 - F.col("kind")).alias("slots")).collect())
+    counts = swept.where("kind = 2").select("part", F.col("key").alias("pieces"), F.col("size").alias("slots")).collect()
     runs = _runs([tuple(c) for c in counts])
     alone = swept.where("kind = 1 and not matched")
     matched = swept.where("matched").select("key", "size", "seq")
@@ -186,7 +190,7 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
     placed = [pieces.where(F.col("size") > half).select("key", F.col("key").alias("seq"))]
     gaps = save(pieces.where((F.col("size") > half) & (F.col("size") < capacity))
                 .select(F.col("key").alias("seq"), (F.lit(capacity) - F.col("size")).cast("long").alias("gap")), "gaps")
-    high, opened, n, gaps_table, left_table = half, 0, 0, gaps, None
+    high, opened, n, gaps_table, left_table, n_gaps = half, 0, 0, gaps, None, gaps.count()
     while high >= 1:
         low = high // 2 if high > smallest_class else 0
         todo = pieces.where((F.col("size") > low) & (F.col("size") <= high)).select("key", "size")
@@ -195,7 +199,8 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
         while n_left:
             tokens, longest, least = todo.agg(F.sum("size"), F.max("size"), F.min("size")).first()
             fits = [] if full else [  # at most ``capacity`` numbers
-                (r.gap, r.n) for r in gaps.where(F.col("gap") >= least).groupBy("gap").agg(F.count("*").alias("n")).collect()]
+                (r.gap, r.n) for r in gaps.where(F.col("gap") >= least).groupBy("gap")
+                .agg(F.count("*").alias("n")).coalesce(1).collect()]
             widest = max((gap for gap, _ in fits), default=capacity)
             if fits:
                 offered, slots = _room(fits, longest, least, n_left)
@@ -212,14 +217,14 @@ def best_fit(pieces: DataFrame, capacity: int, smallest_class: int = 64) -> Data
                 opened += new
                 gaps = gaps.unionByName(room)
             swept, matched, left, now_left = _round(todo, n_left, room, least, longest, n_left + slots, f"swept{n}")
-            got = save(matched, f"placed{n}")
+            got = save(matched, f"placed{n}", most_rows=n_left)
             placed.append(got.select("key", "seq"))
             old = [x for x in (gaps_table, left_table) if x is not None]
             gaps = gaps_table = save(
                 gaps.unionByName(got.select("seq", (-F.col("size")).alias("gap")))  # what was taken always lies in a gap
                 .groupBy("seq").agg(F.sum("gap").alias("gap")).where("gap > 0"),
-                f"gaps{n}")
-            todo = left_table = save(left, f"left{n}") if now_left else None
+                f"gaps{n}", most_rows=n_gaps + opened)
+            todo = left_table = save(left, f"left{n}", most_rows=now_left) if now_left else None
             for finished in (swept, *old):
                 remove_table(finished)
             full = widest < 2 * least  # no gap takes two pieces: what is left of them is for smaller classes

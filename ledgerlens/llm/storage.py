@@ -38,9 +38,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerlens-{name}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back."""
+PART_ROWS = 200_000  # of a small table's file
+
+
+def save(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), most_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    ``most_rows``: a bound of its rows, if they are narrow.  Files of ``PART_ROWS`` are enough then; the driver
+    remembers every task, and every file of a table it has read, long after the table is gone.
+    """
     spark = df.sparkSession
+    if most_rows is not None:
+        df = df.coalesce(1 + most_rows // PART_ROWS)
     path = new_path(spark, name)
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

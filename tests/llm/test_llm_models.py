@@ -248,6 +248,39 @@ def test_components(spark):
     assert got == {n: find(n) for e in edges if e[0] != e[1] for n in e}
 
 
+def test_components_of_more_edges_than_one_task_takes(spark, monkeypatch):
+    from ledgerlens.llm import components as module, storage
+
+    monkeypatch.setattr(module, "PART_ROWS", 20)
+    monkeypatch.setattr(storage, "PART_ROWS", 20)
+    test_components(spark)
+
+
+def test_components_leave_the_driver_few_files_and_rounds(spark, monkeypatch):
+    """One file for a small table, whatever the number of shuffle partitions; stars take no round."""
+    from ledgerlens.llm import components as module
+    from ledgerlens.llm.storage import save
+
+    seen = []
+    monkeypatch.setattr(module, "release", lambda s: None)
+    monkeypatch.setattr(module, "save", lambda df, name, **k: (out := save(df, name, **k), seen.append((name, len(out.inputFiles()))))[0])
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        chain = components(spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long"))
+        assert {r.root for r in chain.collect()} == {0} and chain.count() == 31
+        assert seen[-1] == ("roots", 1) and all(n == 1 for name, n in seen if name != "edges")
+        seen.clear()
+        stars = components(spark.createDataFrame([(i, i % 3) for i in range(3, 40)], "a long, b long"))
+        assert {(r.node, r.root) for r in stars.collect()} == {(i, i % 3) for i in range(40)}
+        assert [name for name, _ in seen] == ["edges", "roots"]
+        assert components(spark.createDataFrame([(4, 4)], "a long, b long")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_pipeline(spark):
     """Each stage's result follows from its own input by the operators' brute-force rules."""
     import corpus_pipeline

@@ -138,6 +138,26 @@ def test_packing_rounds_over_many_partitions(spark, monkeypatch):
     assert len(by) <= best_fit_decreasing(sizes, 4096) * 1.02 + 1
 
 
+def test_packing_rounds_leave_the_driver_few_files(spark, monkeypatch):
+    """One file for each small table of a round, whatever the number of shuffle partitions."""
+    seen = {}
+    monkeypatch.setattr(packing, "release", lambda s: None)
+    monkeypatch.setattr(packing, "save", lambda df, name, **k: (out := save(df, name, **k), seen.update({name: len(out.inputFiles())}))[0])
+    sizes = [3000, 2500, 2100] * 20 + [1500, 900, 400, 70] * 30
+    table = save(spark.createDataFrame(list(enumerate(sizes)), "key long, size long"), "test-pieces")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = packing.best_fit(table, 4096).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.key for r in got) == list(range(len(sizes)))
+    assert {"gaps0", "placed0"} <= set(seen)
+    assert all(n == 1 for name, n in seen.items() if name.startswith(("gaps", "placed", "left")) and name != "gaps")
+
+
 def test_gaps_are_filled_though_each_round_places_few(spark):
     """Gaps take pieces as long as they hold them, however small a part of all pieces that is."""
     sizes = [2106] * 24 + [128] + [65] * 20_000
